@@ -21,7 +21,9 @@ def reject_reason() -> Column:
 
 
 def accepted(raw: DataFrame) -> DataFrame:
-    return raw.where(reject_reason().isNull())
+    """Lines without a reject reason, spelled as comparisons that the Parquet scan can apply."""
+    status, qty = F.col("status"), F.col("qty")
+    return raw.where(status.isNull() | (status != "test")).where(qty.isNull() | (qty >= 0))
 
 
 def quarantine(raw: DataFrame) -> DataFrame:
@@ -29,8 +31,11 @@ def quarantine(raw: DataFrame) -> DataFrame:
     return raw.withColumn("reject_reason", reject_reason()).where(F.col("reject_reason").isNotNull())
 
 
-def with_clean_columns(raw: DataFrame) -> DataFrame:
-    """Typed time, canonical SKU, completed category and quality flags; one row per input row."""
+def with_clean_columns(raw: DataFrame, *keep: str) -> DataFrame:
+    """Typed time, canonical SKU, completed category and quality flags; one row per input row.
+
+    `src_ord` and the columns named in `keep` stay as they are.
+    """
     inferred = inferred_category(F.col("sku"))
     return (
         raw.withColumn("sku", canonical_sku(F.col("sku")))
@@ -44,7 +49,7 @@ def with_clean_columns(raw: DataFrame) -> DataFrame:
                 "category": F.coalesce("category", "inferred"),
             }
         )
-        .select("src_ord", *CLEAN_COLUMNS)
+        .select("src_ord", *CLEAN_COLUMNS, *keep)
     )
 
 
