@@ -1,0 +1,171 @@
+from __future__ import annotations
+
+import datetime as dt
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from ordermill.functions import canonical_sku, eur_amount, inferred_category, parse_order_ts, strip, ts_format, utc_date
+from ordermill.functions.text import BLANKS
+
+TIMES = {
+    "2026-01-12T10:58:06": "2026-01-12 10:58:06",
+    "1781474381": "2026-06-14 21:59:41",
+    "05/04/2026 07:29": "2026-04-05 07:29:00",
+    "5/4/2026 7:29": "2026-04-05 07:29:00",
+    "2026-01-12 10:58:06": "2026-01-12 10:58:06",
+    "2026-01-12t10:58:06": "2026-01-12 10:58:06",
+    "2026-1-2T3:4:5": "2026-01-02 03:04:05",
+    "2026-01- 5T10:00:00": "2026-01-05 10:00:00",
+    "  1781474381\t": "2026-06-14 21:59:41",
+    " 2026-01-12T10:58:06　": "2026-01-12 10:58:06",
+    "20260112": "1970-08-23 11:48:32",
+    "0": "1970-01-01 00:00:00",
+    "05/04/2026  07:29": "2026-04-05 07:29:00",
+    "05/04/2026\t07:29": "2026-04-05 07:29:00",
+    "253402300799": "9999-12-31 23:59:59",
+}
+NO_TIMES = [
+    "05/004/2026 07:29",
+    "0000-01-01T00:00:00",
+    "01/01/0000 00:00",
+    "2026-01-12T10:58:06Z",
+    "2026-01-12T10:58:06+00:00",
+    "2026-01-12T10:58:06.5",
+    "2026-01-12T10:58",
+    "2026-01-12",
+    "2026-01-12T24:00:00",
+    "2026-01-12T10:58:60",
+    "30/02/2026 10:00",
+    "05/04/26 07:29",
+    "02026-01-12T10:58:06",
+    "?2026-01-12T10:58:06",
+    "253402300800",
+    "99999999999999999999999",
+    "-5",
+    "+5",
+    "1.5",
+    "",
+    "   ",
+    "garbage",
+    "now",
+    "epoch",
+    None,
+]
+
+
+def parsed(spark, texts):
+    rows = spark.createDataFrame([(i, text) for i, text in enumerate(texts)], "i int, raw string")
+    found = rows.select("i", parse_order_ts(F.col("raw")).cast("string").alias("ts")).collect()
+    return [row.ts for row in sorted(found)]
+
+
+def test_accepted_order_times(spark):
+    assert dict(zip(TIMES, parsed(spark, TIMES))) == TIMES
+
+
+def test_other_order_times_are_null_and_not_an_error(spark):
+    assert [(text, ts) for text, ts in zip(NO_TIMES, parsed(spark, NO_TIMES)) if ts is not None] == []
+
+
+def test_order_times_do_not_depend_on_the_session_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = (
+            spark.createDataFrame([("2026-01-12T01:00:00", "1768179600", "12/01/2026 01:00")], "a string, b string, c string")
+            .select(*[F.unix_seconds(parse_order_ts(F.col(name))).alias(name) for name in "abc"], utc_date(parse_order_ts(F.col("a"))))
+            .first()
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert tuple(row) == (1768179600, 1768179600, 1768179600, dt.date(2026, 1, 12))
+
+
+def test_utc_date_before_the_epoch(spark):
+    row = spark.sql("SELECT timestamp_seconds(-1) AS ts, CAST(NULL AS TIMESTAMP) AS none").select(
+        utc_date(F.col("ts")), utc_date(F.col("none"))
+    )
+    assert tuple(row.first()) == (dt.date(1969, 12, 31), None)
+
+
+def _expected(text: str) -> str | None:
+    """The rule, from the standard library: digits are epoch seconds, else three formats in turn."""
+    text = text.strip()
+    if text.isascii() and text.isdigit():
+        try:
+            return dt.datetime.fromtimestamp(int(text), dt.timezone.utc).strftime("%4Y-%m-%d %H:%M:%S").zfill(19)
+        except (ValueError, OverflowError, OSError):
+            return None
+    for form in ("%Y-%m-%dT%H:%M:%S", "%d/%m/%Y %H:%M", "%Y-%m-%d %H:%M:%S"):
+        try:
+            return dt.datetime.strptime(text, form).isoformat(" ")
+        except ValueError:
+            pass
+    return None
+
+
+def test_random_order_times_against_the_standard_library(spark):
+    pick = random.Random(7)
+    number = lambda top: pick.choice(["{}", "{:02d}", "{:02d}", "{:03d}"]).format(pick.randint(0, top))
+    texts = []
+    for _ in range(10_000):
+        year = pick.choice(["2026", "1999", "0001", "9999", "26", str(pick.randint(0, 10000))])
+        date = pick.choice([f"{year}-{number(13)}-{number(32)}", f"{number(32)}/{number(13)}/{year}"])
+        time = pick.choice([f"{number(25)}:{number(61)}", f"{number(25)}:{number(61)}:{number(61)}"])
+        text = date + pick.choice(["T", "t", " ", "  ", "\t", " ", ""]) + time + pick.choice(["", "", "", "", "Z", ".5"])
+        texts.append(pick.choice(["", " ", "\x1f"]) + text + pick.choice(["", "\n"]))
+    assert [case for case in zip(texts, parsed(spark, texts), map(_expected, texts)) if case[1] != case[2]] == []
+    assert sum(ts is not None for ts in parsed(spark, texts)) > 300
+
+
+def test_strip_removes_every_kind_of_blank(spark):
+    assert spark.range(1).select(strip(F.lit(BLANKS + "a b" + BLANKS))).first()[0] == "a b"
+    assert sorted(BLANKS) == [chr(code) for code in range(0x110000) if chr(code).isspace()]
+
+
+def test_time_formats(spark):
+    cases = {
+        "2026-01-12T10:58:06": "iso",
+        "2026-01-12t10:58:06": "iso",
+        "2026-01-12 10:58:06": "iso_blank",
+        " 1781474381": "epoch",
+        "5/4/2026 7:29": "day_first",
+        "x": "other",
+        None: "missing",
+    }
+    rows = spark.createDataFrame([(raw,) for raw in cases], "raw string")
+    assert {row[0]: row[1] for row in rows.select("raw", ts_format(F.col("raw"))).collect()} == cases
+
+
+@pytest.mark.parametrize(
+    "sku, canonical, category",
+    [
+        ("SKUEL001", "SKU-EL-001", "Electronics"),
+        ("SKU-EL001", "SKU-EL-001", "Electronics"),
+        ("SKUEL-001", "SKU-EL-001", "Electronics"),
+        (" sku-be-001 ", "SKU-BE-001", "Beauty"),
+        ("\tSkuHk042 ", "SKU-HK-042", "Home & Kitchen"),
+        ("abc-el-9999", "ABC-EL-9999", "Electronics"),
+        ("a-fa-", "A-FA-", "Fashion"),
+        ("SKU-ZZ-001", "SKU-ZZ-001", None),
+        ("SKU-EL-0011", "SKU-EL-0011", "Electronics"),
+        ("SKU--EL-001", "SKU--EL-001", None),
+        ("EL001", "EL001", None),
+        ("", "", None),
+        (None, None, None),
+    ],
+)
+def test_sku(spark, sku, canonical, category):
+    row = spark.createDataFrame([(sku,)], "sku string").select(canonical_sku(F.col("sku")).alias("sku"))
+    assert tuple(row.select("sku", inferred_category(F.col("sku"))).first()) == (canonical, category)
+
+
+def test_eur_amount(spark):
+    rows = spark.createDataFrame(
+        [("RON", Decimal(100)), ("EUR", Decimal(100)), ("USD", Decimal(100)), (None, Decimal(100)), ("EUR", None)],
+        "currency string, amount decimal(23,4)",
+    ).withColumn("rate", F.lit(Decimal("5.25")).cast("decimal(12,6)"))
+    found = rows.select(F.round(eur_amount(F.col("amount"), F.col("currency"), F.col("rate")), 2)).collect()
+    assert [row[0] for row in found] == [Decimal("19.05"), Decimal(100), Decimal("19.05"), Decimal("19.05"), None]
