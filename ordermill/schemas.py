@@ -143,7 +143,7 @@ DEFAULTS = {
     "fx_rates": {"base_currency": "'EUR'", "is_estimated": "false", "fetched_at": "current_timestamp()"},
     "customer_spend_eur": {"multiple_countries_bought": "false", "computed_at": "current_timestamp()"},
     "country_category_revenue": {"computed_at": "current_timestamp()"},
-    "pipeline_runs": {"run_id": "uuid()", "run_at": "current_timestamp()"},
+    "pipeline_runs": {"run_at": "current_timestamp()"},
 }
 
 # The stamp each stored table carries, filled when it is written.

@@ -17,13 +17,11 @@ def read_order_pages(spark: SparkSession, path: str, offset_pattern: str = OFFSE
 
     A page is small by the source's page limit, so one file is one input row; Spark spreads the
     files over tasks. A page that is no JSON array, does not fit the schema or has no offset in
-    its path stops the read.
+    its path stops the read. Files without a single byte are no pages to Spark and add nothing.
     """
     offset = F.regexp_extract("_metadata.file_path", offset_pattern, 1)
     pages = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .text(path)
+        spark.read.text(path, wholetext=True, recursiveFileLookup=True)
         .select(
             F.when(offset != "", offset.cast("bigint"))
             .otherwise(
@@ -39,7 +37,7 @@ def read_order_pages(spark: SparkSession, path: str, offset_pattern: str = OFFSE
 def decode_pages(pages: DataFrame) -> DataFrame:
     """Rows (`page_offset`, `page`) to one row per order line; absent fields become NULL."""
     lines = F.from_json("page", T.ArrayType(SOURCE_ORDER), {"mode": "FAILFAST"})
-    checked = F.when(F.ltrim(F.regexp_replace("page", "^\\s+", "")).startswith("["), lines).otherwise(
+    checked = F.when(F.ltrim(F.col("page"), F.lit(" \t\r\n")).startswith("["), lines).otherwise(
         F.raise_error(F.concat(F.lit("order page is not a JSON array, offset "), F.col("page_offset")))
     )
     return pages.select("page_offset", F.posexplode(checked).alias("pos", "line")).select(

@@ -10,6 +10,11 @@ import duckdb
 from pyspark.sql import DataFrame
 
 
+def plan_of(df: DataFrame) -> str:
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
 def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for file in Path(sf_dir).glob("*.parquet"):
