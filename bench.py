@@ -21,10 +21,21 @@ from ordermill.sources import Warehouse
 
 
 def land(spark, sf_dir: str, folder: str) -> None:
+    """Write pages and rate documents as a source leaves them: flat folders of small files."""
     raw = staged(fixture.raw_orders(spark, sf_dir), "raw")
-    fixture.order_pages(raw).write.partitionBy("page_offset").text(f"{folder}/orders")
-    documents = fixture.fx_documents(fixture.source_rates(rates.required_dates(cleaning.clean_orders(raw))))
-    documents.write.partitionBy("document").text(f"{folder}/fx")
+    dates = rates.required_dates(cleaning.clean_orders(raw))
+
+    def write_files(sub: str, df) -> None:
+        os.makedirs(f"{folder}/{sub}")
+
+        def write(row) -> None:
+            with open(f"{folder}/{sub}/{row[0]}.json", "w", encoding="utf-8") as file:
+                file.write(row[1])
+
+        df.foreach(write)
+
+    write_files("orders", fixture.order_pages(raw).selectExpr("concat('offset=', page_offset)", "page"))
+    write_files("fx", fixture.fx_documents(fixture.source_rates(dates)).select("document", "content"))
 
 
 def pipeline_steps(spark, sf_dir: str) -> dict[str, dict]:

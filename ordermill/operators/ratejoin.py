@@ -19,21 +19,14 @@ def with_rate(
 ) -> DataFrame:
     """Add `rate` by `fx_reference_date`.
 
-    An inner join drops lines whose date is NULL or has no rate, EUR lines too. `rates` should be a
-    stored table: its rows are counted here, and it is broadcast only up to `broadcast_rows`.
-    Beyond that Spark shuffles both sides and AQE splits the partitions of busy dates.
+    An inner join drops lines whose date is NULL or has no rate, EUR lines too. `rates` holds one
+    row per date and pair, and should be a stored table: its rows are counted here, and it is
+    broadcast only up to `broadcast_rows`. Beyond that Spark shuffles both sides and AQE splits the
+    partitions of busy dates.
     """
     pair = rates.where((F.col("base_currency") == base) & (F.col("target_currency") == target)).select(
         F.col("rate_date").alias("fx_reference_date"), "rate"
     )
-    size = (
-        pair.groupBy("fx_reference_date")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.count(F.lit(1)).alias("dates"), F.max("n").alias("most"))
-        .first()
-    )
-    if (size["most"] or 0) > 1:
-        raise ValueError(f"more than one {base}/{target} rate for the same date")
-    if size["dates"] <= broadcast_rows:
+    if pair.count() <= broadcast_rows:
         pair = F.broadcast(pair)
     return lines.join(pair, "fx_reference_date", how)

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from decimal import Decimal
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,20 +26,11 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.unpivot([], list(columns), "column_name", "null_count")
 
 
-def check_key(df: DataFrame, keys: Sequence[str], required: Sequence[str], unique: bool = True) -> int:
-    """Row count of `df`, or an error if a required column is NULL or a key repeats.
-
-    With unique=False, for keys that are unique by construction, nothing is shuffled.
-    """
-    nulls = F.count_if(reduce(or_, [F.col(name).isNull() for name in required])).alias("nulls")
-    found = df.agg(F.count(F.lit(1)).alias("row_count"), nulls).first()
-    if found["nulls"]:
-        raise ValueError(f"{found['nulls']} rows have NULL in a required column ({', '.join(required)})")
-    if unique:
-        repeated = key_violations(df, keys).first()
-        if repeated is not None:
-            raise ValueError(f"duplicate key {repeated.asDict()}")
-    return found["row_count"]
+def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Error that names one key if any key repeats."""
+    repeated = key_violations(df, keys).first()
+    if repeated is not None:
+        raise ValueError(f"duplicate key {repeated.asDict()}")
 
 
 def raw_profile(raw: DataFrame) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from decimal import Decimal
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import AUDIT_COLUMN, PIPELINE_RUNS, STEP_OF_TABLE, TABLES
+from ..schemas import AUDIT_COLUMN, PIPELINE_RUNS, REQUIRED, STEP_OF_TABLE, TABLES
 
 
 class Warehouse:
@@ -18,7 +19,8 @@ class Warehouse:
     Each table has two folders, `a` and `b`. A step writes the one that is not in use, and the
     success row it then appends to the run log makes that folder current: data and log row become
     visible together, a failed write changes nothing, and a step may read the table it replaces.
-    Meant for one writer at a time; a reader has until the next but one refresh to finish.
+    Meant for one writer at a time; a reader has until the next but one refresh to finish. The
+    object knows what was published when it was made, and what it published since.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -26,19 +28,23 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.log_path = f"{self.root}/pipeline_runs"
         spark.createDataFrame([], PIPELINE_RUNS).write.mode("ignore").parquet(self.log_path)
+        self.refresh()
 
     def runs(self) -> DataFrame:
         return self.spark.read.schema(PIPELINE_RUNS).parquet(self.log_path)
 
-    def current_path(self, table: str) -> str | None:
-        """Folder of the last successful run of the step that builds `table`."""
+    def refresh(self) -> None:
+        """Look up the folder of the last successful run of each step, one row per step."""
         latest = (
             self.runs()
-            .where((F.col("step_name") == STEP_OF_TABLE[table]) & (F.col("status") == "success"))
+            .where(F.col("status") == "success")
+            .groupBy("step_name")
             .agg(F.max_by("published_path", F.struct("run_at", "run_id")).alias("path"))
-            .first()
         )
-        return latest["path"]
+        self._published = {row["step_name"]: row["path"] for row in latest.collect()}
+
+    def current_path(self, table: str) -> str | None:
+        return self._published.get(STEP_OF_TABLE[table])
 
     def exists(self, table: str) -> bool:
         return self.current_path(table) is not None
@@ -51,19 +57,28 @@ class Warehouse:
             raise LookupError(f"table {table} has not been published under {self.root}")
         return self.spark.read.schema(TABLES[table]).parquet(path)
 
-    def write_idle(self, table: str, df: DataFrame) -> str:
-        """Write a full snapshot next to the current one, nothing is published yet.
+    def write_idle(self, table: str, df: DataFrame) -> tuple[str, int]:
+        """Write a full snapshot next to the current one; returns its folder and number of rows.
 
-        Rows that carry no write time get the current one.
+        Nothing is published yet. Rows that carry no write time get the current one. Rows, and NULLs
+        in required columns, are counted by the writing tasks, so nothing is read back.
         """
         current = self.current_path(table)
         path = f"{self.root}/{table}/{'b' if current == f'{self.root}/{table}/a' else 'a'}"
-        schema = TABLES[table]
         stamp = AUDIT_COLUMN[table]
         stamped = df if stamp in df.columns else df.withColumn(stamp, F.current_timestamp())
-        typed = stamped.select(*[F.col(field.name).cast(field.dataType) for field in schema.fields])
-        typed.write.mode("overwrite").parquet(path)
-        return path
+        typed = stamped.select(*[F.col(field.name).cast(field.dataType) for field in TABLES[table].fields])
+        required = REQUIRED.get(table, [])
+        written = Observation()
+        typed.observe(
+            written,
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_if(reduce(or_, [F.col(name).isNull() for name in required], F.lit(False))).alias("null_count"),
+        ).write.mode("overwrite").parquet(path)
+        counts = written.get
+        if counts.get("null_count"):
+            raise ValueError(f"{counts['null_count']} rows have NULL in a required column ({', '.join(required)})")
+        return path, counts.get("row_count", 0)
 
     def log_run(
         self,
@@ -75,14 +90,17 @@ class Warehouse:
         published_path: str | None = None,
     ) -> None:
         """Append one row to the run log. With status success this publishes `published_path`."""
-        row = (
-            str(uuid.uuid4()),
-            dt.datetime.now(dt.timezone.utc),
-            step,
-            status,
-            rows,
-            error,
-            Decimal(f"{seconds:.2f}"),
-            published_path,
-        )
-        self.spark.createDataFrame([row], PIPELINE_RUNS).coalesce(1).write.mode("append").parquet(self.log_path)
+        row = {
+            "run_id": str(uuid.uuid4()),
+            "run_at": dt.datetime.now(dt.timezone.utc),
+            "step_name": step,
+            "status": status,
+            "rows_processed": rows,
+            "error_message": error,
+            "duration_seconds": f"{seconds:.2f}",
+            "published_path": published_path,
+        }
+        columns = [F.lit(row[field.name]).cast(field.dataType).alias(field.name) for field in PIPELINE_RUNS.fields]
+        self.spark.range(0, 1, 1, 1).select(*columns).write.mode("append").parquet(self.log_path)
+        if status == "success":
+            self._published[step] = published_path

@@ -81,6 +81,7 @@ def test_second_run_replaces_snapshots_and_merges_rates(spark, landed):
         "customer_spend_eur": 2,
         "country_category_revenue": 2,
     }
+    warehouse.refresh()
     again = {row.rate_date: row for row in warehouse.read("fx_rates").collect()}
     assert [row[:5] for row in again.values()] == [row[:5] for row in first.values()]
     # Later the real rate of the 28th arrives, and no order asks for the 24th any more.
@@ -88,6 +89,7 @@ def test_second_run_replaces_snapshots_and_merges_rates(spark, landed):
     write(landed, "orders/offset=1000.json", [dict(LINE, fx_reference_date="2026-08-28")])
     write(landed, "fx/2.json", {"base": "EUR", "end_date": "2026-08-28", "rates": {"2026-08-28": {"RON": 5.5}}})
     assert run(spark, landed, today=dt.date(2026, 8, 28), threshold=2)["orders_clean"] == 1
+    warehouse.refresh()
     merged = {row.rate_date: row for row in warehouse.read("fx_rates").collect()}
     assert {d: (str(row.rate), row.is_estimated) for d, row in merged.items()} == {
         dt.date(2026, 8, 24): ("5.000000", False),

@@ -9,14 +9,11 @@ import rows
 from ordermill.plans import quality
 
 
-def test_check_key(spark):
+def test_require_unique(spark):
     lines = rows.clean(spark, dict(order_id="1"), dict(order_id="2"), dict(order_id="3", sku="b"))
-    assert quality.check_key(lines, ["order_id", "sku"], ["order_id", "sku"]) == 3
-    assert quality.check_key(lines, ["sku"], ["sku"], unique=False) == 3
-    with pytest.raises(ValueError, match="duplicate key"):
-        quality.check_key(lines, ["sku"], ["sku"])
-    with pytest.raises(ValueError, match="1 rows have NULL"):
-        quality.check_key(rows.clean(spark, {}, dict(sku=None)), ["order_id", "sku"], ["order_id", "sku"])
+    quality.require_unique(lines, ["order_id", "sku"])
+    with pytest.raises(ValueError, match="duplicate key {'sku': 'SKU-EL-001', 'row_count': 2}"):
+        quality.require_unique(lines, ["sku"])
 
 
 def test_null_counts(spark):

@@ -122,9 +122,3 @@ def test_both_ways_to_join_rates_agree(spark, broadcast_rows):
         assert with_rate(lines, rated, "left", broadcast_rows=broadcast_rows).count() == 5
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_two_rates_for_a_date_are_an_error(spark):
-    double = rows.rates(spark, KNOWN).unionByName(rows.rates(spark, {day(24): "6"}))
-    with pytest.raises(ValueError, match="more than one"):
-        with_rate(rows.clean(spark, {}), double)
