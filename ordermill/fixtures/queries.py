@@ -34,9 +34,15 @@ def _rates_of(dates: DataFrame) -> DataFrame:
     return rates.daily_rates(dates, source_rates(dates), TODAY)
 
 
-def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Clean orders and their rates, written as the pipeline writes them between its steps."""
-    clean = staged(_clean(spark, sf_dir), "orders_clean")
+# What the marts read of a clean line.
+_AMOUNT = ("order_id", "status", "qty", "unit_price", "currency", "fx_reference_date")
+_REVENUE = (*_AMOUNT, "category", "country")
+_SPEND = (*_AMOUNT, "customer_id", "customer_email", "order_ts", "country")
+
+
+def _stored(spark: SparkSession, sf_dir: str, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """Clean orders, as far as the query reads them, and their rates, written as between pipeline steps."""
+    clean = staged(_clean(spark, sf_dir).select(*columns), "orders_clean")
     dates = staged(rates.required_dates(clean), "required_dates")
     return clean, staged(_rates_of(dates), "fx_rates")
 
@@ -166,7 +172,7 @@ def q_fx_upsert(spark, sf_dir):
 
 
 def q_fx_coverage_gaps(spark, sf_dir):
-    return rates.coverage_gaps(*_stored(spark, sf_dir))
+    return rates.coverage_gaps(*_stored(spark, sf_dir, "fx_reference_date"))
 
 
 def q_fx_coverage_labels(spark, sf_dir):
@@ -176,7 +182,7 @@ def q_fx_coverage_labels(spark, sf_dir):
 
 def q_order_lines_eur(spark, sf_dir):
     amount = line_amount(F.col("qty"), F.col("unit_price")).cast("double").alias("amount")
-    return marts.order_lines_eur(*_stored(spark, sf_dir)).select(
+    return marts.order_lines_eur(*_stored(spark, sf_dir, *_AMOUNT, "sku")).select(
         "order_id", "sku", "currency", amount, F.col("rate").cast("double").alias("rate"), _rounded_eur()
     )
 
@@ -194,15 +200,15 @@ def q_latest_order_date(spark, sf_dir):
 
 
 def q_customer_spend(spark, sf_dir):
-    return _as_double(marts.by_spend(marts.customer_spend(*_stored(spark, sf_dir))), "total_spent_eur")
+    return _as_double(marts.by_spend(marts.customer_spend(*_stored(spark, sf_dir, *_SPEND))), "total_spent_eur")
 
 
 def q_top_customers(spark, sf_dir):
-    return _as_double(marts.top_customers(marts.customer_spend(*_stored(spark, sf_dir))), "total_spent_eur")
+    return _as_double(marts.top_customers(marts.customer_spend(*_stored(spark, sf_dir, *_SPEND))), "total_spent_eur")
 
 
 def _revenue(spark, sf_dir, **options):
-    mart = marts.country_revenue(*_stored(spark, sf_dir), **options)
+    mart = marts.country_revenue(*_stored(spark, sf_dir, *_REVENUE), **options)
     return _as_double(marts.by_revenue(mart), "total_revenue_eur")
 
 
@@ -219,14 +225,14 @@ def q_country_revenue_all(spark, sf_dir):
 
 
 def q_price_anomalies(spark, sf_dir):
-    return quality.price_anomalies(*_stored(spark, sf_dir), ANOMALY_LIMIT_EUR).select(
+    return quality.price_anomalies(*_stored(spark, sf_dir, *_AMOUNT, "sku"), ANOMALY_LIMIT_EUR).select(
         "order_id", "sku", F.col("unit_price").cast("double").alias("unit_price"), "qty", "currency", _rounded_eur()
     )
 
 
 def q_key_violations(spark, sf_dir):
     raw = raw_orders(spark, sf_dir)
-    clean, fx = _stored(spark, sf_dir)
+    clean, fx = _stored(spark, sf_dir, *_SPEND, "sku")
     tables = {
         "raw_orders": (raw, KEYS["orders_clean"]),
         "clean": (clean, KEYS["orders_clean"]),
@@ -244,7 +250,7 @@ def q_key_violations(spark, sf_dir):
 
 def q_null_violations(spark, sf_dir):
     raw = raw_orders(spark, sf_dir)
-    clean, fx = _stored(spark, sf_dir)
+    clean, fx = _stored(spark, sf_dir, *_SPEND, "sku", "category")
     tables = {
         "raw_orders": (raw, ["order_id", "customer_id", "sku", "category", "fx_reference_date"]),
         "clean": (clean, ["order_id", "sku", "order_ts", "category"]),
