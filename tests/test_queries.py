@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_points
+from ordermill.fixtures import oracle
+from ordermill.fixtures.queries import queries
 from compare import differences, oracle_connection, plan_of
 from conftest import SF_DIR
 
@@ -15,13 +17,15 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(queries()) == set(oracle.oracle_sql())
+    assert set(queries()) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, connection, name):
-    df = entry_points.queries()[name](spark, SF_DIR)
-    assert differences(df, connection, entry_points.oracle_sql()[name]) == []
+    df = queries()[name](spark, SF_DIR)
+    assert differences(df, connection, oracle.oracle_sql()[name]) == []
     plan = plan_of(df)
     for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "CollectLimit"):
         assert operator not in plan
