@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ordermill.llm.languages import op1_language_id
 from ordermill.llm.sentencepieces import op3_sentencepiece
 from ordermill.llm.simhash import op9_simhash
 from ordermill.llm.token_counts import op8_token_counts
+from ordermill.llm.toxicity import op2_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_id": op1_language_id,
+        "op2_toxicity": op2_toxicity,
         "op3_sentencepiece": op3_sentencepiece,
         "op8_token_counts": op8_token_counts,
         "op9_simhash": op9_simhash,
