@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ordermill.llm.languages import op1_language_id
+from ordermill.llm.quality import op6_quality
 from ordermill.llm.sentencepieces import op3_sentencepiece
 from ordermill.llm.simhash import op9_simhash
 from ordermill.llm.token_counts import op8_token_counts
@@ -18,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_id": op1_language_id,
         "op2_toxicity": op2_toxicity,
         "op3_sentencepiece": op3_sentencepiece,
+        "op6_quality": op6_quality,
         "op8_token_counts": op8_token_counts,
         "op9_simhash": op9_simhash,
     }
