@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ordermill.llm.chats import op7_chat_windows
 from ordermill.llm.languages import op1_language_id
 from ordermill.llm.quality import op6_quality
 from ordermill.llm.sentencepieces import op3_sentencepiece
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_toxicity": op2_toxicity,
         "op3_sentencepiece": op3_sentencepiece,
         "op6_quality": op6_quality,
+        "op7_chat_windows": op7_chat_windows,
         "op8_token_counts": op8_token_counts,
         "op9_simhash": op9_simhash,
     }
