@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ordermill.llm.chats import op7_chat_windows
+from ordermill.llm.class_model import op10_class_model
 from ordermill.llm.languages import op1_language_id
 from ordermill.llm.quality import op6_quality
 from ordermill.llm.sentencepieces import op3_sentencepiece
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_chat_windows": op7_chat_windows,
         "op8_token_counts": op8_token_counts,
         "op9_simhash": op9_simhash,
+        "op10_class_model": op10_class_model,
     }
 
 
