@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ordermill.llm.chats import op7_chat_windows
 from ordermill.llm.class_model import op10_class_model
+from ordermill.llm.decontamination import op4_decontamination
 from ordermill.llm.languages import op1_language_id
+from ordermill.llm.personal_data import op5_personal_data
 from ordermill.llm.quality import op6_quality
 from ordermill.llm.sentencepieces import op3_sentencepiece
 from ordermill.llm.simhash import op9_simhash
@@ -21,6 +23,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_id": op1_language_id,
         "op2_toxicity": op2_toxicity,
         "op3_sentencepiece": op3_sentencepiece,
+        "op4_decontamination": op4_decontamination,
+        "op5_personal_data": op5_personal_data,
         "op6_quality": op6_quality,
         "op7_chat_windows": op7_chat_windows,
         "op8_token_counts": op8_token_counts,
