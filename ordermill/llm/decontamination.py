@@ -10,7 +10,9 @@ within a stretch hardly longer than the passage, and the answer, where the item
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -21,11 +23,11 @@ from ordermill.llm.codes import word_hashes
 from ordermill.session import staged
 
 PASSAGE = 48
-STEP = 16
-RANK = 64
+STEP = 32  # a window is two steps long, so it holds five sixths of any passage at least
+RANK = 224
 OVERSAMPLE = 16
 POWER = 2
-BLOCK = 4_096
+BLOCK = 256
 COSINE_SHARE = 0.4
 LCS_SHARE = 0.6
 STRETCH = 1.6
@@ -57,20 +59,35 @@ def passages(benchmark: DataFrame, id_col: str, text_col: str, answer_col: str |
     return fold_rows(rows, schema, lambda: None, add, lambda _: iter(()))
 
 
+class Terms:
+    """Ascending hashes of the passages' words; a table of their first 16 bits rules most others out."""
+
+    def __init__(self, values: np.ndarray):
+        self.values = values
+        self.first = np.zeros(1 << 16, bool)
+        self.first[values >> np.uint64(48)] = True
+
+    def places(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which words are terms, and the number of each."""
+        maybe = np.flatnonzero(self.first[words >> np.uint64(48)])
+        at = np.minimum(np.searchsorted(self.values, words[maybe]), len(self.values) - 1)
+        hit = self.values[at] == words[maybe]
+        return maybe[hit], at[hit]
+
+
 def document_frequency(docs: DataFrame, terms: np.ndarray, text_col: str) -> tuple[np.ndarray, int]:
     """In how many documents each of `terms` (ascending hashes) occurs, and the number of documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(terms)
+    shared = docs.sparkSession.sparkContext.broadcast(Terms(terms))
 
     def start():
-        return np.zeros(len(shared.value) + 1, np.int64)
+        return np.zeros(len(shared.value.values) + 1, np.int64)
 
     def add(counts, text):
-        known = shared.value
-        words = word_hashes(text or "")
-        at = np.searchsorted(known, words)
-        at = at[known[np.minimum(at, len(known) - 1)] == words]
-        counts[np.unique(at)] += 1
-        counts[-1] += 1
+        places = shared.value.places(word_hashes(text or ""))[1]
+        seen = np.zeros(len(counts), bool)
+        seen[places] = True
+        seen[-1] = True
+        counts += seen
 
     def finish(counts):
         found = np.flatnonzero(counts)
@@ -133,92 +150,98 @@ class Index:
     """A block of passages in the latent space, and what a task needs to check windows against them."""
 
     def __init__(self, terms: np.ndarray, idf: np.ndarray, space: np.ndarray, block: list[dict], share: float):
-        self.terms, self.idf = terms, idf.astype(np.float32)
+        self.terms, self.idf = Terms(terms), idf
         self.project = (space * idf[:, None]).astype(np.float32)
-        self.item = np.array([row["item_id"] if row["item_id"] is not None else -1 for row in block], np.int64)
-        self.words = [np.searchsorted(terms, np.array(row["words"], np.int64).view(np.uint64)) for row in block]
+        self.item = [row["item_id"] for row in block]
+        self.words = [np.searchsorted(terms, np.array(row["words"], np.int64).view(np.uint64)).tolist() for row in block]
+        self.weight = [float(idf[words].sum()) for words in self.words]
+        self.bag = [[(word, n * idf[word], n) for word, n in Counter(words).items()] for words in self.words]
         self.answer = [np.array(row["answer"], np.int64).view(np.uint64) for row in block]
-        self.latent = np.zeros((len(block), space.shape[1]), np.float32)
-        for i, words in enumerate(self.words):
-            self.latent[i] = self.project[words].sum(axis=0)
-        norm = np.maximum((self.latent**2).sum(axis=1), 1e-12)
+        latent = np.array([self.project[words].sum(axis=0) for words in self.words], np.float32)
         #: A window with all of a passage has the product 1 with it, one with half of its weight 1/2.
-        self.query = (self.latent / norm[:, None]).T.copy()
+        self.query = (latent / np.maximum((latent**2).sum(axis=1), 1e-12)[:, None]).T.copy()
         self.share = share
 
-    def places(self, words: np.ndarray) -> np.ndarray:
-        """Number of each word among the terms, -1 for words that no passage has."""
-        at = np.minimum(np.searchsorted(self.terms, words), len(self.terms) - 1)
-        return np.where(self.terms[at] == words, at, -1)
-
-    def candidates(self, places: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Passage and step number of windows (PASSAGE words from each STEP on) that may hold it.
+    def candidates(self, size: int, inside: np.ndarray, terms: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Step number and passage, for windows of two steps that may hold the passage.
 
-        The cosine of a window w and a passage q is to be `share` times |q| / |w| or more, that is,
-        the projections' product is `share` times |q|**2.
+        `inside` are the places, of `size`, with a term. The cosine of a window w and a passage q is to be
+        `share` times |q| / |w| or more, that is, the projections' product is `share` times |q|**2.
         """
-        steps = max(1, -(-len(places) // STEP))
-        inside = np.flatnonzero(places >= 0)
+        steps = -(-size // STEP)
         if not len(inside):
             return
-        sums = np.zeros((steps + PASSAGE // STEP - 1, self.project.shape[1]), np.float32)
+        sums = np.zeros((steps + 1, self.project.shape[1]), np.float32)
         step = inside // STEP
         first = np.flatnonzero(np.diff(step, prepend=-1))
-        for a in range(0, len(first), 2048):
-            b = min(a + 2048, len(first))
+        for a in range(0, len(first), 256):
+            b = min(a + 256, len(first))
             stop = first[b] if b < len(first) else len(inside)
-            rows = self.project[places[inside[first[a] : stop]]]
+            rows = self.project[terms[first[a] : stop]]
             sums[step[first[a:b]]] = np.add.reduceat(rows, first[a:b] - first[a], axis=0)
-        windows = sum(sums[i : i + steps] for i in range(PASSAGE // STEP))
-        for a in range(0, steps, 512):
-            at, passage = np.nonzero(windows[a : a + 512] @ self.query >= self.share)
-            yield from zip(passage.tolist(), (at + a).tolist())
-
-    def check(self, places: np.ndarray, words: np.ndarray, passage: int, step: int, lcs_share: float) -> float | None:
-        """Share of the passage's weight in the longest common subsequence near the window, if it passes."""
-        own = self.words[passage]
-        low = max(0, step * STEP - len(own))
-        high = min(len(places), step * STEP + PASSAGE + len(own))
-        share, first, last = common(own, places[low:high], self.idf)
-        if share < lcs_share or last - first + 1 > STRETCH * len(own) + 2:
-            return None
-        answer = self.answer[passage]
-        if len(answer):
-            low, high = max(0, low - PASSAGE), high + PASSAGE
-            near = words[low:high]
-            if not any(np.array_equal(near[i : i + len(answer)], answer) for i in np.flatnonzero(near == answer[0])):
-                return None
-        return share
-
-
-def common(own: np.ndarray, near: np.ndarray, weight: np.ndarray) -> tuple[float, int, int]:
-    """Weighted longest common subsequence: its share of `own`, and first and last place in `near`.
-
-    Of subsequences of the same weight, a short stretch of `near` counts.
+        for a in range(0, steps, 1024):
+            windows = sums[a : min(a + 1024, steps)] + sums[a + 1 : min(a + 1024, steps) + 1]
+            at, passage = np.nonzero(windows @ self.query >= self.share)
+            yield from zip((at + a).tolist(), passage.tolist())
+
+    def find(self, words: np.ndarray, lcs_share: float, found: dict) -> None:
+        """Adds to `found` the items in a text, with the best share of their passages."""
+        inside, terms = self.terms.places(words)
+        near_step, near, counts = -1, ([], []), Counter()
+        for step, passage in self.candidates(len(words), inside, terms):
+            item = self.item[passage]
+            if found.get(item, 0) > 0.999:
+                continue
+            if step != near_step:
+                low, high = np.searchsorted(inside, (step * STEP - PASSAGE, (step + 2) * STEP + PASSAGE))
+                near_step, near = step, (inside[low:high].tolist(), terms[low:high].tolist())
+                counts = Counter(near[1])
+            # the words in common, in any order, weigh as much as a common subsequence at least
+            shared = sum(min(counts[word], n) * (weight / n) for word, weight, n in self.bag[passage] if word in counts)
+            if shared < lcs_share * self.weight[passage]:
+                continue
+            share, first, last = common(self.words[passage], near, self.idf)
+            if share < lcs_share or last - first + 1 > STRETCH * len(self.words[passage]) + 2:
+                continue
+            answer = self.answer[passage]
+            if len(answer):
+                around = words[max(0, first - 2 * PASSAGE) : last + 2 * PASSAGE]
+                if not any(np.array_equal(around[i : i + len(answer)], answer) for i in np.flatnonzero(around == answer[0])):
+                    continue
+            found[item] = max(share, found.get(item, 0.0))
+
+
+def common(own: list[int], near: tuple[list[int], list[int]], weight: np.ndarray) -> tuple[float, int, int]:
+    """Weighted longest common subsequence: its share of `own`, and its first and last place.
+
+    `near` has places, ascending, and the term at each. Pairs of equal words are taken in the order of `own`; a
+    tree of prefix maxima over the places gives the best subsequence that each pair goes on from. Of
+    equal ones, that which begins last counts.
     """
-    size = len(near)
-    best = np.zeros(size + 1, np.float64)
-    begin = np.full(size + 1, size, np.int64)
-    total = float(weight[own].sum())
+    places, terms = near
+    where: dict[int, list[int]] = {}
+    for i, term in enumerate(terms, 1):
+        where.setdefault(term, []).append(i)
+    size = len(terms)
+    tree: list[tuple[float, int]] = [(0.0, -1)] * (size + 1)
+    best = (0.0, -1, -1)
     for word in own:
-        hits = near == word
-        take = np.where(hits, best[:-1] + weight[word], -1.0)
-        fresh = best[:-1] == 0
-        start = np.where(fresh, np.arange(size), begin[:-1])
-        better = (take > best[1:]) | ((take == best[1:]) & (start > begin[1:]))
-        value, origin = np.where(better, take, best[1:]), np.where(better, start, begin[1:])
-        # a place without a match of its own carries the best before it
-        top = np.maximum.accumulate(value)
-        lead = np.flatnonzero(np.concatenate([[True], value[1:] > top[:-1]]))
-        carrier = lead[np.searchsorted(lead, np.arange(size), side="right") - 1]
-        keep = value >= top
-        carried = np.where(keep, np.arange(size), carrier)
-        best[1:], begin[1:] = value[carried], origin[carried]
-    if not size or best[-1] <= 0:
+        value = float(weight[word])
+        for i in reversed(where.get(word, ())):
+            top, j = (0.0, -1), i - 1
+            while j:
+                top = max(top, tree[j])
+                j &= j - 1
+            entry = (round(top[0] + value, 9), top[1] if top[1] >= 0 else i - 1)
+            if (entry[0], entry[1] - i) > (best[0], best[1] - best[2]):
+                best = (entry[0], entry[1], i)
+            j = i
+            while j <= size:
+                tree[j] = max(tree[j], entry)
+                j += j & -j
+    if best[1] < 0:
         return 0.0, 0, 0
-    full = np.flatnonzero(best >= best[-1] - 1e-9)
-    last = int(full[np.argmin(full - begin[full])])
-    return float(best[-1] / max(total, 1e-12)), int(begin[last]), last - 1
+    return best[0] / max(float(sum(weight[word] for word in own)), 1e-12), places[best[1]], places[best[2] - 1]
 
 
 def find_leaks(
@@ -236,8 +259,8 @@ def find_leaks(
 ) -> DataFrame:
     """(doc_id, item_id, lcs_share): which documents hold which benchmark items, once per pair.
 
-    All documents and all passages are searched; passages are the stated query set, taken in blocks of
-    `block`, each of which is one pass over the documents. Whole texts are searched. NULL and empty
+    All documents and all passages are searched; passages are the stated query set, taken in blocks of about
+    `block`, each with a latent space of its own and one pass over the documents. Whole texts are searched. NULL and empty
     texts hold nothing; items without words are found nowhere; items whose `answer_col` is
     there and has words are found only near their answer. Repeated rows are found once; rows with a
     NULL doc_id or item_id have a NULL there. Without benchmark items the result is empty.
@@ -252,20 +275,19 @@ def find_leaks(
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     counts, total = document_frequency(texts, terms, "text")
     idf = np.log((1 + total) / (1 + counts)) + 0.05
-    space = latent_space(rows, terms, idf, rank)
-    size = rows.count()
-    numbered = rows.orderBy("item_id", "passage").toArrow().to_pylist() if size <= block else None
+    blocks = math.ceil(rows.count() / block)
+    number = F.pmod(F.xxhash64("item_id", "passage", "words"), F.lit(blocks))
     found = []
-    for first in range(0, size, block):
-        if numbered is None:
-            share = F.pmod(F.xxhash64("item_id", "passage", "words"), F.lit(math.ceil(size / block))) == first // block
-            part = rows.where(share).toArrow().to_pylist()
-        else:
-            part = numbered
-        found.append(_search(texts, Index(terms, idf, space, part, cosine_share), lcs_share, schema))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
+    for part in range(blocks):
+        own = rows.where(number == part) if blocks > 1 else rows
+        held = own.orderBy("item_id", "passage").toArrow().to_pylist()
+        if not held:
+            continue
+        known = np.unique(np.concatenate([row["words"] for row in held]).astype(np.int64).view(np.uint64))
+        weight = idf[np.searchsorted(terms, known)]
+        space = latent_space(own, known, weight, rank)
+        found.append(_search(texts, Index(known, weight, space, held, cosine_share), lcs_share, schema))
+    out = reduce(DataFrame.unionByName, found)
     return out.groupBy("doc_id", "item_id").agg(F.max("lcs_share").alias("lcs_share"))
 
 
@@ -274,17 +296,10 @@ def _search(texts: DataFrame, index: Index, lcs_share: float, schema: str) -> Da
 
     def add(state, doc_id, text):
         words = word_hashes(text or "")
-        found: dict[int, float] = {}
+        found: dict[int | None, float] = {}
         for first in range(0, len(words), _WORDS_AT_ONCE):
             # pieces of a very long text overlap, so that no passage is cut
-            part = words[max(0, first - 4 * PASSAGE) : first + _WORDS_AT_ONCE]
-            places = shared.value.places(part)
-            for passage, step in shared.value.candidates(places):
-                item = int(shared.value.item[passage])
-                if found.get(item, 0) < 0.999:
-                    share = shared.value.check(places, part, passage, step, lcs_share)
-                    if share is not None:
-                        found[item] = max(share, found.get(item, 0.0))
+            shared.value.find(words[max(0, first - 4 * PASSAGE) : first + _WORDS_AT_ONCE], lcs_share, found)
         if found:
             yield [doc_id] * len(found), list(found), list(found.values())
 
