@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from ordermill.llm.codes import folded
 PROFILE = 400
 DOCUMENT = 300
 LANGUAGES = 2_000
+LEAST_SCORE = 0.3
 EDGE = 1  # stands for a word's edge in an n-gram; no letter has this code point
 _FLUSH = 1 << 20
 _GRAMS = 400_000
@@ -147,6 +149,28 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
     )
 
 
+def identify_kept(docs: DataFrame, profiles: Profiles, text_col: str = "text", least: float = LEAST_SCORE) -> DataFrame:
+    """The rows whose text is in a learned language, with all their columns.
+
+    Rejected are texts that `identify` calls `und`, and those with a score below `least`: their n-grams are
+    mostly in no profile. So are NULL and empty texts.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(profiles)
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(place)
+            keep = []
+            for i in range(batch.num_rows):
+                language, score = shared.value.best(texts[i].as_py())
+                if language != "und" and score >= least:
+                    keep.append(i)
+            yield batch.take(pa.array(keep, pa.int64()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     profiles = learn_profiles(docs.where(fold_of(F.col("doc_id")) != 0))

@@ -262,5 +262,16 @@ def near_duplicates(
     )
 
 
+def keep_first(docs: DataFrame, words: int = WORDS, reach: int = REACH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each group of near duplicates, that with the smallest id, with all its columns.
+
+    Rows that share an id count as one document. Rows without an id cannot be told apart and stay.
+    """
+    groups = near_duplicates(docs, words, reach, id_col=id_col, text_col=text_col)
+    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
+    kept = docs.join(first, id_col, "left_semi").dropDuplicates([id_col])
+    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
