@@ -2,19 +2,60 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ordermill.llm.batches import table
+from ordermill.llm.decontamination import find_leaks
+from ordermill.llm.languages import identify_kept, learn_profiles
+from ordermill.llm.personal_data import redact_documents
+from ordermill.llm.sentencepieces import MODEL, encode_documents
+from ordermill.llm.simhash import keep_first
 from ordermill.session import staged
 
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is in a learned language; those without a letter or near no profile go."""
+    return identify_kept(docs, learn_profiles(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: that with the smallest id."""
+    return keep_first(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark. Rows that share an id stay or go together."""
+    leaks = find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    leaks = leaks.withColumnRenamed("doc_id", "leak_id")
+    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["leak_id"]), "left_anti")
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind; n_chars follows."""
+    return redact_documents(docs)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids, source spans and decoded text of each document: rows for training."""
+    return encode_documents(docs, public_tokenizers.path(MODEL))
+
+
 #: (name, function) in order; a function takes (spark, docs, sf_dir) and returns a DataFrame.
-STAGES = []
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("encoding", encoding),
+]
 
 #: Language profiles, latent spaces and encodings are not expressible in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages on the documents table; each stage's rows are written to the shared folder."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), name)
