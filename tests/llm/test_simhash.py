@@ -1,0 +1,111 @@
+"""Near duplicates against all pairs."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import numpy as np
+import xxhash
+
+from ordermill.llm import simhash
+from ordermill.llm.simhash import connected, deal, fingerprint, grow, keep_first, leaves, links, near_duplicates, sets
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def by_definition(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    ones = Counter()
+    for shingle in shingles:
+        h = xxhash.xxh64_intdigest(shingle.encode(), 42)
+        ones.update(bit for bit in range(64) if h >> bit & 1)
+    value = sum(1 << bit for bit, n in ones.items() if 2 * n > len(shingles))
+    return value - (1 << 64) if value >> 63 else value
+
+
+def brute(ids, values):
+    values = np.array(values, np.int64).view(np.uint64)
+    left, right = np.nonzero(np.bitwise_count(values[:, None] ^ values[None, :]) <= 3)
+    label = sets(len(values), left, right)
+    smallest = {}
+    for doc_id, root in zip(ids, label.tolist()):
+        if doc_id is not None:
+            smallest[root] = min(smallest.get(root, doc_id), doc_id)
+    return [smallest.get(root) for root in label.tolist()]
+
+
+def clustered(seed, size=3000):
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 1 << 63, size, dtype=np.uint64) << np.uint64(1)
+    near = base[: size // 4].copy()
+    for _ in range(2):
+        near ^= np.uint64(1) << rng.integers(0, 64, len(near)).astype(np.uint64)
+    dense = base[:1].repeat(size // 4)
+    for _ in range(3):
+        dense ^= np.uint64(1) << rng.integers(0, 64, len(dense)).astype(np.uint64)
+    return rng.permutation(np.unique(np.concatenate([base, near, dense, np.zeros(1, np.uint64)])))
+
+
+def test_fingerprints():
+    for text in [None, "", " \n", "One", "one TWO", "a b c", "É Ä a b c d", "x " * 50, "a\x1cb c d e f g"]:
+        assert fingerprint(text) == by_definition(text)
+
+
+def test_shards_and_trees_lose_no_link():
+    for seed in range(3):
+        values = clustered(seed)
+        left, right = np.nonzero(np.bitwise_count(values[:, None] ^ values[None, :]) <= 3)
+        expected = sets(len(values), left, right)
+        a, b = links(values, np.zeros(0, np.uint64), 3)
+        assert (sets(len(values), a, b) == expected).all()
+        tree = grow(values[:500], 4, 2)
+        assert leaves(tree) > 4
+        ends, homes = [], 0
+        for _, home, guests in deal(tree, values, 3):
+            homes += len(home)
+            place = np.concatenate([home, guests])
+            a, b = links(values[home], values[guests], 3)
+            ends.append((place[a], place[b]))
+        assert homes == len(values)
+        assert (sets(len(values), *(np.concatenate(side) for side in zip(*ends))) == expected).all()
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(7, 205), (300, 300)]
+    found = {row.node: row.root for row in connected(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert all(found.get(i, i) == 0 for i in [*range(41), 205])
+    assert all(found[i] == 100 for i in range(101, 160))
+    assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_query_against_all_pairs(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    values = [by_definition(row.text) for row in docs]
+    expected = dict(zip([row.doc_id for row in docs], zip(values, brute([row.doc_id for row in docs], values))))
+    rows = simhash.op9_simhash(spark, SF_DIR).collect()
+    assert len(rows) == len(docs)
+    for row in rows:
+        value, component = expected[row.doc_id]
+        assert (row.fingerprint, row.component_id) == (f"{value & (1 << 64) - 1:016x}", component)
+
+
+def test_many_shards_give_the_same(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    one = sorted(map(tuple, near_duplicates(docs).collect()))
+    assert one == sorted(map(tuple, near_duplicates(docs, shard=40).collect()))
+
+
+def test_odd_rows(spark):
+    text = "the same words over and over again in this text"
+    rows = [(5, text, "a"), (3, text, "b"), (3, text, "b"), (None, text, "c"), (9, None, "d"), (8, "", "e"), (None, None, "f"), (7, "other words", "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fingerprint string")
+    found = sorted((row.doc_id or -1, row.component_id) for row in near_duplicates(docs).collect())
+    assert found == [(-1, 3), (-1, 8), (3, 3), (3, 3), (5, 3), (7, 7), (8, 8), (9, 8)]
+    kept = sorted((row.doc_id or -1, row.fingerprint) for row in keep_first(docs).collect())
+    assert kept == [(-1, "c"), (-1, "f"), (3, "b"), (7, "g"), (8, "e")]
+    assert near_duplicates(docs.limit(0)).count() == 0
+    assert near_duplicates(docs.where("doc_id IS NULL")).where("component_id IS NULL").count() == 2
