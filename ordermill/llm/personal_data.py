@@ -93,6 +93,8 @@ DIGIT_WORDS = {
 AT_WORDS = "at|arroba"
 DOT_WORDS = "dot|punkt|punto|point"
 PLUS_WORDS = "plus"
+# Endings that a domain spoken as mere words has to have; any will do where signs are bracketed.
+TOP_LEVELS = "com|org|net|edu|gov|mil|int|info|biz|io|co|me|ai|app|dev|de|fr|es|it|nl|uk|us|eu|ch|be|ca|au|br|jp|cn|ru"
 INVISIBLE = "­​‌‍⁠﻿"
 
 
@@ -213,7 +215,7 @@ def _disguises() -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern, re.Pat
     any_dot = rf"(?:\.|{dots})"
     name = r"[A-Za-z0-9_%+-]{1,64}"
     # `at` as a mere word counts only where a dot is disguised as well
-    mail = rf"{name}(?:{any_dot}{name}){{0,8}}(?:(?:{ats}|@){label}(?:{any_dot}{label}){{1,8}}|{spoken(AT_WORDS)}{label}(?:\.{label}){{0,8}}{dots}{label}(?:{any_dot}{label}){{0,8}})"
+    mail = rf"{name}(?:{any_dot}{name}){{0,8}}(?:(?:{ats}|@){label}(?:{any_dot}{label}){{1,8}}|{spoken(AT_WORDS)}{label}(?:{any_dot}{label}){{0,8}}{dots}(?:{label}{any_dot}){{0,8}}(?:{TOP_LEVELS})(?![A-Za-z0-9-]))"
     address = rf"[0-9]{{1,3}}(?:{any_dot}[0-9]{{1,3}}){{3}}"
     words = {word: digit for digit, names in DIGIT_WORDS.items() for word in names.split()}
     number = rf"(?:{'|'.join(sorted(words, key=len, reverse=True))})"

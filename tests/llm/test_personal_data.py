@@ -1,0 +1,115 @@
+"""Personal data: plain forms against the patterns, disguises, offsets."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from ordermill.llm.personal_data import Rewritten, detect, find, find_in_documents, op5_personal_data, redact, redact_documents, shown
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def by_patterns(text):
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(part) <= 255 for part in m[0].split(".")):
+            out.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        total = sum(int(c) if i % 2 == 0 else sum(map(int, str(2 * int(c)))) for i, c in enumerate(reversed(digits)))
+        if 16 <= len(digits) <= 19 and total % 10 == 0:
+            out.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 8 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append(("phone", *m.span()))
+    return out
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab.@-+%0123 45()é\n"), max_size=60))
+def test_plain_forms(text):
+    assert detect(text) == by_patterns(text)
+    base, spans = find(text)
+    assert base == detect(text) and set(base) <= set(spans)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from("0123456789- "), max_size=200))
+def test_cards(text):
+    assert detect(text) == by_patterns(text)
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "part"),
+    [
+        ("write to jane dot doe at example dot com now", "email", "jane dot doe at example dot com"),
+        ("jane (at) example.com", "email", "jane (at) example.com"),
+        ("jane[at]example[dot]org!", "email", "jane[at]example[dot]org"),
+        ("see jane@example [dot] com", "email", "jane@example [dot] com"),
+        ("to ｊａｎｅ＠ｅｘａｍｐｌｅ．ｃｏｍ x", "email", "ｊａｎｅ＠ｅｘａｍｐｌｅ．ｃｏｍ"),
+        ("to j​ane@example.com", "email", "j​ane@example.com"),
+        ("to jаne@exаmple.com", "email", "jаne@exаmple.com"),
+        ("at 192 dot 168 dot 1 dot 10", "ip", "192 dot 168 dot 1 dot 10"),
+        ("call plus one five five five one two three four five six seven now", "phone", "plus one five five five one two three four five six seven"),
+        ("call +1 five five five 0199 two two two", "phone", "+1 five five five 0199 two two two"),
+        ("no four one one one one one one one one one one one one one one one", "card", "four one one one one one one one one one one one one one one one"),
+        ("no ٤١١١ ١١١١ ١١١١ ١١١١", "card", "٤١١١ ١١١١ ١١١١ ١١١١"),
+    ],
+)
+def test_disguises(text, kind, part):
+    base, spans = find(text)
+    start = text.index(part)
+    assert (kind, start, start + len(part)) in spans
+    assert (kind, start, start + len(part)) not in base
+    assert redact(text, spans) == text.replace(part, f"<{kind.upper()}>")
+
+
+@pytest.mark.parametrize("text", ["look at example.com dot", "one two three four", "un dos tres", "he was at home dot and so on", "point at it", "жена и дом", "five six seven eight nine ten cars"])
+def test_plain_prose_is_left_alone(text):
+    assert find(text) == ([], [])
+
+
+def test_offsets_through_two_rewritings():
+    first = Rewritten("ab[x]cd")
+    first.replace(2, 5, "")
+    assert first.close() == "abcd"
+    assert [first.begin_of(i) for i in range(4)] == [0, 1, 5, 6]
+    assert [first.end_of(i) for i in range(1, 5)] == [1, 2, 6, 7]
+    assert first.touched(1, 3) and not first.touched(0, 2) and not first.touched(2, 4)
+
+
+def test_long_texts_take_time_in_proportion():
+    for unit in ("a", "1", "1 ", "a@", "1.", "+1", "[at]", "a dot ", "one ", "1 dot "):
+        find(unit * 40_000)
+
+
+def test_query(spark):
+    docs = {row.doc_id: row.text for row in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    rows = op5_personal_data(spark, SF_DIR).collect()
+    assert {row.doc_id for row in rows} == set(docs)
+    for row in rows:
+        base = by_patterns(docs[row.doc_id])
+        kinds = [kind for kind, _, _ in base]
+        assert (row.n_email, row.n_ip, row.n_card, row.n_phone) == tuple(map(kinds.count, ("email", "ip", "card", "phone")))
+        assert row.base_sha256 == hashlib.sha256(shown(base).encode()).hexdigest()
+        assert set(shown(base).split(",")) <= set(row.spans.split(","))
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, 3, "x"), (None, "", 0, "y"), (2, "a@b.c and a@b.c", 15, "z"), (2, "a@b.c and a@b.c", 15, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, spans string")
+    assert sorted((row.doc_id or 0, row.n_email) for row in find_in_documents(docs).collect()) == [(0, 0), (1, 0), (2, 2), (2, 2)]
+    clean = redact_documents(docs)
+    assert clean.dtypes == docs.dtypes
+    assert sorted(((row.doc_id or 0, row.text, row.n_chars, row.spans) for row in clean.collect()), key=str) == [
+        (0, "", 0, "y"),
+        (1, None, 3, "x"),
+        (2, "<EMAIL> and <EMAIL>", 19, "z"),
+        (2, "<EMAIL> and <EMAIL>", 19, "z"),
+    ]
+    assert find_in_documents(docs.limit(0)).count() == redact_documents(docs.limit(0)).count() == 0

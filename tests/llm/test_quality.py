@@ -1,0 +1,76 @@
+"""Rule statistics against a plain count; the forest; calibration."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import numpy as np
+
+from ordermill.llm.quality import FEATURES, RULES, IsolationForest, calibrate, expected_path, judge, op6_quality, rule_statistics
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def plain(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = list(zip(words, words[1:], words[2:]))
+    counts, places, seen, duplicates = Counter(windows), set(), set(), 0
+    for i, window in enumerate(windows):
+        if counts[window] > 1:
+            places |= {i, i + 1, i + 2}
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            duplicates += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), duplicates, len(places)
+
+
+def test_statistics():
+    for text in ["", " \n\t", "a", "a b c a b c", "x x x x", "l\nl\n\n \nl ", "é\x1cü\x85 $%&", "a b\x0bc\x0cd" * 3, "# " * 100]:
+        assert rule_statistics(text)[:5] == plain(text)
+    assert rule_statistics(None) == rule_statistics("")
+
+
+def test_forest_isolates_the_odd_row():
+    rng = np.random.default_rng(1)
+    rows = np.vstack([rng.normal(size=(500, 3)), [[9, 9, 9]]])
+    score = IsolationForest(rows).anomaly(rows)
+    assert score.argmax() == 500
+    assert ((0 < score) & (score < 1)).all()
+    assert expected_path(np.array([0, 1, 2])).tolist() == [0, 0, 1]
+    assert IsolationForest(np.ones((50, 2))).anomaly(np.ones((1, 2)))[0] > 0
+    assert IsolationForest(np.zeros((0, 3))).anomaly(np.zeros((2, 3))).tolist() == [0, 0]
+
+
+def test_threshold_allows_few_false_rejects(spark):
+    scored = spark.createDataFrame([(i, i / 1000) for i in range(1000)], "doc_id long, anomaly double")
+    labels = spark.createDataFrame([(i, int(i < 900)) for i in range(1000)] + [(5, 1), (None, 0), (6, None)], "doc_id long, quality int")
+    assert abs(calibrate(scored, labels, 0.01) - 0.9) < 0.002
+    assert calibrate(scored, labels.where("quality = 0"), 0.01) == 1.0
+
+
+def test_query(spark):
+    docs = {row.doc_id: row.text for row in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    rows = {row.doc_id: row for row in op6_quality(spark, SF_DIR).collect()}
+    assert set(rows) == set(docs)
+    for doc_id, row in rows.items():
+        counts = plain(docs[doc_id])
+        assert tuple(row[name] for name in RULES) == counts
+        assert row.base_failed == (counts[0] < 50 or 100 * counts[4] > 50 * counts[0])
+        assert not (row.base_failed and row.kept)
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()
+    passing = [(label.quality, rows[label.doc_id].kept) for label in labels if not rows[label.doc_id].base_failed]
+    good = [kept for quality, kept in passing if quality]
+    bad = [kept for quality, kept in passing if not quality]
+    assert sum(good) / len(good) > 0.97
+    assert sum(bad) / len(bad) < 0.5
+
+
+def test_odd_rows(spark):
+    rows = [(1, "w " * 60, "x"), (1, "w " * 60, "x"), (None, None, "y"), (2, "", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    labels = spark.createDataFrame([(1, 1), (None, 0)], "doc_id long, quality int")
+    assert [row.kept for row in judge(docs, labels).collect()] == [False] * 4
+    assert judge(docs.limit(0), labels.limit(0)).count() == 0
+    assert len(FEATURES) + len(RULES) == len(rule_statistics(""))
