@@ -1,7 +1,7 @@
 """Seconds per registered query and per pipeline step, as one JSON line.
 
 Every query starts from the test tables, including whatever it stores on the way. The pipeline
-runs once from landed JSON pages; making those pages is not timed.
+runs once from landed JSON pages, at the given size and at sf0.01; making those pages is not timed.
 """
 
 from __future__ import annotations
@@ -12,36 +12,16 @@ import sys
 import time
 import uuid
 
-from ordermill.fixtures import orders as fixture
-from ordermill.fixtures.queries import queries
-from ordermill.plans import cleaning, rates
+from ordermill.fixtures.orders import TODAY
+from ordermill.fixtures.queries import _land, queries
 from ordermill.plans.pipeline import run_pipeline
-from ordermill.session import build_session, shared_dir, staged
+from ordermill.session import build_session, shared_dir
 from ordermill.sources import Warehouse
 
 
-def land(spark, sf_dir: str, folder: str) -> None:
-    """Write pages and rate documents as a source leaves them: flat folders of small files."""
-    raw = staged(fixture.raw_orders(spark, sf_dir), "raw")
-    dates = rates.required_dates(cleaning.clean_orders(raw))
-
-    def write_files(sub: str, df) -> None:
-        os.makedirs(f"{folder}/{sub}")
-
-        def write(row) -> None:
-            with open(f"{folder}/{sub}/{row[0]}.json", "w", encoding="utf-8") as file:
-                file.write(row[1])
-
-        df.foreach(write)
-
-    write_files("orders", fixture.order_pages(raw).selectExpr("concat('offset=', page_offset)", "page"))
-    write_files("fx", fixture.fx_documents(fixture.source_rates(dates)).select("document", "content"))
-
-
 def pipeline_steps(spark, sf_dir: str) -> dict[str, dict]:
     folder = f"{shared_dir(spark)}/ordermill-bench/{uuid.uuid4().hex}"
-    land(spark, sf_dir, folder)
-    run_pipeline(spark, f"{folder}/root", f"{folder}/orders", f"{folder}/fx", today=fixture.TODAY)
+    run_pipeline(spark, f"{folder}/root", *_land(spark, sf_dir, packed=True), today=TODAY, packed=True)
     runs = Warehouse(spark, f"{folder}/root").runs().orderBy("run_at").collect()
     return {run.step_name: {"sec": float(run.duration_seconds), "rows": run.rows_processed} for run in runs}
 
@@ -71,6 +51,8 @@ def main() -> None:
     only = sys.argv[1:]
     seconds = {name: timed(query) for name, query in registered.items() if not only or name in only}
     steps = {} if only else pipeline_steps(spark, sf_dir)
+    small = os.path.join(os.path.dirname(sf_dir), "sf0.01")
+    steps_small = pipeline_steps(spark, small) if steps and small != sf_dir and os.path.isdir(small) else {}
     print(
         json.dumps(
             {
@@ -79,6 +61,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "pipeline": steps,
+                "pipeline_sf0.01": steps_small,
                 "sf": sf_dir.rsplit("sf", 1)[-1],
                 "cpus": cpus,
             }

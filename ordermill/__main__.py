@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from collections.abc import Sequence
 
 from .plans.marts import REVENUE_CATEGORIES, REVENUE_THRESHOLD_EUR, top_customers
 from .plans.pipeline import run_pipeline
-from .session import build_session
+from .session import build_session, input_bytes, shuffle_partitions_for
 from .sources import Warehouse, point_tables_at
 
 
-def main() -> None:
+def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="ordermill", description=__doc__)
     parser.add_argument("--orders", required=True, help="folder of landed order pages")
     parser.add_argument("--fx", required=True, help="folder of landed exchange-rate documents")
@@ -21,10 +22,15 @@ def main() -> None:
     parser.add_argument("--threshold", default=REVENUE_THRESHOLD_EUR, help="EUR revenue a country must exceed")
     parser.add_argument("--seed", choices=("required", "asof"), default="required")
     parser.add_argument("--rejects", help="folder for lines left out by cleaning")
-    parser.add_argument("--database", help="catalog database to show the tables in")
-    args = parser.parse_args()
-
-    spark = build_session()
+    parser.add_argument("--database", help="catalog database to show the tables in; name it on every run, or it goes stale")
+    parser.add_argument("--shuffle-partitions", type=int, help="default: so that 128 MB of the input fall to each")
+    args = parser.parse_args(argv)
+
+    spark = build_session(shuffle_partitions=args.shuffle_partitions)
+    if not args.shuffle_partitions:
+        size = input_bytes(spark, args.orders)
+        partitions = shuffle_partitions_for(size, spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     counts = run_pipeline(
         spark,
         args.root,

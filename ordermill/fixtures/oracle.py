@@ -6,27 +6,24 @@ are exact and equal to decimal arithmetic to the last cent.
 
 from __future__ import annotations
 
-from .orders import TODAY
+from .orders import LINES_PER_PAGE, PAGE_GAP, TODAY, page_rule
 
 EARLIER_TODAY = "2000-06-30"
 
 RAW = """
 numbered AS (
-  SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, l_extendedprice,
-    l_orderkey * 1000 + row_number() OVER (
-      PARTITION BY l_orderkey
-      ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS n
-  FROM lineitem),
+  SELECT *, l_orderkey * 8 + l_linenumber + l_partkey * 3 + l_suppkey AS n FROM lineitem),
 base AS (
   SELECT numbered.*, o_custkey, CAST(o_orderdate AS DATE) AS od,
-    substr('BKELBEFAHKSP', CAST(l_partkey % 6 * 2 + 1 AS INTEGER), 2) AS code,
+    ['BK', 'EL', 'BE', 'FA', 'HK', 'SP'][l_partkey % 6 + 1] AS code,
     lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') AS num,
     l_orderkey % 24 AS hh, l_orderkey % 60 AS mi,
     lpad(CAST(l_orderkey % 24 AS VARCHAR), 2, '0') || ':' || lpad(CAST(l_orderkey % 60 AS VARCHAR), 2, '0') AS hhmm,
     (o_custkey + CASE WHEN l_orderkey % 13 = 0 THEN 1 ELSE 0 END) % 4 AS cc
   FROM numbered JOIN orders ON l_orderkey = o_orderkey),
 raw_once AS (
-  SELECT n AS src_ord,
+  SELECT n, [l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_quantity * 100) AS BIGINT),
+      CAST(round(l_extendedprice * 100) AS BIGINT)] AS place,
     'ORD' || l_orderkey AS order_id,
     CASE WHEN l_orderkey % 89 <> 0 THEN o_custkey END AS customer_id,
     CASE WHEN l_orderkey % 97 = 0 THEN 'qa' || o_custkey || '@internal.example'
@@ -53,8 +50,11 @@ raw_once AS (
     od AS fx_reference_date
   FROM base),
 raw_orders AS (
-  SELECT * EXCLUDE (copy) REPLACE (src_ord + copy AS src_ord)
-  FROM (SELECT *, unnest(CASE WHEN src_ord % 49 = 0 THEN [0, 500] ELSE [0] END) AS copy FROM raw_once))"""
+  SELECT list_append(place, copy) AS src_ord, * EXCLUDE (n, place, copy)
+  FROM (SELECT *, unnest(CASE WHEN n % 49 = 0 THEN [0::BIGINT, 1::BIGINT] ELSE [0::BIGINT] END) AS copy FROM raw_once))"""
+
+# Positions leave as text.
+PLACE = "array_to_string(src_ord, ':') AS src_ord"
 
 # One row per raw line with the cleaned columns next to the raw ones.
 TYPED = """
@@ -89,6 +89,21 @@ clean AS (
   FROM first_lines)"""
 
 
+def _paged(source: str) -> str:
+    """CTE `paged`: the lines with the position they have in landed pages."""
+    return f"""
+paged AS (
+  SELECT * EXCLUDE (page_no) REPLACE (
+    page_no * {PAGE_GAP} - 1 + row_number() OVER (PARTITION BY page_no ORDER BY src_ord) AS src_ord)
+  FROM (SELECT *, {page_rule("src_ord[1]", "src_ord[3]", "src_ord[2]")}
+    % (SELECT greatest(1, (count(*) + {LINES_PER_PAGE} - 1) // {LINES_PER_PAGE}) FROM lineitem) AS page_no
+    FROM {source}))"""
+
+
+# The raw lines as they come out of landed pages: what is first there decides between duplicates.
+LANDED = RAW.replace("raw_orders AS (", "listed AS (") + "," + _paged("listed") + ",\nraw_orders AS (SELECT * FROM paged)"
+
+
 def _rates(name: str, today: str, where: str = "TRUE", seed: str = "required") -> str:
     """CTEs `<name>_dates`, `<name>_source` and `<name>`: required dates, source rates, filled rates."""
     join = "LEFT JOIN" if seed == "required" else "FULL JOIN"
@@ -191,14 +206,87 @@ _RATE_COLUMNS = (
 )
 
 
+COUNTRY_REVENUE = f"\ncountry_revenue AS ({_revenue(None)})"
+
+_PAGES = _with(LANDED, "SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM raw_orders")
+_STEPS = ("ingest", "clean", "fx_rates", "customer_spend_eur", "country_category_revenue")
+
+
+def _run_log() -> str:
+    """One row per step: what it wrote and what it left out."""
+    counters = {
+        "raw": ("clean", "SELECT count(*) FROM raw_orders"),
+        "test": ("clean", "SELECT count(*) FROM typed WHERE reject_reason = 'test'"),
+        "negative_qty": ("clean", "SELECT count(*) FROM typed WHERE reject_reason = 'negative_qty'"),
+        "duplicates": (
+            "clean",
+            "SELECT (SELECT count(*) FROM typed WHERE reject_reason IS NULL) - (SELECT count(*) FROM clean)",
+        ),
+        "unparseable_times": ("clean", "SELECT count(*) FROM clean WHERE order_ts IS NULL"),
+        "required_dates": ("fx_rates", "SELECT count(*) FROM all_dates"),
+        "estimated": ("fx_rates", "SELECT count(*) FROM rates WHERE is_estimated"),
+        "dates_without_rate": ("fx_rates", "SELECT (SELECT count(*) FROM all_dates) - (SELECT count(*) FROM rates)"),
+    }
+    rows = {
+        "ingest": "raw_orders",
+        "clean": "clean",
+        "fx_rates": "rates",
+        "customer_spend_eur": "customer_spend",
+        "country_category_revenue": "country_revenue",
+    }
+    unrated = {
+        "customer_spend_eur": "customer_id IS NOT NULL",
+        "country_category_revenue": "category IN ('Books', 'Electronics')",
+    }
+    selects = []
+    for step in _STEPS:
+        found = [f"({sql}) AS {name}" if of == step else f"NULL::BIGINT AS {name}" for name, (of, sql) in counters.items()]
+        lost = (
+            f"(SELECT count(*) FROM eur_lines WHERE status = 'completed' AND rate_e6 IS NULL AND {unrated[step]})"
+            if step in unrated
+            else "NULL::BIGINT"
+        )
+        selects.append(
+            f"SELECT '{step}' AS step_name, 'success' AS status, (SELECT count(*) FROM {rows[step]}) AS rows_processed,"
+            f" NULL::VARCHAR AS error_message, {', '.join(found)}, {lost} AS lines_without_rate"
+        )
+    return _with(LANDED, *_TO_SPEND[1:], f"\ncountry_revenue AS ({_revenue(40_000)})", " UNION ALL ".join(selects))
+
+
+def _catalog_counts() -> str:
+    tables = {
+        "orders_raw": "raw_orders",
+        "orders_clean": "clean",
+        "fx_rates": "rates",
+        "customer_spend_eur": "customer_spend",
+        "country_category_revenue": "country_revenue",
+    }
+    selects = [f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {source}" for name, source in tables.items()]
+    selects.append(f"SELECT 'pipeline_runs', {len(_STEPS)}")
+    return _with(LANDED, *_TO_SPEND[1:], f"\ncountry_revenue AS ({_revenue(40_000)})", " UNION ALL ".join(selects))
+
+
 def oracle_sql() -> dict[str, str]:
     today = TODAY.isoformat()
     return {
         "order_pages": _with(
             RAW,
-            """SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price, src_ord // 250000 * 250000 - 1
-  + row_number() OVER (PARTITION BY src_ord // 250000 ORDER BY src_ord) AS src_ord) FROM raw_orders""",
+            _paged("raw_orders"),
+            "SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM paged",
+        ),
+        "landed_pages": _PAGES,
+        "landed_packed_pages": _PAGES,
+        "landed_documents": _with(*_TO_RATES, f"SELECT {_RATE_COLUMNS} FROM rates_source"),
+        "published_orders": _with(
+            LANDED,
+            *_TO_CLEAN[1:],
+            "SELECT * EXCLUDE (src_ord) REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM clean",
         ),
+        "published_rates": _with(LANDED, *_TO_RATES[1:], f"SELECT {_RATE_COLUMNS}, is_estimated FROM rates"),
+        "published_spend": _with(LANDED, *_TO_SPEND[1:], "SELECT * FROM customer_spend"),
+        "published_revenue": _with(LANDED, *_TO_EUR[1:], _revenue(40_000)),
+        "run_log": _run_log(),
+        "catalog_counts": _catalog_counts(),
         "raw_orders_profile": _with(
             RAW,
             """SELECT count(*) AS line_count, count(DISTINCT customer_id) AS customers,
@@ -216,12 +304,12 @@ def oracle_sql() -> dict[str, str]:
     WHEN order_ts LIKE '__/__/____ __:__' THEN 'day_first' ELSE 'other' END AS format, count(*) AS line_count
 FROM raw_orders GROUP BY 1""",
         ),
-        "clean_order_ts": _with(RAW, TYPED, "SELECT src_ord, order_ts AS raw_ts, clean_ts AS order_ts FROM typed"),
-        "clean_sku": _with(RAW, TYPED, "SELECT src_ord, sku AS raw_sku, clean_sku AS sku FROM typed"),
+        "clean_order_ts": _with(RAW, TYPED, f"SELECT {PLACE}, order_ts AS raw_ts, clean_ts AS order_ts FROM typed"),
+        "clean_sku": _with(RAW, TYPED, f"SELECT {PLACE}, sku AS raw_sku, clean_sku AS sku FROM typed"),
         "clean_category": _with(
             RAW,
             TYPED,
-            "SELECT src_ord, clean_sku AS sku, category AS raw_category, clean_category AS category, had_null_category"
+            f"SELECT {PLACE}, clean_sku AS sku, category AS raw_category, clean_category AS category, had_null_category"
             " FROM typed",
         ),
         "quality_flags": _with(
@@ -234,7 +322,7 @@ FROM typed GROUP BY ALL""",
             RAW, TYPED, "SELECT reject_reason, count(*) AS line_count FROM typed GROUP BY reject_reason"
         ),
         "quarantine": _with(
-            RAW, TYPED, "SELECT src_ord, order_id, sku, status, qty, reject_reason FROM typed WHERE reject_reason IS NOT NULL"
+            RAW, TYPED, f"SELECT {PLACE}, order_id, sku, status, qty, reject_reason FROM typed WHERE reject_reason IS NOT NULL"
         ),
         "cleaning_funnel": _with(
             *_TO_CLEAN,
@@ -245,7 +333,7 @@ FROM (SELECT 1 AS stage_no, 'raw' AS stage, count(*) AS row_count FROM raw_order
     WHERE status IS DISTINCT FROM 'test' AND (qty >= 0 OR qty IS NULL)
   UNION ALL SELECT 4, 'without_duplicates', count(*) FROM clean)""",
         ),
-        "dedup_orders": _with(*_TO_CLEAN, "SELECT order_id, sku, src_ord FROM clean"),
+        "dedup_orders": _with(*_TO_CLEAN, f"SELECT order_id, sku, {PLACE} FROM clean"),
         "clean_orders": _with(
             *_TO_CLEAN,
             "SELECT * EXCLUDE (src_ord) REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM clean",
@@ -259,7 +347,7 @@ FROM (SELECT 1 AS stage_no, 'raw' AS stage, count(*) AS row_count FROM raw_order
         ),
         "insert_ignore": _with(
             *_TO_CLEAN,
-            """SELECT order_id, clean_sku AS sku, min(src_ord) AS src_ord FROM typed
+            """SELECT order_id, clean_sku AS sku, array_to_string(min(src_ord), ':') AS src_ord FROM typed
 WHERE reject_reason IS NULL AND (order_id, clean_sku) NOT IN
   (SELECT (order_id, clean_sku) FROM typed WHERE reject_reason IS NULL AND channel = 'web')
 GROUP BY order_id, clean_sku""",
@@ -330,22 +418,30 @@ FROM eur_lines WHERE eur_e13 > CAST(4000000 AS HUGEINT) * 10000000000000""",
         ),
         "key_violations": _with(
             *_TO_SPEND,
+            COUNTRY_REVENUE,
             " UNION ALL ".join(
                 [
                     _repeats("raw_orders", "order_id, sku"),
                     _repeats("clean", "order_id, sku"),
                     _repeats("rates", "rate_date"),
                     _repeats("customer_spend", "customer_id"),
+                    _repeats("country_revenue", "country"),
                 ]
             ),
         ),
         "null_violations": _with(
             *_TO_SPEND,
+            COUNTRY_REVENUE,
+            f"\nrate_rows AS (SELECT {_RATE_COLUMNS} FROM rates)",
             " UNION ALL ".join(
                 [
                     _nulls("raw_orders", ["order_id", "customer_id", "sku", "category", "fx_reference_date"]),
                     _nulls("clean", ["order_id", "sku", "order_ts", "category"]),
+                    _nulls("rate_rows", ["rate_date", "base_currency", "target_currency", "rate"]).replace(
+                        "'rate_rows'", "'rates'"
+                    ),
                     _nulls("customer_spend", ["customer_id", "country", "total_spent_eur"]),
+                    _nulls("country_revenue", ["country", "total_revenue_eur"]),
                 ]
             ),
         ),

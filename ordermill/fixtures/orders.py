@@ -8,15 +8,27 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import SOURCE_ORDER
 
 TODAY = dt.date(2001, 6, 30)
 
-# Lines per page key range; the pages of real sources hold 1,000 lines.
-ORDERS_PER_PAGE = 250
+# Mean lines per page; the pages of real sources hold 1,000 lines. Offsets leave room for any page.
+LINES_PER_PAGE = 500
+PAGE_GAP = 1 << 32
+
+# A line's position at the source, from its own columns; equal lines are alike in all of them.
+POSITION = {
+    "o": "l_orderkey",
+    "l": "l_linenumber",
+    "p": "l_partkey",
+    "s": "l_suppkey",
+    "q": "round(l_quantity * 100)",
+    "x": "round(l_extendedprice * 100)",
+    "copy": "copy",
+}
 
 _RULES = {
     "order_id": "concat('ORD', l_orderkey)",
@@ -50,36 +62,39 @@ _RULES = {
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as the source gives them, with `src_ord`; every 49th line comes twice.
+    """Order lines as the source gives them, with `src_ord`; every 49th line, by its own columns, comes twice.
 
-    One shuffle by order key serves the numbering and the join, and the copies are made in place.
+    `src_ord` is the position: a line's own columns and, last, which copy it is. Nothing is numbered, so
+    the one shuffle is the join, whose busy keys AQE can split.
     """
-    within_order = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
-    )
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
         "l_orderkey",
         "l_partkey",
         "l_suppkey",
         "l_quantity",
         "l_extendedprice",
-        (F.col("l_orderkey") * 1000 + F.row_number().over(within_order)).alias("n"),
+        "l_linenumber",
+        "l_orderkey * 8 + l_linenumber + l_partkey * 3 + l_suppkey AS n",
     )
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
         "o_orderkey AS l_orderkey", "o_custkey", "CAST(o_orderdate AS DATE) AS od"
     )
     base = lines.join(orders, "l_orderkey").selectExpr(
         "*",
-        "substring('BKELBEFAHKSP', int(l_partkey % 6 * 2 + 1), 2) AS code",
+        "element_at(array('BK', 'EL', 'BE', 'FA', 'HK', 'SP'), int(l_partkey % 6 + 1)) AS code",
         "lpad(string(l_partkey % 1000), 3, '0') AS num",
         "concat(lpad(string(l_orderkey % 24), 2, '0'), ':', lpad(string(l_orderkey % 60), 2, '0')) AS hhmm",
         "(o_custkey + if(l_orderkey % 13 = 0, 1, 0)) % 4 AS cc",
     )
-    copies = F.when(F.col("n") % 49 == 0, F.array(F.lit(0), F.lit(500))).otherwise(F.array(F.lit(0)))
+    copies = F.when(F.col("n") % 49 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    position = [F.expr(rule).cast("bigint").alias(name) for name, rule in POSITION.items()]
     columns = [F.expr(_RULES[f.name]).cast(f.dataType).alias(f.name) for f in SOURCE_ORDER.fields]
-    return base.select("n", F.explode(copies).alias("copy"), *columns).select(
-        (F.col("n") + F.col("copy")).alias("src_ord"), *SOURCE_ORDER.names
-    )
+    return base.withColumn("copy", F.explode(copies)).select(F.struct(*position).alias("src_ord"), *columns)
+
+
+def position_text(column: str = "src_ord") -> Column:
+    """A position as text, for results."""
+    return F.concat_ws(":", *[F.col(f"{column}.{name}").cast("string") for name in POSITION]).alias(column)
 
 
 def source_rates(dates: DataFrame, today: dt.date = TODAY) -> DataFrame:
@@ -92,12 +107,26 @@ def source_rates(dates: DataFrame, today: dt.date = TODAY) -> DataFrame:
     )
 
 
-def order_pages(raw: DataFrame) -> DataFrame:
-    """The lines as JSON pages (`page_offset`, `page`); a page holds the lines of 250 order keys."""
-    page_no = F.floor(F.col("src_ord") / (ORDERS_PER_PAGE * 1000))
+def page_count(spark: SparkSession, sf_dir: str) -> int:
+    return max(1, -(-spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() // LINES_PER_PAGE))
+
+
+def page_rule(order: str, part: str, line: str) -> str:
+    """SQL of a number that mixes the three well, whatever pattern they follow."""
+    modulus = (1 << 31) - 1
+    mixed = f"((({order} * 31 + {part} * 7 + {line} * 13) % {modulus} * 1103515245 + 12345) % {modulus})"
+    return f"({mixed} * {mixed} % {modulus})"
+
+
+def order_pages(raw: DataFrame, pages: int) -> DataFrame:
+    """The lines as `pages` JSON pages (`page_offset`, `page`).
+
+    Lines are dealt by order, part and line number, so that a busy order is spread over all pages.
+    """
+    page_no = F.expr(f"{page_rule('src_ord.o', 'src_ord.p', 'src_ord.l')} % {pages}")
     line = F.struct("src_ord", F.struct(*SOURCE_ORDER.names).alias("line"))
     sorted_lines = F.transform(F.array_sort(F.collect_list(line)), lambda item: item["line"])
-    return raw.groupBy((page_no * ORDERS_PER_PAGE * 1000).alias("page_offset")).agg(F.to_json(sorted_lines).alias("page"))
+    return raw.groupBy((page_no * PAGE_GAP).alias("page_offset")).agg(F.to_json(sorted_lines).alias("page"))
 
 
 def fx_documents(rates: DataFrame, base: str = "EUR") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -12,10 +13,21 @@ from pyspark.sql import functions as F
 from ..functions import canonical_sku, line_amount, parse_order_ts
 from ..operators import insert_ignore, keep_first, upsert
 from ..plans import cleaning, marts, quality, rates
-from ..schemas import FX_DOCUMENT, KEYS
-from ..session import staged
-from ..sources import decode_fx_documents, decode_pages
-from .orders import TODAY, fx_documents, order_pages, raw_orders, source_rates
+from ..plans.pipeline import run_pipeline
+from ..schemas import FX_DOCUMENT, KEYS, SOURCE_ORDER
+from ..session import shared_dir, staged
+from ..sources import (
+    Warehouse,
+    add_column,
+    decode_fx_documents,
+    decode_pages,
+    list_tables,
+    point_tables_at,
+    read_fx_documents,
+    read_order_pages,
+    read_packed_pages,
+)
+from .orders import TODAY, fx_documents, order_pages, page_count, position_text, raw_orders, source_rates
 
 EARLIER_TODAY = dt.date(2000, 6, 30)
 ANOMALY_LIMIT_EUR = 4_000_000
@@ -56,7 +68,84 @@ def _rounded_eur() -> Column:
 
 
 def q_order_pages(spark, sf_dir):
-    return _as_double(decode_pages(order_pages(raw_orders(spark, sf_dir))), "unit_price")
+    return _as_double(decode_pages(order_pages(raw_orders(spark, sf_dir), page_count(spark, sf_dir))), "unit_price")
+
+
+def _land(spark, sf_dir, packed: bool = False) -> tuple[str, str]:
+    """Folders of landed order pages and rate documents, written by Spark as a source leaves them."""
+    folder = f"{shared_dir(spark)}/landed-{uuid.uuid4().hex}"
+    raw = staged(raw_orders(spark, sf_dir), "raw")
+    pages = order_pages(raw, page_count(spark, sf_dir))
+    if packed:
+        record = F.concat(F.lit('{"offset":'), "page_offset", F.lit(',"lines":'), "page", F.lit("}"))
+        pages.select(record.alias("value")).write.text(f"{folder}/orders")
+    else:
+        pages.selectExpr("page_offset AS offset", "page").write.partitionBy("offset").text(f"{folder}/orders")
+    dates = rates.required_dates(cleaning.clean_orders(raw))
+    fx_documents(source_rates(dates)).write.partitionBy("document").text(f"{folder}/fx")
+    return f"{folder}/orders", f"{folder}/fx"
+
+
+def q_landed_pages(spark, sf_dir):
+    return _as_double(read_order_pages(spark, _land(spark, sf_dir)[0]), "unit_price")
+
+
+def q_landed_packed_pages(spark, sf_dir):
+    return _as_double(read_packed_pages(spark, _land(spark, sf_dir, packed=True)[0]), "unit_price")
+
+
+def q_landed_documents(spark, sf_dir):
+    return _as_double(read_fx_documents(spark, _land(spark, sf_dir)[1]), "rate")
+
+
+def _published(spark, sf_dir, again: bool = False) -> Warehouse:
+    """The tables of a run from landed files; `again` runs it twice, the first time up to an earlier day."""
+    root = f"{shared_dir(spark)}/published-{uuid.uuid4().hex}"
+    landed = _land(spark, sf_dir, packed=True)
+    for today in (EARLIER_TODAY, TODAY) if again else (TODAY,):
+        run_pipeline(spark, root, *landed, today=today, packed=True)
+    return Warehouse(spark, root)
+
+
+def q_published_orders(spark, sf_dir):
+    orders = _published(spark, sf_dir).read("orders_clean")
+    return _as_double(orders.where("cleaned_at IS NOT NULL").drop("cleaned_at"), "unit_price")
+
+
+def q_published_rates(spark, sf_dir):
+    return _as_double(_published(spark, sf_dir, again=True).read("fx_rates").drop("fetched_at"), "rate")
+
+
+def q_published_spend(spark, sf_dir):
+    return _as_double(_published(spark, sf_dir).read("customer_spend_eur").drop("computed_at"), "total_spent_eur")
+
+
+def q_published_revenue(spark, sf_dir):
+    mart = _published(spark, sf_dir).read("country_category_revenue")
+    return _as_double(mart.drop("computed_at"), "total_revenue_eur")
+
+
+def q_run_log(spark, sf_dir):
+    runs = _published(spark, sf_dir).read("pipeline_runs")
+    counters = ("raw", "test", "negative_qty", "duplicates", "unparseable_times", "required_dates", "estimated", "dates_without_rate", "lines_without_rate")
+    found = [F.get_json_object("details", f"$.{name}").cast("long").alias(name) for name in counters]
+    return runs.where("duration_seconds >= 0 AND run_id IS NOT NULL AND run_at IS NOT NULL").select(
+        "step_name", "status", "rows_processed", "error_message", *found
+    )
+
+
+def q_catalog_counts(spark, sf_dir):
+    warehouse = _published(spark, sf_dir)
+    database = f"shop_{uuid.uuid4().hex}"
+    point_tables_at(warehouse, database)
+    add_column(spark, f"{database}.fx_rates", "checked", "boolean", "false")
+    reports = [
+        spark.table(f"{database}.{name}").agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), "row_count"
+        )
+        for name in list_tables(spark, database)
+    ]
+    return reduce(DataFrame.unionByName, reports)
 
 
 def q_raw_orders_profile(spark, sf_dir):
@@ -73,20 +162,20 @@ def q_ts_format_classes(spark, sf_dir):
 
 def q_clean_order_ts(spark, sf_dir):
     return raw_orders(spark, sf_dir).select(
-        "src_ord", F.col("order_ts").alias("raw_ts"), parse_order_ts(F.col("order_ts")).alias("order_ts")
+        position_text(), F.col("order_ts").alias("raw_ts"), parse_order_ts(F.col("order_ts")).alias("order_ts")
     )
 
 
 def q_clean_sku(spark, sf_dir):
     return raw_orders(spark, sf_dir).select(
-        "src_ord", F.col("sku").alias("raw_sku"), canonical_sku(F.col("sku")).alias("sku")
+        position_text(), F.col("sku").alias("raw_sku"), canonical_sku(F.col("sku")).alias("sku")
     )
 
 
 def q_clean_category(spark, sf_dir):
     raw = raw_orders(spark, sf_dir).withColumn("raw_category", F.col("category"))
     return cleaning.with_clean_columns(raw, "raw_category").select(
-        "src_ord", "sku", "raw_category", "category", "had_null_category"
+        position_text(), "sku", "raw_category", "category", "had_null_category"
     )
 
 
@@ -103,7 +192,7 @@ def q_reject_reasons(spark, sf_dir):
 
 def q_quarantine(spark, sf_dir):
     return cleaning.quarantine(raw_orders(spark, sf_dir)).select(
-        "src_ord", "order_id", "sku", "status", "qty", "reject_reason"
+        position_text(), "order_id", "sku", "status", "qty", "reject_reason"
     )
 
 
@@ -113,7 +202,8 @@ def q_cleaning_funnel(spark, sf_dir):
 
 def q_dedup_orders(spark, sf_dir):
     lines = cleaning.with_clean_columns(cleaning.accepted(raw_orders(spark, sf_dir)))
-    return keep_first(lines.select("order_id", "sku", "src_ord"), KEYS["orders_clean"], "src_ord")
+    first = keep_first(lines.select("order_id", "sku", "src_ord"), KEYS["orders_clean"], "src_ord")
+    return first.select("order_id", "sku", position_text())
 
 
 def q_clean_orders(spark, sf_dir):
@@ -132,7 +222,7 @@ def q_insert_ignore(spark, sf_dir):
     lines = cleaning.with_clean_columns(cleaning.accepted(raw_orders(spark, sf_dir)))
     keys = KEYS["orders_clean"]
     existing = keep_first(lines.where("channel = 'web'"), keys, "src_ord")
-    return insert_ignore(existing, lines.select(*keys, "src_ord"), keys, "src_ord")
+    return insert_ignore(existing, lines.select(*keys, "src_ord"), keys, "src_ord").select(*keys, position_text())
 
 
 def q_required_fx_dates(spark, sf_dir):
@@ -230,35 +320,51 @@ def q_price_anomalies(spark, sf_dir):
     )
 
 
-def q_key_violations(spark, sf_dir):
-    raw = raw_orders(spark, sf_dir)
-    clean, fx = _stored(spark, sf_dir, *_SPEND, "sku")
-    tables = {
-        "raw_orders": (raw, KEYS["orders_clean"]),
-        "clean": (clean, KEYS["orders_clean"]),
-        "rates": (fx, KEYS["fx_rates"]),
-        "customer_spend": (marts.customer_spend(clean, fx), KEYS["customer_spend_eur"]),
+def _all_stored(spark, sf_dir) -> dict[str, DataFrame]:
+    """Every constrained table, each written once from the one before; raw lines are derived once."""
+    raw = staged(raw_orders(spark, sf_dir).select(*RAW_CHECKED), "raw")
+    clean = staged(cleaning.clean_orders(raw), "orders_clean")
+    fx = staged(_rates_of(rates.required_dates(clean)), "fx_rates")
+    return {
+        "raw_orders": raw,
+        "clean": clean,
+        "rates": fx,
+        "customer_spend": staged(marts.customer_spend(clean, fx), "customer_spend"),
+        "country_revenue": staged(marts.country_revenue(clean, fx, threshold=None), "country_revenue"),
     }
+
+
+RAW_CHECKED = ("src_ord", *SOURCE_ORDER.names)
+CHECKED_KEYS = {
+    "raw_orders": KEYS["orders_clean"],
+    "clean": KEYS["orders_clean"],
+    "rates": KEYS["fx_rates"],
+    "customer_spend": KEYS["customer_spend_eur"],
+    "country_revenue": KEYS["country_category_revenue"],
+}
+CHECKED_NULLS = {
+    "raw_orders": ["order_id", "customer_id", "sku", "category", "fx_reference_date"],
+    "clean": ["order_id", "sku", "order_ts", "category"],
+    "rates": ["rate_date", "base_currency", "target_currency", "rate"],
+    "customer_spend": ["customer_id", "country", "total_spent_eur"],
+    "country_revenue": ["country", "total_revenue_eur"],
+}
+
+
+def q_key_violations(spark, sf_dir):
     reports = [
-        quality.key_violations(df, keys).agg(F.count(F.lit(1)).alias("repeated_keys")).select(
+        quality.key_violations(df, CHECKED_KEYS[name]).agg(F.count(F.lit(1)).alias("repeated_keys")).select(
             F.lit(name).alias("table_name"), "repeated_keys"
         )
-        for name, (df, keys) in tables.items()
+        for name, df in _all_stored(spark, sf_dir).items()
     ]
     return reduce(DataFrame.unionByName, reports)
 
 
 def q_null_violations(spark, sf_dir):
-    raw = raw_orders(spark, sf_dir)
-    clean, fx = _stored(spark, sf_dir, *_SPEND, "sku", "category")
-    tables = {
-        "raw_orders": (raw, ["order_id", "customer_id", "sku", "category", "fx_reference_date"]),
-        "clean": (clean, ["order_id", "sku", "order_ts", "category"]),
-        "customer_spend": (marts.customer_spend(clean, fx), ["customer_id", "country", "total_spent_eur"]),
-    }
     reports = [
-        quality.null_counts(df, columns).select(F.lit(name).alias("table_name"), "column_name", "null_count")
-        for name, (df, columns) in tables.items()
+        quality.null_counts(df, CHECKED_NULLS[name]).select(F.lit(name).alias("table_name"), "column_name", "null_count")
+        for name, df in _all_stored(spark, sf_dir).items()
     ]
     return reduce(DataFrame.unionByName, reports)
 

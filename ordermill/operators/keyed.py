@@ -6,22 +6,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The row with the smallest `order` per key; NULL keys count as equal.
+def keep_first(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    """The row that comes first by the `order` columns per key; NULL keys count as equal.
 
     Spark turns the rank filter into a group limit that runs before the shuffle too, so each
     task sends at most one row of a key however many copies of it exist.
     """
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def insert_ignore(existing: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
+def insert_ignore(existing: DataFrame, new: DataFrame, keys: list[str], *order: str) -> DataFrame:
     """Rows of `new` to append: unknown keys only, the first row where a key repeats.
 
     Only the key columns of `existing` are read. A NULL key never conflicts, so check for those first.
     """
-    return keep_first(new, keys, order).join(existing.select(*keys), keys, "left_anti")
+    return keep_first(new, keys, *order).join(existing.select(*keys), keys, "left_anti")
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

@@ -16,17 +16,18 @@ def with_rate(
     base: str = "EUR",
     target: str = "RON",
     broadcast_rows: int = BROADCAST_RATE_ROWS,
+    rate_rows: int | None = None,
 ) -> DataFrame:
     """Add `rate` by `fx_reference_date`.
 
     An inner join drops lines whose date is NULL or has no rate, EUR lines too. `rates` holds one
-    row per date and pair, and should be a stored table: its rows are counted here, and it is
-    broadcast only up to `broadcast_rows`. Beyond that Spark shuffles both sides and AQE splits the
+    row per date and pair. It is broadcast only up to `broadcast_rows`; `rate_rows` is how many rows it has at
+    most, and where that is not known they are counted here. Beyond that Spark shuffles both sides and AQE splits the
     partitions of busy dates.
     """
     pair = rates.where((F.col("base_currency") == base) & (F.col("target_currency") == target)).select(
         F.col("rate_date").alias("fx_reference_date"), "rate"
     )
-    if pair.count() <= broadcast_rows:
+    if (pair.count() if rate_rows is None else rate_rows) <= broadcast_rows:
         pair = F.broadcast(pair)
     return lines.join(pair, "fx_reference_date", how)

@@ -20,6 +20,13 @@ def reject_reason() -> Column:
     return F.when(F.col("status") == "test", "test").when(F.col("qty") < 0, "negative_qty")
 
 
+def reject_counts() -> list[Column]:
+    """Raw lines, and those left out for each reason."""
+    reason = reject_reason()
+    counts = [F.count_if(F.coalesce(reason == name, F.lit(False))).alias(name) for name in ("test", "negative_qty")]
+    return [F.count(F.lit(1)).alias("raw"), *counts]
+
+
 def accepted(raw: DataFrame) -> DataFrame:
     """Lines without a reject reason, spelled as comparisons that the Parquet scan can apply."""
     status, qty = F.col("status"), F.col("qty")

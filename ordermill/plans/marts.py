@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import eur_amount, line_amount, utc_date
@@ -19,6 +19,14 @@ def eur_of_line() -> Column:
     return eur_amount(line_amount(F.col("qty"), F.col("unit_price")), F.col("currency"), F.col("rate"))
 
 
+def _rated(lines: DataFrame, rates: DataFrame, rate_rows: int | None, unrated: Observation | None) -> DataFrame:
+    """Lines that have a rate; `unrated` observes how many have none, in the same pass."""
+    if unrated is None:
+        return with_rate(lines, rates, rate_rows=rate_rows)
+    missing = F.count_if(F.col("rate").isNull()).alias("lines_without_rate")
+    return with_rate(lines, rates, "left", rate_rows=rate_rows).observe(unrated, missing).where("rate IS NOT NULL")
+
+
 def _completed(clean: DataFrame) -> DataFrame:
     return clean.where(F.col("status") == "completed")
 
@@ -65,14 +73,16 @@ def latest_order_date(clean: DataFrame) -> DataFrame:
     )
 
 
-def customer_spend(clean: DataFrame, rates: DataFrame) -> DataFrame:
+def customer_spend(
+    clean: DataFrame, rates: DataFrame, rate_rows: int | None = None, unrated: Observation | None = None
+) -> DataFrame:
     """EUR spend of known customers on completed orders that have a rate.
 
     Order ids are counted by customer and order first, so a customer with very many lines is
     spread over tasks; the second join side is one row per customer.
     """
     spend = (
-        with_rate(_completed_of_customers(clean), rates)
+        _rated(_completed_of_customers(clean), rates, rate_rows, unrated)
         .groupBy("customer_id", "customer_email")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
@@ -107,6 +117,8 @@ def country_revenue(
     rates: DataFrame,
     categories: Sequence[str] = REVENUE_CATEGORIES,
     threshold: int | float | Decimal | None = REVENUE_THRESHOLD_EUR,
+    rate_rows: int | None = None,
+    unrated: Observation | None = None,
 ) -> DataFrame:
     """Revenue per country over completed lines of the categories, where the rounded total is above `threshold`.
 
@@ -114,7 +126,7 @@ def country_revenue(
     threshold=None keeps all countries.
     """
     revenue = (
-        with_rate(_completed(clean).where(F.col("category").isin(*categories)), rates)
+        _rated(_completed(clean).where(F.col("category").isin(*categories)), rates, rate_rows, unrated)
         .groupBy("country")
         .agg(
             F.round(F.sum(eur_of_line()), 2).alias("total_revenue_eur"),

@@ -6,40 +6,64 @@ import datetime as dt
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import upsert
 from ..schemas import KEYS, STEP_OF_TABLE, TABLES
 from ..session import staged
-from ..sources import Warehouse, read_fx_documents, read_order_pages
+from ..sources import Warehouse, read_fx_documents, read_order_pages, read_packed_pages
 from . import cleaning, marts, quality, rates
 
 # Tables whose key cannot repeat: keep_first, and one group per country.
 UNIQUE_BY_CONSTRUCTION = {"orders_clean", "country_category_revenue"}
 
 
-def run_step(warehouse: Warehouse, table: str, build: Callable[[], DataFrame]) -> int:
-    """Build, write, check and publish one table; log the run either way and let errors through."""
+def run_step(
+    warehouse: Warehouse,
+    table: str,
+    build: Callable[[], DataFrame],
+    counters: Callable[[int], dict[str, int]] = lambda rows: {},
+) -> int:
+    """Build, write, check and publish one table; log the run either way and let errors through.
+
+    `counters` is asked after the write, with the number of rows, for what the run's details hold. A
+    success row that cannot be written makes the step a failure.
+    """
     step = STEP_OF_TABLE[table]
     started = time.monotonic()
     try:
         path, rows = warehouse.write_idle(table, build())
         if table in KEYS and table not in UNIQUE_BY_CONSTRUCTION:
             quality.require_unique(warehouse.spark.read.schema(TABLES[table]).parquet(path), KEYS[table])
+        seconds = time.monotonic() - started
+        warehouse.log_run(step, "success", rows, seconds, published_path=path, details=counters(rows))
     except Exception as error:
-        warehouse.log_run(step, "failure", 0, time.monotonic() - started, error=str(error))
+        try:
+            warehouse.log_run(step, "failure", 0, time.monotonic() - started, error=str(error))
+        except Exception as unlogged:
+            error.add_note(f"the failure could not be logged: {unlogged}")
         raise
-    warehouse.log_run(step, "success", rows, time.monotonic() - started, published_path=path)
     return rows
 
 
 def refreshed_rates(
-    warehouse: Warehouse, source_rates: DataFrame, today: dt.date, seed: str = "required"
+    warehouse: Warehouse,
+    source_rates: DataFrame,
+    today: dt.date,
+    seed: str = "required",
+    dates_seen: Observation | None = None,
+    rates_seen: Observation | None = None,
 ) -> DataFrame:
     """Stored rates with those of the current reference dates put in; older dates stay."""
-    dates = staged(rates.required_dates(warehouse.read("orders_clean")), "required_dates")
+    clean = warehouse.read("orders_clean")
+    rates.require_dates(clean)
+    dates = rates.required_dates(clean)
+    if dates_seen:
+        dates = dates.observe(dates_seen, F.count(F.lit(1)).alias("required_dates"))
     batch = rates.daily_rates(dates, source_rates, today, seed=seed)
+    if rates_seen:
+        batch = batch.observe(rates_seen, F.count(F.lit(1)).alias("rates"), F.count_if("is_estimated").alias("estimated"))
     if not warehouse.exists("fx_rates"):
         return batch
     batch = staged(batch.withColumn("fetched_at", F.current_timestamp()), "rate_batch")
@@ -56,30 +80,60 @@ def run_pipeline(
     threshold: float = marts.REVENUE_THRESHOLD_EUR,
     seed: str = "required",
     rejects_path: str | None = None,
+    packed: bool = False,
 ) -> dict[str, int]:
     """Landed files to marts under `root`; returns rows per table and stops at the first failing step.
 
-    With `rejects_path` the lines cleaning leaves out are written there, with their reason.
+    With `rejects_path` the lines cleaning leaves out are written there, with their reason, once the
+    clean table is published. `packed` landings hold one page per text line. What a step
+    leaves out is counted as it writes and stored as the run's details.
     """
     today = today or dt.datetime.now(dt.timezone.utc).date()
     warehouse = Warehouse(spark, root)
+    seen = {name: Observation(name) for name in ("raw", "clean", "dates", "rates", "spend", "revenue")}
 
-    def clean_and_rates() -> tuple[DataFrame, DataFrame]:
+    def stored() -> tuple[DataFrame, DataFrame]:
         return warehouse.read("orders_clean"), warehouse.read("fx_rates")
 
+    def rated(name: str) -> dict:
+        return {"rate_rows": warehouse.row_count("fx_rates"), "unrated": seen[name]}
+
     def clean() -> DataFrame:
-        raw = warehouse.read("orders_raw")
-        if rejects_path:
-            cleaning.quarantine(raw).write.mode("overwrite").parquet(rejects_path)
-        return cleaning.clean_orders(raw)
-
-    steps: dict[str, Callable[[], DataFrame]] = {
-        "orders_raw": lambda: read_order_pages(spark, orders_path),
-        "orders_clean": clean,
-        "fx_rates": lambda: refreshed_rates(warehouse, read_fx_documents(spark, fx_path), today, seed),
-        "customer_spend_eur": lambda: marts.by_spend(marts.customer_spend(*clean_and_rates())),
-        "country_category_revenue": lambda: marts.by_revenue(
-            marts.country_revenue(*clean_and_rates(), categories, threshold)
+        raw = warehouse.read("orders_raw").observe(seen["raw"], *cleaning.reject_counts())
+        lines = cleaning.clean_orders(raw)
+        return lines.observe(seen["clean"], F.count_if(F.col("order_ts").isNull()).alias("unparseable_times"))
+
+    def clean_counters(rows: int) -> dict[str, int]:
+        left = seen["raw"].get
+        duplicates = left.get("raw", 0) - left.get("test", 0) - left.get("negative_qty", 0) - rows
+        return {**left, "duplicates": duplicates, **seen["clean"].get}
+
+    def rate_counters(rows: int) -> dict[str, int]:
+        found = {**seen["dates"].get, **seen["rates"].get}
+        return {**found, "dates_without_rate": found.get("required_dates", 0) - found.get("rates", 0)}
+
+    read_pages = read_packed_pages if packed else read_order_pages
+    steps: dict[str, tuple] = {
+        "orders_raw": (lambda: read_pages(spark, orders_path),),
+        "orders_clean": (clean, clean_counters),
+        "fx_rates": (
+            lambda: refreshed_rates(
+                warehouse, read_fx_documents(spark, fx_path), today, seed, seen["dates"], seen["rates"]
+            ),
+            rate_counters,
+        ),
+        "customer_spend_eur": (
+            lambda: marts.customer_spend(*stored(), **rated("spend")),
+            lambda rows: seen["spend"].get,
+        ),
+        "country_category_revenue": (
+            lambda: marts.country_revenue(*stored(), categories, threshold, **rated("revenue")),
+            lambda rows: seen["revenue"].get,
         ),
     }
-    return {table: run_step(warehouse, table, build) for table, build in steps.items()}
+    counts = {}
+    for table, step in steps.items():
+        counts[table] = run_step(warehouse, table, *step)
+        if table == "orders_clean" and rejects_path:
+            cleaning.quarantine(warehouse.read("orders_raw")).write.mode("overwrite").parquet(rejects_path)
+    return counts

@@ -33,15 +33,18 @@ def daily_rates(
     target: str = "RON",
     seed: str = "required",
 ) -> DataFrame:
-    """Rates for all required dates, from the source rates a request for their range returns.
+    """Rates for all required dates, from the source rates up to `today`.
 
-    `dates` should be stored or cheap: its range is read first.
+    Rates before the first required date or after the last one change nothing, so their range
+    is not looked up.
     """
-    span = request_range(dates, today).first()
-    if span["first_date"] is None:
+    return fill_gaps(dates, in_request_range(rates, None, today), today, base, target, seed)
+
+
+def require_dates(clean: DataFrame) -> None:
+    """Error unless some clean order has a reference date."""
+    if clean.where(F.col("fx_reference_date").isNotNull()).select("fx_reference_date").isEmpty():
         raise ValueError("no clean order has a reference date, so there is no range to request rates for")
-    offered = in_request_range(rates, None if seed == "asof" else span["first_date"], span["last_date"])
-    return fill_gaps(dates, offered, today, base, target, seed)
 
 
 def rate_labels(dates: DataFrame, rates: DataFrame, source_rates: DataFrame) -> DataFrame:

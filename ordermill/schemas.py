@@ -92,6 +92,7 @@ COUNTRY_CATEGORY_REVENUE = _struct(
 )
 
 # published_path is where a successful step left its table; it is how readers find the current one.
+# details is a JSON object of the step's counters.
 PIPELINE_RUNS = _struct(
     ("run_id", T.StringType()),
     ("run_at", T.TimestampType()),
@@ -101,6 +102,7 @@ PIPELINE_RUNS = _struct(
     ("error_message", T.StringType()),
     ("duration_seconds", T.DecimalType(10, 2)),
     ("published_path", T.StringType()),
+    ("details", T.StringType()),
 )
 
 TABLES = {

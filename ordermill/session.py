@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # UTC makes order dates independent of where the driver runs; ANSI turns overflow into an error.
 SETTINGS = {
@@ -48,22 +47,16 @@ def build_session(
     return builder.getOrCreate()
 
 
-@lru_cache(maxsize=None)
-def _local_fallback(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"ordermill-{application_id}-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors see, named by `spark.checkpoint.dir`.
-
-    Only a local-mode session, whose executors are the driver, may fall back to a temporary folder.
-    """
+    """Folder all executors see: `spark.checkpoint.dir`, or where that is unset one in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_fallback(spark.sparkContext.applicationId)
-    raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return configured.rstrip("/") if configured else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of all files under the paths, from their listing; nothing is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -74,7 +67,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     The folder is removed when the application ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/ordermill/{uuid.uuid4().hex}/{name}"
+    path = f"{shared_dir(spark)}/ordermill-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)

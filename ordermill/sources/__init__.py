@@ -2,7 +2,7 @@
 
 from .catalog import add_column, create_tables, list_tables, point_tables_at
 from .fx_documents import decode_fx_documents, read_fx_documents
-from .order_pages import decode_pages, read_order_pages
+from .order_pages import decode_pages, read_order_pages, read_packed_pages
 from .warehouse import Warehouse
 
 __all__ = [
@@ -15,4 +15,5 @@ __all__ = [
     "point_tables_at",
     "read_fx_documents",
     "read_order_pages",
+    "read_packed_pages",
 ]

@@ -17,17 +17,26 @@ def _column_ddl(table: str) -> str:
     )
 
 
-def create_tables(spark: SparkSession, database: str, location: str | None = None) -> None:
-    """Create the database and every table that is not there yet, with types and defaults."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{location}'" if location else ""))
+def create_tables(spark: SparkSession, database: str, location: str) -> None:
+    """Create the database and every table that is not there yet, with types and defaults.
+
+    Tables are external, with their files in folders under `location`: dropping one, or the
+    database, leaves its files.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for table in TABLES:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({_column_ddl(table)}) USING parquet")
+        path = f"{location.rstrip('/')}/{table}"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({_column_ddl(table)}) USING parquet LOCATION '{path}'")
 
 
 def point_tables_at(warehouse: Warehouse, database: str) -> None:
-    """Let the catalog tables show what the warehouse published last."""
+    """Let the catalog tables show what the warehouse published last.
+
+    Call it after every run: a table goes on showing the folder it was pointed at, which the next but one
+    refresh of that table writes anew.
+    """
     spark = warehouse.spark
-    create_tables(spark, database)
+    create_tables(spark, database, f"{warehouse.root}/unpublished")
     for table in TABLES:
         path = warehouse.log_path if table == "pipeline_runs" else warehouse.current_path(table)
         if path is not None:

@@ -34,6 +34,22 @@ def read_order_pages(spark: SparkSession, path: str, offset_pattern: str = OFFSE
     return decode_pages(pages)
 
 
+def read_packed_pages(spark: SparkSession, path: str) -> DataFrame:
+    """All order lines under `path`, where each text line is {"offset": n, "lines": [...]}.
+
+    Files of any size are split by Spark, and few of them need listing. A line that is no such object,
+    or lacks its offset or lines, stops the read.
+    """
+    page = T.StructType([T.StructField("offset", T.LongType()), T.StructField("lines", T.ArrayType(SOURCE_ORDER))])
+    records = spark.read.option("recursiveFileLookup", True).text(path)
+    parsed = records.select(F.from_json("value", page, {"mode": "FAILFAST"}).alias("page"))
+    whole = F.col("page.offset").isNotNull() & F.col("page.lines").isNotNull()
+    lines = F.when(whole, F.col("page.lines")).otherwise(F.raise_error(F.lit("packed order page without offset or lines")))
+    return parsed.select(F.col("page.offset").alias("page_offset"), F.posexplode(lines).alias("pos", "line")).select(
+        (F.col("page_offset") + F.col("pos")).alias("src_ord"), "line.*"
+    )
+
+
 def decode_pages(pages: DataFrame) -> DataFrame:
     """Rows (`page_offset`, `page`) to one row per order line; absent fields become NULL."""
     lines = F.from_json("page", T.ArrayType(SOURCE_ORDER), {"mode": "FAILFAST"})

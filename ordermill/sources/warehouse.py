@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from functools import reduce
 from operator import or_
@@ -39,12 +40,17 @@ class Warehouse:
             self.runs()
             .where(F.col("status") == "success")
             .groupBy("step_name")
-            .agg(F.max_by("published_path", F.struct("run_at", "run_id")).alias("path"))
+            .agg(F.max_by(F.struct("published_path", "rows_processed"), F.struct("run_at", "run_id")).alias("last"))
+            .select("step_name", "last.*")
         )
-        self._published = {row["step_name"]: row["path"] for row in latest.collect()}
+        self._published = {row["step_name"]: (row["published_path"], row["rows_processed"]) for row in latest.collect()}
 
     def current_path(self, table: str) -> str | None:
-        return self._published.get(STEP_OF_TABLE[table])
+        return self._published.get(STEP_OF_TABLE[table], (None, 0))[0]
+
+    def row_count(self, table: str) -> int:
+        """Rows of the published table, as counted when it was written."""
+        return self._published.get(STEP_OF_TABLE[table], (None, 0))[1]
 
     def exists(self, table: str) -> bool:
         return self.current_path(table) is not None
@@ -88,6 +94,7 @@ class Warehouse:
         seconds: float,
         error: str | None = None,
         published_path: str | None = None,
+        details: dict[str, int] | None = None,
     ) -> None:
         """Append one row to the run log. With status success this publishes `published_path`."""
         row = {
@@ -99,8 +106,11 @@ class Warehouse:
             "error_message": error,
             "duration_seconds": f"{seconds:.2f}",
             "published_path": published_path,
+            "details": json.dumps(details) if details else None,
         }
+        if any(row[name] is None for name in REQUIRED["pipeline_runs"]):
+            raise ValueError(f"a run needs {', '.join(REQUIRED['pipeline_runs'])}")
         columns = [F.lit(row[field.name]).cast(field.dataType).alias(field.name) for field in PIPELINE_RUNS.fields]
         self.spark.range(0, 1, 1, 1).select(*columns).write.mode("append").parquet(self.log_path)
         if status == "success":
-            self._published[step] = published_path
+            self._published[step] = (published_path, rows)

@@ -1,14 +1,28 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from decimal import Decimal
 
 import pytest
 
 import rows
+from compare import plan_of
+from ordermill.__main__ import main
+from ordermill.plans.cleaning import cleaning_funnel
+from ordermill.plans.marts import by_revenue
 from ordermill.plans.pipeline import run_pipeline, run_step
-from ordermill.session import shared_dir, shuffle_partitions_for, staged
-from ordermill.sources import Warehouse, add_column, create_tables, list_tables, point_tables_at
+from ordermill.plans.rates import coverage_gaps
+from ordermill.session import input_bytes, shared_dir, shuffle_partitions_for, staged
+from ordermill.sources import (
+    Warehouse,
+    add_column,
+    create_tables,
+    list_tables,
+    point_tables_at,
+    read_order_pages,
+    read_packed_pages,
+)
 from test_sources import LINE, write
 
 TODAY = dt.date(2026, 8, 26)
@@ -50,7 +64,8 @@ def test_five_steps(spark, landed):
     warehouse = Warehouse(spark, str(landed / "root"))
     spend = {row.customer_id: row.total_spent_eur for row in warehouse.read("customer_spend_eur").collect()}
     assert spend == {7: Decimal("100000.00"), 8: Decimal("20000.00")}
-    revenue = [(row.country, row.total_revenue_eur, row.order_count) for row in warehouse.read("country_category_revenue").collect()]
+    mart = by_revenue(warehouse.read("country_category_revenue"))
+    revenue = [(row.country, row.total_revenue_eur, row.order_count) for row in mart.collect()]
     assert revenue == [("RO", Decimal("120000.00"), 2), ("DE", Decimal("100000.00"), 1)]
     rates = {row.rate_date: row.is_estimated for row in warehouse.read("fx_rates").collect()}
     assert rates == {dt.date(2026, 8, 24): False, dt.date(2026, 8, 28): True}
@@ -62,6 +77,16 @@ def test_five_steps(spark, landed):
         ("customer_spend_eur", "success", 2, None),
         ("country_category_revenue", "success", 2, None),
     ]
+    details = {row.step_name: json.loads(row.details or "{}") for row in runs}
+    assert details == {
+        "ingest": {},
+        "clean": {"raw": 6, "test": 1, "negative_qty": 1, "duplicates": 1, "unparseable_times": 0},
+        "fx_rates": {"required_dates": 2, "rates": 2, "estimated": 1, "dates_without_rate": 0},
+        "customer_spend_eur": {"lines_without_rate": 0},
+        "country_category_revenue": {"lines_without_rate": 0},
+    }
+    funnel = {row.stage: row.removed for row in cleaning_funnel(warehouse.read("orders_raw")).collect()}
+    assert [funnel[f"without_{name}"] for name in ("test", "negative_qty", "duplicates")] == [1, 1, 1]
     assert len({row.run_id for row in runs}) == 5 and all(row.duration_seconds >= 0 for row in runs)
     for table in counts:
         stamp = warehouse.read(table).columns[-1]
@@ -143,13 +168,13 @@ def test_a_failed_write_publishes_nothing(spark, tmp_path):
 def test_catalog(spark, landed):
     run(spark, landed)
     spark.sql("DROP DATABASE IF EXISTS shop CASCADE")
-    create_tables(spark, "shop")
+    create_tables(spark, "shop", str(landed / "tables"))
     expected = ["country_category_revenue", "customer_spend_eur", "fx_rates", "orders_clean", "orders_raw", "pipeline_runs"]
     assert list_tables(spark, "shop") == expected
     spark.sql("INSERT INTO shop.fx_rates (rate_date, target_currency, rate) VALUES (DATE'2026-08-24', 'RON', 5.25)")
     row = spark.table("shop.fx_rates").first()
     assert (row.base_currency, row.is_estimated) == ("EUR", False) and row.fetched_at is not None
-    create_tables(spark, "shop")  # again: nothing changes
+    create_tables(spark, "shop", str(landed / "tables"))  # again: nothing changes
     assert spark.table("shop.fx_rates").count() == 1
     assert add_column(spark, "shop.fx_rates", "checked", "boolean", "false") is True
     assert add_column(spark, "shop.fx_rates", "checked", "boolean", "false") is False
@@ -160,13 +185,86 @@ def test_catalog(spark, landed):
     run(spark, landed, threshold=110_000)
     point_tables_at(Warehouse(spark, str(landed / "root")), "shop")
     assert spark.table("shop.country_category_revenue").count() == 1
+    spark.sql("DROP TABLE shop.orders_raw")
+    spark.sql("DROP TABLE shop.pipeline_runs")
     spark.sql("DROP DATABASE shop CASCADE")
+    warehouse = Warehouse(spark, str(landed / "root"))
+    assert warehouse.read("pipeline_runs").count() == 10
+    assert {name: warehouse.read(name).count() for name in expected if name != "pipeline_runs"} == {
+        "country_category_revenue": 1,
+        "customer_spend_eur": 2,
+        "fx_rates": 2,
+        "orders_clean": 3,
+        "orders_raw": 6,
+    }
+
+
+def test_lines_without_a_rate_are_counted(spark, landed):
+    write(landed, "orders/offset=2000.json", [dict(LINE, order_id=f"e{i}", fx_reference_date="2026-08-20", unit_price=9) for i in range(4)])
+    run(spark, landed)
+    warehouse = Warehouse(spark, str(landed / "root"))
+    details = {row.step_name: json.loads(row.details or "{}") for row in warehouse.runs().collect()}
+    gaps = coverage_gaps(warehouse.read("orders_clean"), warehouse.read("fx_rates")).collect()
+    assert sum(row.lines for row in gaps) == details["customer_spend_eur"]["lines_without_rate"] == 4
+    assert details["fx_rates"]["dates_without_rate"] == 1
+
+
+def test_a_success_row_that_cannot_be_written_is_a_failure(spark, tmp_path, monkeypatch):
+    warehouse = Warehouse(spark, str(tmp_path))
+    log_run, tried = warehouse.log_run, []
+
+    def broken(step, status, *args, **options):
+        tried.append(status)
+        if status == "success":
+            raise OSError("log is full")
+        log_run(step, status, *args, **options)
+
+    monkeypatch.setattr(warehouse, "log_run", broken)
+    with pytest.raises(OSError, match="log is full"):
+        run_step(warehouse, "orders_raw", lambda: rows.raw(spark, {}))
+    assert tried == ["success", "failure"]
+    assert [(row.status, row.error_message) for row in warehouse.runs().collect()] == [("failure", "log is full")]
+    assert not warehouse.exists("orders_raw")
+
+
+def test_rejects_wait_for_their_clean_table(spark, landed):
+    write(landed, "orders/offset=2000.json", [dict(LINE, order_id=None)])
+    with pytest.raises(ValueError, match="NULL in a required column"):
+        run(spark, landed, rejects_path=str(landed / "rejects"))
+    assert not (landed / "rejects").exists()
+
+
+def test_command_line_sizes_shuffles(spark, landed, capsys):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    call = [f"--orders={landed}/orders", f"--fx={landed}/fx", f"--root={landed}/root", "--today=2026-08-26"]
+    try:
+        main([*call, "--shuffle-partitions=3"])
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+        assert input_bytes(spark, f"{landed}/orders") == sum(file.stat().st_size for file in (landed / "orders").iterdir())
+        main(call)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(spark.sparkContext.defaultParallelism)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert "country_category_revenue: 2 rows" in capsys.readouterr().out
+
+
+def test_packed_landing_gives_the_same(spark, landed):
+    pages = [(int(file.stem.split("=")[1]), file.read_text()) for file in (landed / "orders").iterdir()]
+    (landed / "packed").mkdir()
+    (landed / "packed/part-0").write_text("\n".join(f'{{"offset":{offset},"lines":{" ".join(page.split())}}}' for offset, page in pages))
+    single = sorted(map(tuple, read_order_pages(spark, str(landed / "orders")).collect()), key=str)
+    packed = read_packed_pages(spark, str(landed / "packed"))
+    assert single == sorted(map(tuple, packed.collect()), key=str)
+    assert "wholetext" not in plan_of(packed).lower()
+    (landed / "packed/part-1").write_text('{"lines":[]}')
+    with pytest.raises(Exception, match="without offset"):
+        read_packed_pages(spark, str(landed / "packed")).collect()
 
 
 def test_shared_folder_and_sizes(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     stored = staged(spark.range(5), "numbers")
-    assert all(f"{shared_dir(spark)}/ordermill/" in file for file in stored.inputFiles())
+    assert all(f"{shared_dir(spark)}/ordermill-numbers-" in file for file in stored.inputFiles())
     assert stored.count() == 5
     assert shuffle_partitions_for(0, 8) == 8
     assert shuffle_partitions_for(100 * 1024**4, 8) == 819_200

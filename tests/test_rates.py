@@ -69,7 +69,8 @@ def test_daily_rates_ask_for_the_required_range_up_to_today(spark):
 
 def test_no_required_date_is_an_error(spark):
     with pytest.raises(ValueError, match="reference date"):
-        rates.daily_rates(rows.dates(spark), rows.rates(spark, KNOWN), TODAY)
+        rates.require_dates(rows.clean(spark, dict(fx_reference_date=None)))
+    rates.require_dates(rows.clean(spark, {}))
 
 
 def test_required_dates_and_range(spark):
@@ -103,6 +104,9 @@ def test_insert_ignore(spark):
     new = spark.createDataFrame([("a", "x", 1), ("a", "y", 3), ("a", "y", 2), ("b", "x", 4)], existing.schema)
     found = insert_ignore(existing, new, ["order_id", "sku"], "src_ord").collect()
     assert sorted(map(tuple, found)) == [("a", "y", 2), ("b", "x", 4)]
+    tied = new.selectExpr("order_id", "sku", "1 AS src_ord", "src_ord AS part")
+    found = insert_ignore(existing, tied, ["order_id", "sku"], "src_ord", "part").collect()
+    assert sorted(map(tuple, found)) == [("a", "y", 1, 2), ("b", "x", 1, 4)]
 
 
 @pytest.mark.parametrize("broadcast_rows", [0, 100])
