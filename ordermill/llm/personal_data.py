@@ -212,10 +212,23 @@ def _disguises() -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern, re.Pat
     label = r"[A-Za-z0-9-]{1,63}"
     dots = rf"(?:{bracketed(DOT_WORDS)}|{bracketed(re.escape('.'))}|{spoken(DOT_WORDS)})"
     ats = rf"(?:{bracketed(AT_WORDS)}|{bracketed('@')})"
+    apart = r"(?:[ \t]{1,3}@[ \t]{0,3}|@[ \t]{1,3})"
+    apart_dot = r"[ \t]\.[ \t]"
     any_dot = rf"(?:\.|{dots})"
+    wide_dot = rf"(?:\.|{apart_dot})"
     name = r"[A-Za-z0-9_%+-]{1,64}"
-    # `at` as a mere word counts only where a dot is disguised as well
-    mail = rf"{name}(?:{any_dot}{name}){{0,8}}(?:(?:{ats}|@){label}(?:{any_dot}{label}){{1,8}}|{spoken(AT_WORDS)}{label}(?:{any_dot}{label}){{0,8}}{dots}(?:{label}{any_dot}){{0,8}}(?:{TOP_LEVELS})(?![A-Za-z0-9-]))"
+    ending = rf"(?:{TOP_LEVELS})(?![A-Za-z0-9-])"
+    after_name = "|".join(
+        (
+            rf"(?:{ats}|@){label}(?:{any_dot}{label}){{1,8}}",
+            # `at` as a mere word counts where a dot is disguised as well,
+            rf"{spoken(AT_WORDS)}{label}(?:{any_dot}{label}){{0,8}}{dots}(?:{label}{any_dot}){{0,8}}{ending}",
+            # or where the name is none of prose
+            rf"(?<=[0-9]){spoken(AT_WORDS)}(?:{label}\.){{1,8}}{ending}",
+            rf"{apart}{label}(?:{wide_dot}{label}){{0,8}}{wide_dot}{ending}",
+        )
+    )
+    mail = rf"{name}(?:{any_dot}{name}){{0,8}}(?:{after_name})"
     address = rf"[0-9]{{1,3}}(?:{any_dot}[0-9]{{1,3}}){{3}}"
     words = {word: digit for digit, names in DIGIT_WORDS.items() for word in names.split()}
     number = rf"(?:{'|'.join(sorted(words, key=len, reverse=True))})"
@@ -223,8 +236,8 @@ def _disguises() -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern, re.Pat
     flags = re.IGNORECASE
     return (
         re.compile(rf"(?<![A-Za-z0-9_%+-])(?:{mail}|{address})(?![A-Za-z0-9])", flags),
-        re.compile(rf"{ats}|{spoken(AT_WORDS)}", flags),
-        re.compile(dots, flags),
+        re.compile(rf"{ats}|{apart}|{spoken(AT_WORDS)}", flags),
+        re.compile(rf"{dots}|{apart_dot}", flags),
         re.compile(rf"(?<!\w){run}(?!\w)", flags),
         re.compile(rf"({PLUS_WORDS})|({number})|[0-9]+|[ \t,.()-]+", flags),
         words,
@@ -233,12 +246,17 @@ def _disguises() -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern, re.Pat
 
 _BRACKETED = re.compile(rf"[\[({{<][ \t]*(?:{AT_WORDS}|{DOT_WORDS}|@|\.)[ \t]*[\])}}>]", re.IGNORECASE)
 _SPOKEN = re.compile(rf"[ \t](?:{DOT_WORDS})[ \t]")
+_NUMBERED = re.compile(rf"[0-9][ \t]{{1,3}}(?:{AT_WORDS})[ \t]")
 
 
 def hints_of_signs(text: str, low: str) -> bool:
     """Cheap: there may be a disguised sign."""
     if any(word in low for word in DOT_WORDS.split("|")) and _SPOKEN.search(low):
         return True
+    if "@" in text and any(mark in text for mark in (" @", "\t@", "@ ", "@\t")):
+        return True
+    if _DIGIT.search(low) and _NUMBERED.search(low):
+        return True
     return any(mark in text for mark in "[({<") and _BRACKETED.search(text) is not None
 
 

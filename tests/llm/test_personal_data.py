@@ -50,6 +50,10 @@ def test_cards(text):
         ("write to jane dot doe at example dot com now", "email", "jane dot doe at example dot com"),
         ("jane (at) example.com", "email", "jane (at) example.com"),
         ("jane[at]example[dot]org!", "email", "jane[at]example[dot]org"),
+        ("mail 34 at mail7.example.com or", "email", "34 at mail7.example.com"),
+        ("mail j.doe99 at example.com.", "email", "j.doe99 at example.com"),
+        ("mail jane @ example . com or", "email", "jane @ example . com"),
+        ("mail 34 AT mail7 DOT example DOT com or", "email", "34 AT mail7 DOT example DOT com"),
         ("see jane@example [dot] com", "email", "jane@example [dot] com"),
         ("to ｊａｎｅ＠ｅｘａｍｐｌｅ．ｃｏｍ x", "email", "ｊａｎｅ＠ｅｘａｍｐｌｅ．ｃｏｍ"),
         ("to j​ane@example.com", "email", "j​ane@example.com"),
@@ -69,7 +73,7 @@ def test_disguises(text, kind, part):
     assert redact(text, spans) == text.replace(part, f"<{kind.upper()}>")
 
 
-@pytest.mark.parametrize("text", ["look at example.com dot", "one two three four", "un dos tres", "he was at home dot and so on", "point at it", "жена и дом", "five six seven eight nine ten cars"])
+@pytest.mark.parametrize("text", ["look at example.com dot", "at 5 at the inn", "it is 5 at example", "@ home . it was", "a @ b", "one two three four", "un dos tres", "he was at home dot and so on", "point at it", "жена и дом", "five six seven eight nine ten cars"])
 def test_plain_prose_is_left_alone(text):
     assert find(text) == ([], [])
 
