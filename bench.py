@@ -10,17 +10,16 @@ import json
 import os
 import sys
 import time
-import uuid
 
 from ordermill.fixtures.orders import TODAY
 from ordermill.fixtures.queries import _land, queries
 from ordermill.plans.pipeline import run_pipeline
-from ordermill.session import build_session, shared_dir
+from ordermill.session import build_session, scratch
 from ordermill.sources import Warehouse
 
 
 def pipeline_steps(spark, sf_dir: str) -> dict[str, dict]:
-    folder = f"{shared_dir(spark)}/ordermill-bench/{uuid.uuid4().hex}"
+    folder = scratch(spark, "bench")
     run_pipeline(spark, f"{folder}/root", *_land(spark, sf_dir, packed=True), today=TODAY, packed=True)
     runs = Warehouse(spark, f"{folder}/root").runs().orderBy("run_at").collect()
     return {run.step_name: {"sec": float(run.duration_seconds), "rows": run.rows_processed} for run in runs}

@@ -15,7 +15,7 @@ from ..operators import insert_ignore, keep_first, upsert
 from ..plans import cleaning, marts, quality, rates
 from ..plans.pipeline import run_pipeline
 from ..schemas import FX_DOCUMENT, KEYS, SOURCE_ORDER
-from ..session import shared_dir, staged
+from ..session import scratch, staged
 from ..sources import (
     Warehouse,
     add_column,
@@ -73,7 +73,7 @@ def q_order_pages(spark, sf_dir):
 
 def _land(spark, sf_dir, packed: bool = False) -> tuple[str, str]:
     """Folders of landed order pages and rate documents, written by Spark as a source leaves them."""
-    folder = f"{shared_dir(spark)}/landed-{uuid.uuid4().hex}"
+    folder = scratch(spark, "landed")
     raw = staged(raw_orders(spark, sf_dir), "raw")
     pages = order_pages(raw, page_count(spark, sf_dir))
     if packed:
@@ -100,7 +100,7 @@ def q_landed_documents(spark, sf_dir):
 
 def _published(spark, sf_dir, again: bool = False) -> Warehouse:
     """The tables of a run from landed files; `again` runs it twice, the first time up to an earlier day."""
-    root = f"{shared_dir(spark)}/published-{uuid.uuid4().hex}"
+    root = scratch(spark, "published")
     landed = _land(spark, sf_dir, packed=True)
     for today in (EARLIER_TODAY, TODAY) if again else (TODAY,):
         run_pipeline(spark, root, *landed, today=today, packed=True)

@@ -59,6 +59,14 @@ def input_bytes(spark: SparkSession, *paths: str) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared folder; it goes when the application ends."""
+    path = f"{shared_dir(spark)}/ordermill-{name}-{uuid.uuid4().hex}"
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return path
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as Parquet in the shared folder and read it back.
 
@@ -67,12 +75,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     The folder is removed when the application ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/ordermill-{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
-    _delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def _delete_at_exit(spark: SparkSession, path: str) -> None:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
