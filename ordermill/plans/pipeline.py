@@ -15,8 +15,8 @@ from ..session import staged
 from ..sources import Warehouse, read_fx_documents, read_order_pages, read_packed_pages
 from . import cleaning, marts, quality, rates
 
-# Tables whose key cannot repeat: keep_first, and one group per country.
-UNIQUE_BY_CONSTRUCTION = {"orders_clean", "country_category_revenue"}
+# Tables whose key cannot repeat: keep_first, distinct dates with one source rate each, one group per country.
+UNIQUE_BY_CONSTRUCTION = {"orders_clean", "fx_rates", "country_category_revenue"}
 
 
 def run_step(
