@@ -7,7 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CHUNK = 1 << 18
+CHUNK = 1 << 16
 _BASE = 0x9E3779B97F4A7C15
 
 

@@ -6,8 +6,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm.batches import fold_of, map_rows, table
+from ordermill.llm.batches import fold_of, fold_rows, map_rows, table
 from ordermill.llm.codes import word_hashes
+from ordermill.session import staged
 
 BITS = 18
 POSITIVES = 8_192
@@ -35,32 +36,42 @@ def level(row: np.ndarray) -> int:
     return len(row).bit_length()
 
 
-def select_features(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int) -> np.ndarray:
-    """Buckets that positive texts have more often than others, by the z score of the shares."""
-    in_p = np.bincount(np.concatenate(positive) >> 4, minlength=1 << BITS)
-    in_u = np.bincount(np.concatenate(unlabelled) >> 4, minlength=1 << BITS)
-    share_p, share_u = (in_p + 0.5) / (len(positive) + 1), (in_u + 0.5) / (len(unlabelled) + 1)
-    z = (share_p - share_u) / np.sqrt(share_u * (1 - share_u) / len(positive))
+def select_features(in_p: np.ndarray, in_u: np.ndarray, n_p: int, n_u: int, size: int) -> np.ndarray:
+    """Buckets that positive texts have more often than others, by the z score of the shares.
+
+    `in_p` and `in_u` count the texts, of `n_p` and `n_u`, that have each bucket.
+    """
+    share_p, share_u = (in_p + 0.5) / (n_p + 1), (in_u + 0.5) / (n_u + 1)
+    z = (share_p - share_u) / np.sqrt(share_u * (1 - share_u) / n_p)
     z[in_p < 2] = 0
     order = np.argsort(-z, kind="stable")[:size]
     return np.sort(order[z[order] > 3])
 
 
-def dense(rows: list[np.ndarray], features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows over the features, the level and a constant 1, and the share of rows equal to each."""
+def places_of(features: np.ndarray) -> np.ndarray:
     place = np.full(1 << BITS, -1, np.int64)
     place[features] = np.arange(len(features))
-    counts: dict[tuple[bytes, int], int] = {}
-    for row in rows:
-        at = place[row >> 4]
-        key = (at << 4 | row & 15)[at >= 0].astype("<u4").tobytes(), level(row)
-        counts[key] = counts.get(key, 0) + 1
-    out = np.zeros((len(counts), len(features) + 2))
-    for i, (key, doublings) in enumerate(counts):
+    return place
+
+
+def selected(row: np.ndarray, place: np.ndarray) -> bytes:
+    """What a text has of the features: place of each and, in the low 4 bits, its count."""
+    at = place[row >> 4]
+    return (at << 4 | row & 15)[at >= 0].astype("<u4").tobytes()
+
+
+def dense(rows: list[tuple[bytes, int, int]], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows over `size` features, the level and a constant 1, and the share of texts equal to each.
+
+    `rows` has what a text has of the features, its level, and how many texts are so.
+    """
+    out = np.zeros((len(rows), size + 2))
+    for i, (key, doublings, _) in enumerate(rows):
         row = np.frombuffer(key, "<u4")
-        out[i, -2:] = doublings, 1
         out[i, row >> 4] = strength(row & 15)
-    return out, np.array(list(counts.values())) / len(rows)
+        out[i, -2:] = doublings, 1
+    counts = np.array([count for _, _, count in rows], np.float64)
+    return out, counts / counts.sum()
 
 
 def fit_nnpu(
@@ -119,28 +130,55 @@ def learn(
     chosen = some(known.where("toxic = 1"), positives).withColumn("toxic", F.lit(1))
     chosen = chosen.unionByName(some(docs, unlabelled).withColumn("toxic", F.lit(0)))
     picked = chosen.groupBy("doc_id").agg(F.max("toxic").alias("p"), F.min("toxic").alias("u")).collect()
-    wanted = spark.sparkContext.broadcast({row.doc_id for row in picked})
-
-    def mine(batches):
-        for batch in batches:
-            ids = batch.column(0).to_pylist()
-            keep = [i for i, doc_id in enumerate(ids) if doc_id in wanted.value]
-            if keep:
-                yield batch.take(keep)
-
-    texts = docs.select("doc_id", "text").mapInArrow(mine, "doc_id long, text string")
-    rows = map_rows(texts, "doc_id long, words binary", lambda: lambda doc_id, text: (doc_id, buckets(text).tobytes()))
-    rows = rows.groupBy("doc_id").agg(F.min("words").alias("words"))  # a repeated id counts once
-    words = {doc_id: np.frombuffer(data, "<u4") for doc_id, data in rows.toArrow().to_pandas().itertuples(index=False)}
-    p = [words[row.doc_id] for row in picked if row.p == 1 and row.doc_id in words]
-    u = [words[row.doc_id] for row in picked if row.u == 0 and row.doc_id in words]
-    if not p or not u or not 0 < prior < 1:
+    wanted = spark.sparkContext.broadcast({row.doc_id: (row.p, 1 - row.u) for row in picked})
+
+    def marked(state, doc_id, text):
+        sides = wanted.value.get(doc_id)
+        if sides:
+            yield [doc_id], [sides[0]], [sides[1]], [buckets(text).tobytes()]
+
+    schema = "doc_id long, p int, u int, words binary"
+    rows = fold_rows(docs.select("doc_id", "text"), schema, lambda: None, marked, lambda _: iter(()))
+    rows = rows.groupBy("doc_id", "p", "u").agg(F.min("words").alias("words"))  # a repeated id counts once
+    rows = staged(rows.select("p", "u", "words"), "toxicity_sample")
+
+    # what comes to the driver is bounded by the buckets and then by the sample, however long its texts are
+    in_p, in_u = count_buckets(rows)
+    if not in_p[-1] or not in_u[-1] or not 0 < prior < 1:
         return np.zeros(0, np.int64), np.zeros(0), (0.0, -4.0)
-    chosen_features = select_features(p, u, features)
-    weights = fit_nnpu(dense(p, chosen_features), dense(u, chosen_features), prior)
+    chosen_features = select_features(in_p[:-1], in_u[:-1], in_p[-1], in_u[-1], features)
+    place = spark.sparkContext.broadcast(places_of(chosen_features))
+
+    def narrow(p, u, words):
+        row = np.frombuffer(words, "<u4")
+        return p, u, selected(row, place.value), level(row)
+
+    alike = map_rows(rows, "p int, u int, has binary, level int", lambda: narrow).groupBy("p", "u", "has", "level").count().collect()
+    sides = [[(row.has, row.level, row["count"]) for row in alike if row[side]] for side in ("p", "u")]
+    weights = fit_nnpu(*(dense(side, len(chosen_features)) for side in sides), prior)
     return chosen_features, weights[:-2], (float(weights[-2]), float(weights[-1]))
 
 
+def count_buckets(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Texts of each side that have each bucket; the last entry counts the texts."""
+
+    def add(state, p, u, words):
+        at = np.append(np.frombuffer(words, "<u4") >> 4, 1 << BITS)
+        state[0][at] += p
+        state[1][at] += u
+
+    def finish(state):
+        found = np.flatnonzero(state[0] + state[1])
+        yield found, state[0][found], state[1][found]
+
+    start = lambda: (np.zeros((1 << BITS) + 1, np.int64), np.zeros((1 << BITS) + 1, np.int64))
+    sums = fold_rows(rows, "bucket int, p long, u long", start, add, finish).groupBy("bucket").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).toArrow()
+    out = start()
+    for side, name in zip(out, ("p", "u")):
+        side[sums["bucket"].to_numpy()] = sums[name].to_numpy()
+    return out
+
+
 def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score (0 to 1) and predicted (1 if score >= 0.5) of every row, from its whole text.
 

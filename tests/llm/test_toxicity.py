@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 
 from ordermill.llm.codes import word_hashes
-from ordermill.llm.toxicity import buckets, dense, fit_nnpu, learn, op2_toxicity, score_toxicity
+from ordermill.llm.toxicity import (
+    buckets,
+    dense,
+    fit_nnpu,
+    learn,
+    level,
+    op2_toxicity,
+    places_of,
+    score_toxicity,
+    select_features,
+    selected,
+)
 
 
 def test_words_do_not_depend_on_chunks(monkeypatch):
@@ -17,25 +30,36 @@ def test_words_do_not_depend_on_chunks(monkeypatch):
     assert word_hashes("abcdefgh abcdezzz abcde", (5,)).tolist().count(word_hashes("abcdefgh", (5,))[1]) == 2
 
 
+def rows_of(texts, features):
+    counts = Counter((selected(text, places_of(features)), level(text)) for text in texts)
+    return dense([(*key, n) for key, n in counts.items()], len(features))
+
+
 def test_positives_among_the_unlabelled_are_found():
     rng = np.random.default_rng(0)
     positive = [np.array([7 << 4 | 3, 9 << 4 | 1], "<u4")] * 40
     hidden = [np.array([7 << 4 | 2], "<u4")] * 20
     clean = [np.sort(rng.choice(np.arange(20, 60), 5, replace=False)).astype("<u4") << 4 | 1 for _ in range(180)]
     features = np.array([7, 9, 25, 30])
-    weights = fit_nnpu(dense(positive, features), dense([*hidden, *clean], features), 0.1)
-    rows, _ = dense([hidden[0], clean[0]], features)
-    assert rows[0] @ weights > 0 > rows[1] @ weights
+    weights = fit_nnpu(rows_of(positive, features), rows_of([*hidden, *clean], features), 0.1)
+    toxic, fine = (rows_of([text], features)[0][0] for text in (hidden[0], clean[0]))
+    assert toxic @ weights > 0 > fine @ weights
 
 
 def test_the_risk_stays_near_zero_or_above():
     # all unlabelled rows equal the positives: fitted as negatives they would have a large negative part
-    same = dense([np.array([3 << 4 | 1], "<u4")] * 10, np.array([3]))
-    weights = fit_nnpu(same, same, 0.5, steps=300)
-    z = same[0] @ weights
+    same = rows_of([np.array([3 << 4 | 1], "<u4")] * 10, np.array([3]))
+    z = same[0] @ fit_nnpu(same, same, 0.5, steps=300)
     assert np.logaddexp(0, z).mean() - 0.5 * np.logaddexp(0, z).mean() > -0.05
 
 
+def test_features_are_what_positives_have_more_often():
+    in_p, in_u = np.zeros(1 << 18), np.zeros(1 << 18)
+    in_p[[3, 5, 8]] = 30, 40, 1
+    in_u[[3, 5, 9]] = 2, 400, 50
+    assert select_features(in_p, in_u, 50, 500, 10).tolist() == [3]
+
+
 def test_held_out_labels(spark):
     sf_dir = "/root/testdata/sf0.1"
     labels = {row.doc_id: row.toxic for row in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
