@@ -265,21 +265,22 @@ def _digit_words() -> frozenset[str]:
     return frozenset(word for names in DIGIT_WORDS.values() for word in names.split())
 
 
+_TOKEN = re.compile(r"[0-9]+|[^\W0-9]+")
+
+
 def hints_of_digits(low: str) -> bool:
-    """Cheap: there is a spelled digit before two more digits, spelled or not."""
+    """Cheap: a spelled digit stands next to a digit, spelled or not, on either side; no run is without."""
     names = _digit_words()
-    if names.isdisjoint(words := _between(low).split()):
+    if names.isdisjoint(words := _TOKEN.findall(low)):
         return False
-    return any(
-        word in names and all(near in names or near.isdigit() for near in words[i + 1 : i + 3]) and i + 2 < len(words)
-        for i, word in enumerate(words)
-    )
+    near = [word in names or "0" <= word[0] <= "9" for word in words]
+    return any(word in names and (near[i - 1] and i > 0 or near[i + 1 : i + 2] == [True]) for i, word in enumerate(words))
 
 
-def _between(low: str) -> str:
-    for mark in "-,.":
-        low = low.replace(mark, " ")
-    return low
+def lowered(text: str) -> str:
+    """In lower case, with the letters that patterns without case take for i and s."""
+    low = text.lower()
+    return low if low.isascii() else low.replace("i\u0307", "i").replace("\u0131", "i").replace("\u017f", "s")
 
 
 def looks_latin(text: str) -> bool:
@@ -304,7 +305,7 @@ def unfold(text: str) -> Rewritten | None:
 
 def unspell(text: str) -> Rewritten | None:
     """Spelled digits, `at` and `dot` as characters, where they make up an identifier; else None."""
-    low = text.lower()
+    low = lowered(text)
     signs, digits = hints_of_signs(text, low), hints_of_digits(low)
     if not signs and not digits:
         return None

@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from ordermill.llm import personal_data
 from ordermill.llm.personal_data import Rewritten, detect, find, find_in_documents, op5_personal_data, redact, redact_documents, shown
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -78,6 +79,32 @@ def test_plain_prose_is_left_alone(text):
     assert find(text) == ([], [])
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "part"),
+    [
+        ("call +49 30 12 3 four five thanks", "phone", "+49 30 12 3 four five"),
+        ("card 4111 1111 1111 11 one one thanks", "card", "4111 1111 1111 11 one one"),
+        ("call +49 30 1 2 3 4 5 five!", "phone", "+49 30 1 2 3 4 5 five"),
+    ],
+)
+def test_numbers_that_end_spelled(text, kind, part):
+    start = text.index(part)
+    span = (kind, start, start + len(part))
+    assert span in find(text)[1]
+    far = len(prefix := "one two three, and far off: ")
+    assert (kind, start + far, start + far + len(part)) in find(prefix + text)[1]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(["+49", "30", "1", "2 3", "four", "FIVE", "\u017fix", "un", "plus", "dot", "at", "x", " ", "  ", "-", ", ", "(", ")", "!", "\u2014", "_", "."]), max_size=30))
+def test_the_gate_of_digits_takes_nothing_away(parts):
+    text = "".join(parts)
+    gated = find(text)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(personal_data, "hints_of_digits", lambda low: True)
+        assert find(text) == gated
+
+
 def test_offsets_through_two_rewritings():
     first = Rewritten("ab[x]cd")
     first.replace(2, 5, "")
