@@ -93,8 +93,17 @@ DIGIT_WORDS = {
 AT_WORDS = "at|arroba"
 DOT_WORDS = "dot|punkt|punto|point"
 PLUS_WORDS = "plus"
-# Endings that a domain spoken as mere words has to have; any will do where signs are bracketed.
-TOP_LEVELS = "com|org|net|edu|gov|mil|int|info|biz|io|co|me|ai|app|dev|de|fr|es|it|nl|uk|us|eu|ch|be|ca|au|br|jp|cn|ru"
+# Endings that a domain spoken as mere words has to have; any will do where another sign of an address is there.
+TOP_LEVELS = "com|org|net|edu|gov|mil|int|info|biz|io|co|me|ai|app|dev|xyz|eu"
+# Country codes, without those that are English words: am, as, at, by, do, in, is, my, no, pm, so, to.
+COUNTRIES = (
+    "ad|ae|af|ag|al|ao|aq|ar|au|aw|ax|az|ba|bb|bd|be|bf|bg|bh|bi|bj|bm|bn|bo|br|bs|bt|bw|bz|ca|cc|cd|cf|cg|ch|ci|ck|cl|cm|cn|cr|"
+    "cu|cv|cw|cx|cy|cz|de|dj|dk|dm|dz|ec|ee|eg|er|es|et|fi|fj|fk|fm|fo|fr|ga|gd|ge|gf|gg|gh|gi|gl|gm|gn|gp|gq|gr|gs|gt|gu|gw|gy|hk|"
+    "hm|hn|hr|ht|hu|id|ie|il|im|iq|ir|it|je|jm|jo|jp|ke|kg|kh|ki|km|kn|kp|kr|kw|ky|kz|la|lb|lc|li|lk|lr|ls|lt|lu|lv|ly|ma|mc|md|mg|"
+    "mh|mk|ml|mm|mn|mo|mp|mq|mr|ms|mt|mu|mv|mw|mx|mz|na|nc|ne|nf|ng|ni|nl|np|nr|nu|nz|om|pa|pe|pf|pg|ph|pk|pl|pn|pr|ps|pt|pw|py|qa|"
+    "re|ro|rs|ru|rw|sa|sb|sc|sd|se|sg|sh|si|sk|sl|sm|sn|sr|ss|st|su|sv|sx|sy|sz|tc|td|tf|tg|th|tj|tk|tl|tm|tn|tr|tt|tv|tw|tz|ua|ug|"
+    "uk|us|uy|uz|va|vc|ve|vg|vi|vn|vu|wf|ws|ye|yt|za|zm|zw"
+)
 INVISIBLE = "­​‌‍⁠﻿"
 
 
@@ -210,25 +219,37 @@ def _disguises() -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern, re.Pat
     bracketed = lambda words: rf"{gap}(?:\[{gap}(?:{words}){gap}\]|\({gap}(?:{words}){gap}\)|\{{{gap}(?:{words}){gap}\}}|<{gap}(?:{words}){gap}>){gap}"
     spoken = lambda words: rf"[ \t]{{1,3}}(?:{words})[ \t]{{1,3}}"
     label = r"[A-Za-z0-9-]{1,63}"
-    dots = rf"(?:{bracketed(DOT_WORDS)}|{bracketed(re.escape('.'))}|{spoken(DOT_WORDS)})"
+    bracketed_dot = rf"(?:{bracketed(DOT_WORDS)}|{bracketed(re.escape('.'))})"
+    dots = rf"(?:{bracketed_dot}|{spoken(DOT_WORDS)})"
     ats = rf"(?:{bracketed(AT_WORDS)}|{bracketed('@')})"
     apart = r"(?:[ \t]{1,3}@[ \t]{0,3}|@[ \t]{1,3})"
     apart_dot = r"[ \t]\.[ \t]"
     any_dot = rf"(?:\.|{dots})"
     wide_dot = rf"(?:\.|{apart_dot})"
     name = r"[A-Za-z0-9_%+-]{1,64}"
-    ending = rf"(?:{TOP_LEVELS})(?![A-Za-z0-9-])"
+    # no word of prose: a dot or a sign in it, or a digit
+    formed = rf"(?=[_%+-]{{0,64}}[A-Za-z0-9])(?=[A-Za-z]{{0,64}}(?:[0-9_%+-]|{any_dot}))"
+    listed = rf"(?:{TOP_LEVELS}|{COUNTRIES})(?![A-Za-z0-9-])"
+    any_ending = r"[A-Za-z]{2,63}(?![A-Za-z0-9-])"
+    after_formed = "|".join(
+        (
+            rf"{spoken(AT_WORDS)}{label}(?:{any_dot}{label}){{0,8}}{any_dot}{any_ending}",
+            rf"{apart}{label}(?:{wide_dot}{label}){{0,8}}{wide_dot}{any_ending}",
+        )
+    )
     after_name = "|".join(
         (
             rf"(?:{ats}|@){label}(?:{any_dot}{label}){{1,8}}",
-            # `at` as a mere word counts where a dot is disguised as well,
-            rf"{spoken(AT_WORDS)}{label}(?:{any_dot}{label}){{0,8}}{dots}(?:{label}{any_dot}){{0,8}}{ending}",
-            # or where the name is none of prose
-            rf"(?<=[0-9]){spoken(AT_WORDS)}(?:{label}\.){{1,8}}{ending}",
-            rf"{apart}{label}(?:{wide_dot}{label}){{0,8}}{wide_dot}{ending}",
+            # `at` as a mere word counts where a dot is disguised as well
+            rf"{spoken(AT_WORDS)}{label}(?:{any_dot}{label}){{0,8}}{bracketed_dot}(?:{label}{any_dot}){{0,8}}{any_ending}",
+            rf"{spoken(AT_WORDS)}{label}(?:{any_dot}{label}){{0,8}}{dots}(?:{label}{any_dot}){{0,8}}{listed}",
+            # a name of a reader may stand behind a space and `@`, with a dot in it
+            rf"(?:[ \t]{{0,3}}@[ \t]{{1,3}})(?:{label}\.){{1,8}}{any_ending}",
+            rf"{apart}{label}(?:{wide_dot}{label}){{0,8}}{wide_dot}{listed}",
         )
     )
-    mail = rf"{name}(?:{any_dot}{name}){{0,8}}(?:{after_name})"
+    names = rf"{name}(?:{any_dot}{name}){{0,8}}"
+    mail = rf"(?:{formed}{names}(?:{after_formed})|{names}(?:{after_name}))"
     address = rf"[0-9]{{1,3}}(?:{any_dot}[0-9]{{1,3}}){{3}}"
     words = {word: digit for digit, names in DIGIT_WORDS.items() for word in names.split()}
     number = rf"(?:{'|'.join(sorted(words, key=len, reverse=True))})"
@@ -246,7 +267,7 @@ def _disguises() -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern, re.Pat
 
 _BRACKETED = re.compile(rf"[\[({{<][ \t]*(?:{AT_WORDS}|{DOT_WORDS}|@|\.)[ \t]*[\])}}>]", re.IGNORECASE)
 _SPOKEN = re.compile(rf"[ \t](?:{DOT_WORDS})[ \t]")
-_NUMBERED = re.compile(rf"[0-9][ \t]{{1,3}}(?:{AT_WORDS})[ \t]")
+_SPOKEN_AT = re.compile(rf"[ \t](?:{AT_WORDS})[ \t]{{1,3}}[a-z0-9-]{{1,63}}\.")
 
 
 def hints_of_signs(text: str, low: str) -> bool:
@@ -255,7 +276,7 @@ def hints_of_signs(text: str, low: str) -> bool:
         return True
     if "@" in text and any(mark in text for mark in (" @", "\t@", "@ ", "@\t")):
         return True
-    if _DIGIT.search(low) and _NUMBERED.search(low):
+    if _SPOKEN_AT.search(low):
         return True
     return any(mark in text for mark in "[({<") and _BRACKETED.search(text) is not None
 

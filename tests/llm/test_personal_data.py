@@ -79,6 +79,44 @@ def test_plain_prose_is_left_alone(text):
     assert find(text) == ([], [])
 
 
+@pytest.mark.parametrize(
+    "part",
+    [
+        "jane.doe at example.com",
+        "jane_doe at example.com",
+        "j4ne at example.travel",
+        "jane-doe at mail.example.museum",
+        "jane at firm dot pl",
+        "jane dot doe at shop dot xyz",
+        "jane dot doe at shop.museum",
+        "jane at firm [dot] museum",
+        "jane @ firm.se",
+        "jane @ firm.museum",
+        "jane.doe @ firm . museum",
+    ],
+)
+def test_names_and_endings(part):
+    text = f"so write to {part}, please"
+    start = text.index(part)
+    assert find(text)[1] == [("email", start, start + len(part))]
+    assert redact(text, find(text)[1]) == "so write to <EMAIL>, please"
+
+
+@pytest.mark.parametrize("text", ["we look at example.com now", "hi @jane.doe there", "meet at home dot then", "see - at example.com", "he is at home dot is it", "U.S. at example.com"])
+def test_prose_before_an_at_is_left_alone(text):
+    assert find(text) == ([], [])
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(["jane", "j4", "x_y", "at", "AT", "arroba", "@", "dot", "punto", "[at]", "(dot)", ".", "com", "se", "xyz", " ", "  ", "\t", "-", "\u017f"]), max_size=24))
+def test_the_gate_of_signs_takes_nothing_away(parts):
+    text = "".join(parts)
+    gated = find(text)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(personal_data, "hints_of_signs", lambda text, low: True)
+        assert find(text) == gated
+
+
 @pytest.mark.parametrize(
     ("text", "kind", "part"),
     [
