@@ -1,9 +1,9 @@
 """Personal data in texts, in plain form and in disguise, with offsets in the original text.
 
-Two transducers rewrite a text and keep where every piece came from: the first folds look-alike
-characters and drops invisible ones, the second turns spelled digits, `at` and `dot` into characters.
-The detectors run on the text itself and on what the transducers make of it; spans found there are
-mapped back to the source characters.
+Three transducers rewrite a text and keep where every piece came from: the first folds look-alike
+characters and drops invisible ones, the second turns spelled digits into digits, the third `at` and
+`dot` into signs. The detectors run on the text itself and on what each transducer makes of it; spans
+found there are mapped back to the source characters.
 """
 
 from __future__ import annotations
@@ -214,7 +214,7 @@ def _folding() -> tuple[re.Pattern, dict[str, str]]:
 
 
 @lru_cache(maxsize=1)
-def _disguises() -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern, re.Pattern, dict[str, str]]:
+def _disguises() -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern, re.Pattern, re.Pattern, re.Pattern, dict[str, str]]:
     gap = r"[ \t]{0,3}"
     bracketed = lambda words: rf"{gap}(?:\[{gap}(?:{words}){gap}\]|\({gap}(?:{words}){gap}\)|\{{{gap}(?:{words}){gap}\}}|<{gap}(?:{words}){gap}>){gap}"
     spoken = lambda words: rf"[ \t]{{1,3}}(?:{words})[ \t]{{1,3}}"
@@ -253,14 +253,18 @@ def _disguises() -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern, re.Pat
     address = rf"[0-9]{{1,3}}(?:{any_dot}[0-9]{{1,3}}){{3}}"
     words = {word: digit for digit, names in DIGIT_WORDS.items() for word in names.split()}
     number = rf"(?:{'|'.join(sorted(words, key=len, reverse=True))})"
-    run = rf"(?:{PLUS_WORDS}[ \t-]{{1,3}})?(?:[0-9][ \t()-]{{0,3}}){{0,19}}(?:{number}|[0-9]{{1,4}})(?:[ \t,.-]{{1,3}}(?:{number}|[0-9]{{1,4}})){{5,}}"
+    more = rf"(?:[ \t-]{{1,3}}(?:{number}|[0-9](?![0-9])))"
+    octet = rf"(?:{number}{more}{{0,2}}|[0-9]{{1,3}})(?!\w)"
+    sign = rf"(?:{any_dot}|{ats}|{spoken(AT_WORDS)}|{apart}|@)"
     flags = re.IGNORECASE
     return (
         re.compile(rf"(?<![A-Za-z0-9_%+-])(?:{mail}|{address})(?![A-Za-z0-9])", flags),
         re.compile(rf"{ats}|{apart}|{spoken(AT_WORDS)}", flags),
         re.compile(rf"{dots}|{apart_dot}", flags),
-        re.compile(rf"(?<!\w){run}(?!\w)", flags),
-        re.compile(rf"({PLUS_WORDS})|({number})|[0-9]+|[ \t,.()-]+", flags),
+        re.compile(rf"(?<!\w){octet}(?:{any_dot}{octet}){{3}}", flags),
+        re.compile(rf"({sign})?(?<![^\W0-9])({number}{more}+)(?![^\W0-9])", flags),
+        re.compile(sign, flags),
+        re.compile(rf"(?<![^\W0-9])(?:({PLUS_WORDS})|({number}))(?![^\W0-9])|[0-9]+", flags),
         words,
     )
 
@@ -290,11 +294,12 @@ _TOKEN = re.compile(r"[0-9]+|[^\W0-9]+")
 
 
 def hints_of_digits(low: str) -> bool:
-    """Cheap: a spelled digit stands next to a digit, spelled or not, on either side; no run is without."""
+    """Cheap: a spelled digit stands next to a digit, spelled or not, or a spoken dot, on either side; none is rewritten without."""
     names = _digit_words()
     if names.isdisjoint(words := _TOKEN.findall(low)):
         return False
-    near = [word in names or "0" <= word[0] <= "9" for word in words]
+    dots = DOT_WORDS.split("|")
+    near = [word in names or "0" <= word[0] <= "9" or word in dots for word in words]
     return any(word in names and (near[i - 1] and i > 0 or near[i + 1 : i + 2] == [True]) for i, word in enumerate(words))
 
 
@@ -324,36 +329,12 @@ def unfold(text: str) -> Rewritten | None:
     return out if out.parts else None
 
 
-def unspell(text: str) -> Rewritten | None:
-    """Spelled digits, `at` and `dot` as characters, where they make up an identifier; else None."""
-    low = lowered(text)
-    signs, digits = hints_of_signs(text, low), hints_of_digits(low)
-    if not signs and not digits:
-        return None
-    mail, ats, dots, run, item, words = _disguises()
-    places: list[tuple[int, int, str]] = []
-    if signs:
-        for found in mail.finditer(text):
-            inside = [(m.start(), m.end(), ".") for m in dots.finditer(text, found.start(), found.end())]
-            if "@" not in found[0]:
-                inside += [(m.start(), m.end(), "@") for m in ats.finditer(text, found.start(), found.end())][-1:]
-            elif any(m for m in ats.finditer(text, found.start(), found.end()) if "@" in m[0]):
-                inside += [(m.start(), m.end(), "@") for m in ats.finditer(text, found.start(), found.end()) if "@" in m[0]]
-            places += inside
-    if digits:
-        for found in run.finditer(text):
-            start = found.start()
-            after_plus = False
-            for m in item.finditer(text, start, found.end()):
-                if m[1]:
-                    places.append((m.start(), m.end(), "+"))
-                    after_plus = True
-                elif m[2]:
-                    places.append((m.start(), m.end(), words[m[2].lower()]))
-                    after_plus = False
-                elif m[0][0] in " \t,.()-" and (after_plus or m[0] not in (" ", "-")):
-                    places.append((m.start(), m.end(), "" if after_plus else " "))
-                    after_plus = False
+_GAP = re.compile(r"[ \t,.()-]{0,3}")
+_CLOSE = re.compile(r"[ \t-]{1,3}")
+
+
+def rewritten(text: str, places: list[tuple[int, int, str]]) -> Rewritten | None:
+    """Places of the text as something else; of those that overlap the first."""
     if not places:
         return None
     out = Rewritten(text)
@@ -363,31 +344,123 @@ def unspell(text: str) -> Rewritten | None:
     return out
 
 
+def undigit(text: str) -> Rewritten | None:
+    """Spelled digits as digits: in addresses, as parts of names beside a sign, and in runs of eight digits or more; else None."""
+    if not hints_of_digits(lowered(text)):
+        return None
+    *_, address, part, sign, item, words = _disguises()
+    places: list[tuple[int, int, str]] = []
+
+    def digit(m: re.Match) -> str:
+        return words[lowered(m[2])] if m[2] else m[0]
+
+    def collapse(start: int, end: int, most: int | None = None) -> int:
+        """Digits without gaps; of a number beyond `most` only the front. Where that ends."""
+        found = list(item.finditer(text, start, end))
+        while most and len(found) > 1 and int("".join(map(digit, found))) > most:
+            found.pop()
+        for i, m in enumerate(found):
+            if i:
+                places.append((found[i - 1].end(), m.start(), ""))
+            if m[2]:
+                places.append((m.start(), m.end(), digit(m)))
+        return found[-1].end()
+
+    taken = []  # addresses: their dots are no gaps of a run
+    for found in address.finditer(text):
+        octets: list[list[int]] = []
+        items = list(item.finditer(text, found.start(), found.end()))
+        if text[found.start() - 1 : found.start()] == "+" or not any(m[2] for m in items):
+            continue
+        for m in items:
+            if octets and not _CLOSE.fullmatch(text, octets[-1][1], m.start()):
+                octets.append([m.start(), m.end()])
+            elif octets:
+                octets[-1][1] = m.end()
+            else:
+                octets.append([m.start(), m.end()])
+        for start, end in octets:
+            stop = collapse(start, end, 255)
+        taken.append((found.start(), stop))
+
+    def inside(place: int) -> bool:
+        i = bisect_right(taken, (place, len(text))) - 1
+        return i >= 0 and place < taken[i][1]
+
+    for found in part.finditer(text):
+        if (found[1] or sign.match(text, found.end())) and not inside(found.start(2)):
+            collapse(*found.span(2))
+
+    run: list[re.Match] = []
+
+    def settle() -> None:
+        digits = sum(1 if m[2] else len(m[0]) for m in run if not m[1])
+        if digits >= 8 and any(m[2] for m in run):
+            for i, m in enumerate(run):
+                if m[1]:
+                    places.append((*m.span(), "+"))
+                elif m[2]:
+                    places.append((*m.span(), digit(m)))
+                if i and run[i - 1][1]:
+                    places.append((run[i - 1].end(), m.start(), ""))
+                elif i and text[run[i - 1].end() : m.start()] not in ("", " ", "-"):
+                    places.append((run[i - 1].end(), m.start(), " "))
+        run.clear()
+
+    for m in item.finditer(text):
+        if taken and inside(m.start()):
+            settle()
+            continue
+        if run and (m[1] or not (_CLOSE if run[-1][1] else _GAP).fullmatch(text, run[-1].end(), m.start())):
+            settle()
+        run.append(m)
+    settle()
+    return rewritten(text, places)
+
+
+def unsign(text: str) -> Rewritten | None:
+    """Spoken, bracketed and spaced `at` and `dot` as signs, where they make up an address; else None."""
+    if not hints_of_signs(text, lowered(text)):
+        return None
+    mail, ats, dots, *_ = _disguises()
+    places: list[tuple[int, int, str]] = []
+    for found in mail.finditer(text):
+        places += [(m.start(), m.end(), ".") for m in dots.finditer(text, found.start(), found.end())]
+        signs = list(ats.finditer(text, found.start(), found.end()))
+        signs = [m for m in signs if "@" in m[0]] if "@" in found[0] else signs[-1:]
+        places += [(m.start(), m.end(), "@") for m in signs]
+    return rewritten(text, places)
+
+
 def find(text: str) -> tuple[list[Span], list[Span]]:
     """Plain spans, and all spans: by kind as listed, then by start and end.
 
     Spans from a rewritten text are added if something in them was replaced and they do not lie
-    within a plain span of their kind.
+    within a plain span of their kind, or within another one that is added.
     """
     base = detect(text)
     added: set[Span] = set()
-    first = unfold(text)
-    middle = first.close() if first else text
-    second = unspell(middle)
-    if first or second:
-        last = second.close() if second else middle
+    stages: list[Rewritten] = []
+    last = text
+    for rewrite in (unfold, undigit, unsign):
+        stage = rewrite(last)
+        if stage is None:
+            continue
+        stages.append(stage)
+        last = stage.close()
         for kind, start, end in detect(last):
             changed = False
-            if second:
-                changed = second.touched(start, end)
-                start, end = second.begin_of(start), second.end_of(end)
-            if first:
-                changed |= first.touched(start, end)
-                start, end = first.begin_of(start), first.end_of(end)
+            for stage in reversed(stages):
+                changed |= stage.touched(start, end)
+                start, end = stage.begin_of(start), stage.end_of(end)
             if changed and not any(k == kind and a <= start and end <= b for k, a, b in base):
                 added.add((kind, start, end))
     place = {kind: i for i, kind in enumerate(KINDS)}
-    return base, sorted({*base, *added}, key=lambda span: (place[span[0]], *span[1:]))
+    outer: list[Span] = []
+    for span in sorted(added, key=lambda span: (place[span[0]], span[1], -span[2])):
+        if not outer or outer[-1][0] != span[0] or span[2] > outer[-1][2]:
+            outer.append(span)
+    return base, sorted({*base, *outer}, key=lambda span: (place[span[0]], *span[1:]))
 
 
 def redact(text: str, spans: list[Span]) -> str:

@@ -133,6 +133,42 @@ def test_numbers_that_end_spelled(text, kind, part):
     assert (kind, start + far, start + far + len(part)) in find(prefix + text)[1]
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "part"),
+    [
+        ("call +49 30 123456 seven eight nine now", "phone", "+49 30 123456 seven eight nine"),
+        ("card 4111111111111 one one one now", "card", "4111111111111 one one one"),
+        ("card 4111111111111one, one, one now", "card", "4111111111111one, one, one"),
+        ("call +49.30.12.34 five six now", "phone", "+49.30.12.34 five six"),
+        ("host one nine two dot one six eight dot one dot nine is", "ip", "one nine two dot one six eight dot one dot nine"),
+        ("host one dot two dot three dot four is", "ip", "one dot two dot three dot four"),
+        ("host one nine two.one six eight.one.nine is", "ip", "one nine two.one six eight.one.nine"),
+        ("host 192 dot 168 dot one dot two five six is", "ip", "192 dot 168 dot one dot two five"),
+        ("mail jane dot four two at example dot com now", "email", "jane dot four two at example dot com"),
+        ("mail four two at example dot com now", "email", "four two at example dot com"),
+        ("mail jane at four two dot com now", "email", "jane at four two dot com"),
+    ],
+)
+def test_spelled_digits_with_groups_and_signs(text, kind, part):
+    start = text.index(part)
+    assert (kind, start, start + len(part)) in find(text)[1]
+    assert redact(text, find(text)[1]) == text.replace(part, f"<{kind.upper()}>")
+
+
+@pytest.mark.parametrize("text", ["one at a time", "point one two. one three", "10 point two", "since one nine seven three dot"])
+def test_few_spelled_digits_are_left_alone(text):
+    assert find(text) == ([], [])
+
+
+def test_many_spelled_addresses_take_time_in_proportion():
+    for unit in ("one dot ", "one dot two dot three dot four ", "one two at ", "one, ", "plus one "):
+        find(unit * 20_000)
+
+
+def test_spelled_digits_beside_a_plain_address():
+    assert find("10.0.0.1 one day, 7 eight")[1] == [("ip", 0, 8)]
+
+
 @settings(max_examples=1500, deadline=None)
 @given(st.lists(st.sampled_from(["+49", "30", "1", "2 3", "four", "FIVE", "\u017fix", "un", "plus", "dot", "at", "x", " ", "  ", "-", ", ", "(", ")", "!", "\u2014", "_", "."]), max_size=30))
 def test_the_gate_of_digits_takes_nothing_away(parts):
