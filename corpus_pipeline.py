@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ordermill.llm.batches import table
 from ordermill.llm.decontamination import find_leaks
@@ -25,10 +26,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark. Rows that share an id stay or go together."""
-    leaks = find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    leaks = leaks.withColumnRenamed("doc_id", "leak_id")
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["leak_id"]), "left_anti")
+    """Documents without a passage of the benchmark, row by row: a row is known by its text, not by its id."""
+    texts = docs.select(F.xxhash64("text").alias("text_key"), "text")
+    leaks = find_leaks(texts, table(spark, sf_dir, "benchmark"), id_col="text_key")
+    leaks = leaks.select(F.col("doc_id").alias("leak_key")).distinct()
+    return docs.join(leaks, F.xxhash64(docs["text"]) == leaks["leak_key"], "left_anti")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,3 +54,11 @@ def test_odd_tables(spark):
             table = stage(spark, table, SF_DIR).cache()
             assert table.columns == docs.columns
         assert corpus_pipeline.STAGES[-1][1](spark, table, SF_DIR).count() == table.count()
+
+
+def test_contaminated_rows_take_no_clean_rows_along(spark):
+    passage = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").first().text
+    rows = [(None, f"before {passage} after"), (None, "a clean text without an id"), (5, passage), (5, "a clean text of the same id"), (6, passage), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {(row.doc_id, row.text) for row in corpus_pipeline.decontamination(spark, docs, SF_DIR).collect()}
+    assert kept == {(None, "a clean text without an id"), (5, "a clean text of the same id"), (7, None)}
