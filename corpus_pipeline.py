@@ -21,8 +21,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest id."""
-    return keep_first(docs)
+    """One row of each group of near duplicates: that with the smallest id, rows without an id last."""
+    return keep_first(docs, null_ids_stay=False)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -234,6 +234,13 @@ def connected(edges: DataFrame) -> DataFrame:
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def components(marked: DataFrame, reach: int = REACH, shard: int = SHARD) -> DataFrame:
+    """(fp, first, root): each distinct fingerprint, its smallest id, and the smallest fingerprint of its component."""
+    nodes = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    stars = connected(shard_edges(nodes, reach, shard))
+    return nodes.join(stars, nodes.fp == stars.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = WORDS,
@@ -250,9 +257,7 @@ def near_duplicates(
     ids are all NULL has a NULL component. Rows of the same id and text are equal and stay.
     """
     marked = staged(fingerprints(docs, words, id_col, text_col), "fingerprints")
-    nodes = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    stars = connected(shard_edges(nodes, reach, shard))
-    rooted = nodes.join(stars, nodes.fp == stars.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = components(marked, reach, shard)
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(names, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(
@@ -262,15 +267,39 @@ def near_duplicates(
     )
 
 
-def keep_first(docs: DataFrame, words: int = WORDS, reach: int = REACH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id, with all its columns.
+def keep_first(
+    docs: DataFrame,
+    words: int = WORDS,
+    reach: int = REACH,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    null_ids_stay: bool = True,
+) -> DataFrame:
+    """One row of each group of near duplicates, with all its columns.
 
-    Rows that share an id count as one document. Rows without an id cannot be told apart and stay.
+    That with the smallest id stays; of rows that share the id, the one whose text has the smallest
+    SHA-256, and of equal texts one by a hash of all columns but maps. Rows without an id all stay, unless
+    `null_ids_stay` is False: then they come after all others of their group, of which one row stays in any case.
     """
-    groups = near_duplicates(docs, words, reach, id_col=id_col, text_col=text_col)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(first, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = texts.select("doc_id", "text", F.sha2(F.col("text").cast("binary"), 256).alias("mark"))
+    own = map_rows(
+        texts, "doc_id long, fp long, mark string", lambda: lambda doc_id, text, mark: (doc_id, fingerprint(text, words), mark)
+    )
+    marked = staged(own, "fingerprints")
+    ranked = marked.where("doc_id IS NOT NULL") if null_ids_stay else marked
+    roots = components(marked, reach).select("fp", "root")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")).alias("best")
+    first = ranked.join(roots, "fp").groupBy("root").agg(best)
+    first = first.select(F.col("best.doc_id").alias("__first_id"), F.col("best.mark").alias("__first_mark"))
+    key, mark = docs[id_col].cast("long"), F.sha2(docs[text_col].cast("binary"), 256)
+    kept = docs.join(first, key.eqNullSafe(F.col("__first_id")) & mark.eqNullSafe(F.col("__first_mark")), "left_semi")
+    columns = [F.col(f"`{name}`") for name in docs.columns]
+    hashed = [column for column, field in zip(columns, docs.schema) if "map<" not in field.dataType.simpleString()]
+    key, mark = F.col(id_col).alias("__first_id"), F.sha2(F.col(text_col).cast("binary"), 256).alias("__first_mark")
+    row = F.min_by(F.struct(*columns), F.xxhash64(*hashed)).alias("__row")
+    kept = kept.groupBy(key, mark).agg(row).select("__row.*")
+    return kept.unionByName(docs.where(F.col(id_col).isNull())) if null_ids_stay else kept
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

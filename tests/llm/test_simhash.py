@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import xxhash
 
+import corpus_pipeline
 from ordermill.llm import simhash
 from ordermill.llm.simhash import connected, deal, fingerprint, grow, keep_first, leaves, links, near_duplicates, sets
 
@@ -109,3 +110,25 @@ def test_odd_rows(spark):
     assert kept == [(-1, "c"), (-1, "f"), (3, "b"), (7, "g"), (8, "e")]
     assert near_duplicates(docs.limit(0)).count() == 0
     assert near_duplicates(docs.where("doc_id IS NULL")).where("component_id IS NULL").count() == 2
+
+
+def test_one_row_of_each_group(spark):
+    text, other = "the same words over and over again in this text", "entirely different content about ships and harbours at night"
+    rows = [(1, text, "a"), (2, text, "b"), (2, other, "c"), (1, text, "a"), (None, text, "d"), (None, "no one has this text but rows without ids", "e")]
+    rows += [(None, "no one has this text but rows without ids", "f"), (9, other, "g"), (None, None, "h"), (None, "", "i"), (None, None, "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, mark string")
+    kept = [(row.doc_id, row.text, row.mark) for row in keep_first(docs, null_ids_stay=False).collect()]
+    assert len(kept) == 4
+    assert {(1, text, "a"), (2, other, "c")} < set(kept)
+    assert sorted(mark for doc_id, _, mark in kept if doc_id is None) in (["e", "h"], ["e", "i"], ["f", "h"], ["f", "i"])
+    with_nulls = keep_first(docs).collect()
+    assert sorted(row.mark for row in with_nulls) == ["a", "c", "d", "e", "f", "h", "h", "i"]
+    again = keep_first(docs.orderBy(docs.mark.desc()), null_ids_stay=False).collect()
+    assert sorted(map(str, kept)) == sorted(str(tuple(row)) for row in again)
+
+
+def test_the_pipeline_keeps_one_row_of_each_group(spark):
+    text, other = "the same words over and over again in this text", "entirely different content about ships and harbours at night"
+    docs = spark.createDataFrame([(1, text), (1, other), (None, text), (None, text)], "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()
+    assert sorted((row.doc_id, row.text) for row in kept) == sorted([(1, text), (1, other)])
