@@ -3,7 +3,7 @@
 Positions whose remainder by PERIOD lies in a difference cover are anchors: for any two positions there is an offset below
 PERIOD that brings both onto the cover. So two equal windows of `window` words share an aligned run of
 `window - PERIOD + 1` words that starts on the cover in both. Only such runs are hashed and shuffled (3 of 7 positions). Where a run
-occurs twice, each occurrence is extended to the windows around it, and equal windows are told apart by 128-bit hashes.
+occurs twice, each occurrence is extended to the windows around it, and windows are told apart by 96 bits of hashes.
 
 Both exchanges send packed arrays. A task settles repeats among its own occurrences first and sends a hash once, so a
 passage that is everywhere comes to its bucket once per task and buffer.
@@ -11,6 +11,7 @@ passage that is everywhere comes to its bucket once per task and buffer.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,7 +26,6 @@ from ordermill.llm.batches import map_rows, rows_of, table
 WINDOW = 20
 PERIOD = 7
 BUFFER = 1 << 20
-BUCKETS_A_PARTITION = 4
 CHUNK = 1 << 16
 
 # Odd multipliers of the polynomials over bytes and over words, and of the mixing steps: arbitrary, but fixed.
@@ -33,8 +33,8 @@ _BYTES, _WORDS, _WORDS_2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xA0761D6478B
 _MIX, _MIX_2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xFF51AFD7ED558CCD)
 
 DOC = np.dtype([("none", "u1"), ("id", "<i8"), ("mark", "<i8")])
-SENT = "bucket int, kind int, docs binary, doc binary, place binary, h1 binary, h2 binary"
-CONTESTED, SURE, COUNTED = 0, 1, 2
+SENT = "bucket int, kind int, segment binary, docs binary, n int, doc binary, place binary, h1 binary, h2 binary"
+DIRECTORY, CONTESTED, SURE, COUNTED = range(4)
 
 
 @lru_cache
@@ -116,11 +116,30 @@ def anchors(words: np.ndarray, window: int, period: int) -> tuple[np.ndarray, np
     return runs[places], places.astype(np.uint32)
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Small numbers in two bytes each, where all fit, else in four."""
+    return numbers.astype("<u2" if int(numbers.max(initial=0)) < 1 << 16 else "<u4").tobytes()
+
+
+def _unpacked(data: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(data, "<u2" if len(data) == 2 * count else "<u4").astype(np.int64)
+
+
+def _bucket(numbers: np.ndarray, buckets: int) -> np.ndarray:
+    return ((numbers >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+
+
 class Buffer:
-    """Occurrences of hashes in a task's documents, sent when there are `most` of them."""
+    """Occurrences of hashes in a task's documents, sent as one segment when there are `most` of them.
+
+    An occurrence is known by its segment, its document's number there and its place. What is sent to a bucket of hashes has these, and
+    the hashes; the documents themselves are sent once, as the segment's directory, unless `ordered`: then a bucket gets
+    those it needs to put occurrences in order. A segment is named by its directory, so that a task that is run again on other
+    rows cannot be taken for the first run.
+    """
 
-    def __init__(self, buckets: int, most: int, settle):
-        self.buckets, self.most, self.settle = buckets, most, settle
+    def __init__(self, buckets: int, most: int, settle, ordered: bool):
+        self.buckets, self.most, self.settle, self.ordered = buckets, most, settle, ordered
         self.clear()
 
     def clear(self) -> None:
@@ -139,30 +158,41 @@ class Buffer:
             yield from self.flush()
 
     def flush(self) -> Iterator[tuple]:
-        if self.size:
-            docs = np.array(self.docs, DOC)
-            doc, place, h1, h2 = (np.concatenate(column) for column in self.columns)
-            self.clear()
-            marks = docs["mark"].view(np.uint64)
-            for kind, rows in self.settle(docs, doc, place, h1, h2):
-                if not len(rows):
+        if not self.size:
+            return
+        docs = np.array(self.docs, DOC)
+        doc, place, h1, h2 = (np.concatenate(column) for column in self.columns)
+        self.clear()
+        segment = hashlib.blake2b(docs.tobytes(), digest_size=16).digest()
+        home = int.from_bytes(segment[:4], "little") % self.buckets
+        contested, sure, counted = self.settle(docs, doc, place, h1, h2)
+        yield home, DIRECTORY, segment, docs.tobytes(), len(docs), b"", b"", b"", b""
+        if len(sure):
+            yield home, SURE, segment, b"", len(sure), _packed(doc[sure]), _packed(place[sure]), b"", b""
+        for kind, rows in ((CONTESTED, contested), (COUNTED, counted)):
+            bucket = _bucket(h1[rows], self.buckets)
+            order = np.argsort(bucket, kind="stable")
+            for some in np.split(rows[order], np.flatnonzero(np.diff(bucket[order])) + 1):
+                if not len(some):
                     continue
-                by = marks[doc[rows]] if kind == SURE else h1[rows]
-                bucket = ((by >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)).astype(np.int32)
-                order = np.argsort(bucket, kind="stable")
-                cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-                for part in np.split(order, cuts):
-                    some = rows[part]
+                number = int(_bucket(h1[some[:1]], self.buckets)[0])
+                if kind == COUNTED:
+                    yield number, kind, segment, b"", len(some), b"", b"", _short(h1[some]), b""
+                elif self.ordered:
+                    some = np.sort(some)
                     used, own = np.unique(doc[some], return_inverse=True)
-                    known = kind != COUNTED
-                    yield (
-                        int(bucket[part[0]]), kind, docs[used].tobytes() if known else b"",
-                        own.astype("<u4").tobytes() if known else b"", place[some].astype("<u4").tobytes() if known else b"",
-                        h1[some].tobytes() if kind != SURE else b"", h2[some].tobytes() if kind == CONTESTED and len(h2) else b"",
-                    )
+                    names = _packed(used) + docs[used].tobytes()
+                    yield number, kind, segment, names, len(some), _packed(own), _packed(place[some]), h1[some].tobytes(), _short(h2[some])
+                else:
+                    yield number, kind, segment, b"", len(some), _packed(doc[some]), _packed(place[some]), _short(h1[some]), b""
+
 
+def _short(hashes: np.ndarray) -> bytes:
+    """The lower half of each hash; the upper half chose the bucket."""
+    return hashes.astype("<u4").tobytes()
 
-def _ship(df: DataFrame, buckets: int, most: int, settle, occurrences) -> DataFrame:
+
+def _ship(df: DataFrame, buckets: int, most: int, settle, occurrences, ordered: bool) -> DataFrame:
     """Packed rows of what `occurrences(*values)` finds in each row: (place, h1, h2) arrays of a document."""
     names, kinds = zip(*(field.split() for field in SENT.split(", ")))
     fields = pa.schema([(name, pa.binary() if kind == "binary" else pa.int32()) for name, kind in zip(names, kinds)])
@@ -172,7 +202,7 @@ def _ship(df: DataFrame, buckets: int, most: int, settle, occurrences) -> DataFr
             yield pa.record_batch([pa.array(list(c), f.type) for c, f in zip(zip(*some), fields)], schema=fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buffer = Buffer(buckets, most, settle)
+        buffer = Buffer(buckets, most, settle, ordered)
         for batch in batches:
             for doc_id, mark, *values in rows_of(batch):
                 yield from packed(buffer.add(doc_id, mark, *occurrences(*values)))
@@ -181,55 +211,68 @@ def _ship(df: DataFrame, buckets: int, most: int, settle, occurrences) -> DataFr
     return df.mapInArrow(run, SENT)
 
 
-def _decide(sent: DataFrame, contested) -> DataFrame:
-    """(doc_id, mark, places) of the sure occurrences, and of those that `contested` picks in each bucket."""
-    schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("places", pa.list_(pa.int32()))])
-
-    def run(group: pa.Table) -> pa.Table:
-        rows = {kind: [row for row in group.to_pylist() if row["kind"] == kind] for kind in (CONTESTED, SURE, COUNTED)}
-
-        def joined(some: list[dict], name: str, kind) -> np.ndarray:
-            return np.concatenate([np.zeros(0, kind), *(np.frombuffer(row[name], kind) for row in some)])
-
-        found = []
-        for kind in (CONTESTED, SURE):
-            docs = joined(rows[kind], "docs", DOC)
-            sizes = [len(row["docs"]) // DOC.itemsize for row in rows[kind]]
-            shifts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-            doc = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(row["doc"], "<u4") + shift for row, shift in zip(rows[kind], shifts))])
-            doc, place = doc.astype(np.int64), joined(rows[kind], "place", "<u4")
-            if kind == CONTESTED:
-                counted = joined(rows[COUNTED], "h1", "<u8")
-                kept = contested(docs, doc, place, joined(rows[kind], "h1", "<u8"), joined(rows[kind], "h2", "<u8"), counted)
-                doc, place = doc[kept], place[kept]
-            found.append((docs[doc], place))
-        docs, place = (np.concatenate(parts) for parts in zip(*found))
-        names, doc = np.unique(docs, return_inverse=True)
+def _decide(sent: DataFrame, choose) -> DataFrame:
+    """(doc_id, mark, places) of the sure occurrences, and of those contested ones that `choose` marks in each bucket.
+
+    Buckets answer with document numbers and places, which meet the directory of their segment afterwards.
+    """
+    answer = pa.schema([("segment", pa.binary()), ("docs", pa.binary()), ("n", pa.int32()), ("doc", pa.binary()), ("place", pa.binary())])
+    result = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("places", pa.list_(pa.int32()))])
+
+    def decide(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        out = [(row["segment"], row["docs"], row["n"], row["doc"], row["place"]) for row in rows if row["kind"] in (DIRECTORY, SURE)]
+        contested = [row for row in rows if row["kind"] == CONTESTED]
+        if contested:
+            counted = np.concatenate([np.zeros(0, "<u4"), *(np.frombuffer(row["h1"], "<u4") for row in rows if row["kind"] == COUNTED)])
+            for row, doc, place in choose(contested, counted):
+                if len(doc):
+                    out.append((row["segment"], b"", len(doc), _packed(doc), _packed(place)))
+        if not out:
+            return answer.empty_table()
+        return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), answer)], schema=answer)
+
+    def resolve(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        names = next((row["docs"] for row in rows if row["docs"]), None)
+        if names is None:
+            raise RuntimeError("a task was run again on rows in another order, so its segment has no directory; run the query again")
+        found = [row for row in rows if not row["docs"]]
+        doc, place = (
+            np.concatenate([np.zeros(0, np.int64), *(_unpacked(row[name], row["n"]) for row in found)]) for name in ("doc", "place")
+        )
+        own, doc = np.unique(doc, return_inverse=True)
+        docs = np.frombuffer(names, DOC)[own]
         order = np.lexsort((place, doc))
-        offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(names)))])
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(docs)))])
         places = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(place[order].astype(np.int32)))
-        ids = pa.array(names["id"], pa.int64(), mask=names["none"].astype(bool))
-        return pa.table([ids, pa.array(names["mark"], pa.int64()), places], schema=schema)
+        ids = pa.array(docs["id"], pa.int64(), mask=docs["none"].astype(bool))
+        return pa.Table.from_arrays([ids, pa.array(docs["mark"], pa.int64()), places], schema=result)
 
-    parts = sent.groupBy("bucket").applyInArrow(run, "doc_id long, mark long, places array<int>")
-    return parts.groupBy("doc_id", "mark").agg(F.flatten(F.collect_list("places")).alias("places"))
+    answers = sent.groupBy("bucket").applyInArrow(decide, "segment binary, docs binary, n int, doc binary, place binary")
+    parts = answers.groupBy("segment").applyInArrow(resolve, "doc_id long, mark long, places array<int>")
+    return parts.groupBy("doc_id", "mark").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
 
 
 def _anchors_at_home(docs, doc, place, h1, h2):
     """Runs that a task has twice are repeated for sure; others know of them by one number."""
     _, first, own, counts = np.unique(h1, return_index=True, return_inverse=True, return_counts=True)
     many = counts[own] > 1
-    return (CONTESTED, np.flatnonzero(~many)), (SURE, np.flatnonzero(many)), (COUNTED, first[counts > 1])
+    return np.flatnonzero(~many), np.flatnonzero(many), first[counts > 1]
 
 
-def _anchors_twice(docs, doc, place, h1, h2, counted):
-    _, own, counts = np.unique(np.concatenate([h1, counted]), return_inverse=True, return_counts=True)
-    return np.flatnonzero(counts[own[: len(h1)]] > 1)
+def _anchors_twice(rows: list[dict], counted: np.ndarray) -> Iterator[tuple]:
+    """Occurrences of runs that come twice. Half a hash may say so of two runs that differ: their windows then do too."""
+    h1 = [np.frombuffer(row["h1"], "<u4") for row in rows]
+    numbers, counts = np.unique(np.concatenate([*h1, counted]), return_counts=True)
+    twice = numbers[counts > 1]
+    for row, own in zip(rows, h1):
+        hit = np.isin(own, twice)
+        yield row, _unpacked(row["doc"], row["n"])[hit], _unpacked(row["place"], row["n"])[hit]
 
 
-def _later(docs, doc, place, h1, h2) -> tuple[np.ndarray, np.ndarray]:
+def _later(rank, place, h1, h2) -> tuple[np.ndarray, np.ndarray]:
     """Rows that come first among equal windows, and rows that come later; equal rows of one document are neither."""
-    rank = np.unique(docs, return_inverse=True)[1][doc]
     order = np.lexsort((place, rank, h2, h1))
     a, b = h1[order], h2[order]
     new = np.ones(len(order), bool)
@@ -240,12 +283,27 @@ def _later(docs, doc, place, h1, h2) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _windows_at_home(docs, doc, place, h1, h2):
-    first, later = _later(docs, doc, place, h1, h2)
-    return (CONTESTED, first), (SURE, later)
-
-
-def _windows_later(docs, doc, place, h1, h2, counted):
-    return _later(docs, doc, place, h1, h2)[1]
+    first, later = _later(np.unique(docs, return_inverse=True)[1][doc], place, h1, h2 & np.uint64(0xFFFFFFFF))
+    return first, later, np.zeros(0, np.int64)
+
+
+def _windows_later(rows: list[dict], counted: np.ndarray) -> Iterator[tuple]:
+    names, known, doc, place, h1, h2 = [], [], [], [], [], []
+    for row in rows:
+        own = _unpacked(row["doc"], row["n"])
+        count = int(own.max()) + 1
+        size = len(row["docs"]) - count * DOC.itemsize
+        doc.append(own + sum(map(len, names)))
+        names.append(np.frombuffer(row["docs"][size:], DOC))
+        known.append(_unpacked(row["docs"][:size], count)[own])
+        place.append(_unpacked(row["place"], row["n"]))
+        h1.append(np.frombuffer(row["h1"], "<u8"))
+        h2.append(np.frombuffer(row["h2"], "<u4"))
+    rank = np.unique(np.concatenate(names), return_inverse=True)[1][np.concatenate(doc)]
+    hit = np.zeros(len(rank), bool)
+    hit[_later(rank, np.concatenate(place), np.concatenate(h1), np.concatenate(h2))[1]] = True
+    for row, own, at, chosen in zip(rows, known, place, np.split(hit, np.cumsum([len(x) for x in place])[:-1])):
+        yield row, own[chosen], at[chosen]
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -269,7 +327,7 @@ def repeated_windows(
     if period < 1 or window < period:
         raise ValueError("a window has as many words as the period at least")
     rows = _keyed(docs, id_col, text_col)
-    buckets = BUCKETS_A_PARTITION * max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     none = np.zeros(0, np.uint64)
 
     def cover(text: str | None):
@@ -287,10 +345,10 @@ def repeated_windows(
         other = (words ^ (words >> np.uint64(31))) * _MIX_2
         return starts.astype(np.uint32), run_numbers(words, window)[starts], run_numbers(other, window, _WORDS_2)[starts]
 
-    found = _decide(_ship(rows, buckets, buffer, _anchors_at_home, cover), _anchors_twice)
+    found = _decide(_ship(rows, buckets, buffer, _anchors_at_home, cover, False), _anchors_twice)
     own = found.select(F.col("doc_id").alias("f_id"), F.col("mark").alias("f_mark"), "places")
     hit = rows.join(own, F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("mark") == F.col("f_mark")))
-    return _decide(_ship(hit.select("doc_id", "mark", "text", "places"), buckets, buffer, _windows_at_home, extend), _windows_later)
+    return _decide(_ship(hit.select("doc_id", "mark", "text", "places"), buckets, buffer, _windows_at_home, extend, True), _windows_later)
 
 
 def remove_repeats(
