@@ -6,7 +6,13 @@ are exact and equal to decimal arithmetic to the last cent.
 
 from __future__ import annotations
 
-from .orders import LINES_PER_PAGE, PAGE_GAP, TODAY, page_rule
+from .orders import TODAY
+
+# Fixed values of the landed pages (FIXTURES.md): mean lines of a page, distance of page offsets, modulus and steps of
+# the number that deals lines to pages.
+LINES_PER_PAGE = 500
+PAGE_GAP = 4294967296
+_MODULUS, _FACTOR, _STEP = 2147483647, 1103515245, 12345
 
 EARLIER_TODAY = "2000-06-30"
 
@@ -89,13 +95,49 @@ clean AS (
   FROM first_lines)"""
 
 
+PAIRS = """
+pair_lines AS (
+  SELECT order_id, sku, CASE WHEN country = 'HU' THEN 'HUF' ELSE currency END AS currency, fx_reference_date FROM clean),
+pairs AS (
+  SELECT DISTINCT fx_reference_date AS rate_date, currency AS target_currency FROM pair_lines
+  WHERE fx_reference_date IS NOT NULL AND currency <> 'EUR'),
+pair_days AS (
+  SELECT *, CASE WHEN rate_date > DATE '2001-06-30' THEN NULL
+      WHEN target_currency = 'RON' AND isodow(rate_date) < 6
+        THEN CAST((49000 + (day(rate_date) * 31 + month(rate_date)) % 97 * 10) * 100 AS HUGEINT)
+      WHEN target_currency = 'HUF' AND isodow(rate_date) IN (1, 4)
+        THEN CAST((300 + day(rate_date) % 13) * 1000000 AS HUGEINT) END AS own
+  FROM pairs),
+pair_rates AS (
+  SELECT * FROM (
+    SELECT rate_date, 'EUR' AS base_currency, target_currency, own IS NULL AND rate_date > DATE '2001-06-30' AS is_estimated,
+      CAST(last_value(own IGNORE NULLS) OVER (PARTITION BY target_currency ORDER BY rate_date
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) / 1000000 AS rate
+    FROM pair_days)
+  WHERE rate IS NOT NULL)"""
+
+APPENDED = """
+web_lines AS (
+  SELECT * FROM typed WHERE reject_reason IS NULL AND channel = 'web'
+  QUALIFY row_number() OVER (PARTITION BY order_id, clean_sku ORDER BY src_ord) = 1),
+both_lines AS (
+  SELECT * FROM web_lines
+  UNION ALL SELECT * FROM first_lines WHERE (order_id, clean_sku) NOT IN (SELECT (order_id, clean_sku) FROM web_lines)),
+appended AS (
+  SELECT order_id, customer_id, customer_email, clean_ts AS order_ts, status, channel, clean_sku AS sku,
+    product_name, clean_category AS category, qty, CAST(unit_price AS DOUBLE) AS unit_price, currency, country,
+    fx_reference_date, had_null_customer, had_null_category, had_zero_price
+  FROM both_lines)"""
+
+
 def _paged(source: str) -> str:
     """CTE `paged`: the lines with the position they have in landed pages."""
+    number = f"(((src_ord[1] * 31 + src_ord[3] * 7 + src_ord[2] * 13) % {_MODULUS} * {_FACTOR} + {_STEP}) % {_MODULUS})"
     return f"""
 paged AS (
   SELECT * EXCLUDE (page_no) REPLACE (
     page_no * {PAGE_GAP} - 1 + row_number() OVER (PARTITION BY page_no ORDER BY src_ord) AS src_ord)
-  FROM (SELECT *, {page_rule("src_ord[1]", "src_ord[3]", "src_ord[2]")}
+  FROM (SELECT *, {number} * {number} % {_MODULUS}
     % (SELECT greatest(1, (count(*) + {LINES_PER_PAGE} - 1) // {LINES_PER_PAGE}) FROM lineitem) AS page_no
     FROM {source}))"""
 
@@ -283,6 +325,31 @@ def oracle_sql() -> dict[str, str]:
             "SELECT * EXCLUDE (src_ord) REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM clean",
         ),
         "published_rates": _with(LANDED, *_TO_RATES[1:], f"SELECT {_RATE_COLUMNS}, is_estimated FROM rates"),
+        "monthly_rates": _with(LANDED, *_TO_RATES[1:], f"SELECT {_RATE_COLUMNS}, is_estimated FROM rates"),
+        "monthly_revenue": _with(
+            LANDED,
+            *_TO_EUR[1:],
+            _revenue(None).replace("WHERE", "WHERE fx_reference_date BETWEEN DATE '1996-01-01' AND DATE '1996-03-31' AND"),
+        ),
+        "appended_orders": _with(LANDED, *_TO_CLEAN[1:], APPENDED, "SELECT * FROM appended"),
+        "rejected_orders": _with(
+            LANDED, TYPED, "SELECT src_ord, order_id, sku, status, qty, reject_reason FROM typed WHERE reject_reason IS NOT NULL"
+        ),
+        "failed_step": _with(
+            LANDED,
+            *_TO_CLEAN[1:],
+            """SELECT 'clean' AS step_name, CAST(0 AS BIGINT) AS rows_processed,
+  count(*) FILTER (channel IS DISTINCT FROM 'web') AS null_keys, count(*) AS stored_rows,
+  CAST(0 AS BIGINT) AS null_skus FROM clean""",
+        ),
+        "fx_pairs_filled": _with(*_TO_CLEAN, PAIRS, "SELECT * FROM pair_rates"),
+        "order_lines_by_pair": _with(
+            *_TO_CLEAN,
+            PAIRS,
+            """SELECT order_id, sku, currency, fx_reference_date, CASE WHEN currency = 'EUR' THEN 1.0::DOUBLE ELSE rate END AS rate
+FROM pair_lines LEFT JOIN pair_rates ON fx_reference_date = rate_date AND currency = target_currency
+WHERE currency = 'EUR' OR rate IS NOT NULL""",
+        ),
         "published_spend": _with(LANDED, *_TO_SPEND[1:], "SELECT * FROM customer_spend"),
         "published_revenue": _with(LANDED, *_TO_EUR[1:], _revenue(40_000)),
         "run_log": _run_log(),
@@ -430,19 +497,19 @@ FROM eur_lines WHERE eur_e13 > CAST(4000000 AS HUGEINT) * 10000000000000""",
             ),
         ),
         "null_violations": _with(
-            *_TO_SPEND,
+            LANDED,
+            *_TO_SPEND[1:],
             COUNTRY_REVENUE,
             f"\nrate_rows AS (SELECT {_RATE_COLUMNS} FROM rates)",
             " UNION ALL ".join(
-                [
-                    _nulls("raw_orders", ["order_id", "customer_id", "sku", "category", "fx_reference_date"]),
-                    _nulls("clean", ["order_id", "sku", "order_ts", "category"]),
-                    _nulls("rate_rows", ["rate_date", "base_currency", "target_currency", "rate"]).replace(
-                        "'rate_rows'", "'rates'"
-                    ),
-                    _nulls("customer_spend", ["customer_id", "country", "total_spent_eur"]),
-                    _nulls("country_revenue", ["country", "total_revenue_eur"]),
-                ]
+                _nulls(source, columns).replace(f"SELECT '{source}'", f"SELECT '{table}'")
+                for table, source, columns in (
+                    ("orders_raw", "raw_orders", ["order_id", "customer_id", "sku", "category", "fx_reference_date"]),
+                    ("orders_clean", "clean", ["order_id", "sku", "order_ts", "category"]),
+                    ("fx_rates", "rate_rows", ["rate_date", "base_currency", "target_currency", "rate"]),
+                    ("customer_spend_eur", "customer_spend", ["customer_id", "country", "total_spent_eur"]),
+                    ("country_category_revenue", "country_revenue", ["country", "total_revenue_eur"]),
+                )
             ),
         ),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
 from collections.abc import Callable
@@ -11,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import canonical_sku, line_amount, parse_order_ts
-from ..operators import insert_ignore, keep_first, upsert
+from ..operators import insert_ignore, keep_first, upsert, with_pair_rate
 from ..plans import cleaning, marts, quality, rates
-from ..plans.pipeline import run_pipeline
+from ..plans.pipeline import run_pipeline, run_step
 from ..schemas import FX_DOCUMENT, KEYS, SOURCE_ORDER
 from ..session import scratch, staged
 from ..sources import (
@@ -30,6 +31,7 @@ from ..sources import (
 from .orders import TODAY, fx_documents, order_pages, page_count, position_text, raw_orders, source_rates
 
 EARLIER_TODAY = dt.date(2000, 6, 30)
+QUARTER = (dt.date(1996, 1, 1), dt.date(1996, 3, 31))
 ANOMALY_LIMIT_EUR = 4_000_000
 CUTTING_THRESHOLD_EUR = 6_300_000_000
 
@@ -71,10 +73,10 @@ def q_order_pages(spark, sf_dir):
     return _as_double(decode_pages(order_pages(raw_orders(spark, sf_dir), page_count(spark, sf_dir))), "unit_price")
 
 
-def _land(spark, sf_dir, packed: bool = False) -> tuple[str, str]:
+def _land(spark, sf_dir, packed: bool = False, where: str = "true") -> tuple[str, str]:
     """Folders of landed order pages and rate documents, written by Spark as a source leaves them."""
     folder = scratch(spark, "landed")
-    raw = staged(raw_orders(spark, sf_dir), "raw")
+    raw = staged(raw_orders(spark, sf_dir).where(where), "raw")
     pages = order_pages(raw, page_count(spark, sf_dir))
     if packed:
         record = F.concat(F.lit('{"offset":'), "page_offset", F.lit(',"lines":'), "page", F.lit("}"))
@@ -98,26 +100,76 @@ def q_landed_documents(spark, sf_dir):
     return _as_double(read_fx_documents(spark, _land(spark, sf_dir)[1]), "rate")
 
 
-def _published(spark, sf_dir, again: bool = False) -> Warehouse:
-    """The tables of a run from landed files; `again` runs it twice, the first time up to an earlier day."""
+def _published(spark, sf_dir, again: bool = False, last: str | None = None, **options) -> Warehouse:
+    """The tables of a run from landed files up to `last`; `again` runs it twice, the first time up to an earlier day."""
     root = scratch(spark, "published")
     landed = _land(spark, sf_dir, packed=True)
     for today in (EARLIER_TODAY, TODAY) if again else (TODAY,):
-        run_pipeline(spark, root, *landed, today=today, packed=True)
+        run_pipeline(spark, root, *landed, today=today, packed=True, last=last, **options)
     return Warehouse(spark, root)
 
 
 def q_published_orders(spark, sf_dir):
-    orders = _published(spark, sf_dir).read("orders_clean")
+    orders = _published(spark, sf_dir, last="orders_clean").read("orders_clean")
     return _as_double(orders.where("cleaned_at IS NOT NULL").drop("cleaned_at"), "unit_price")
 
 
 def q_published_rates(spark, sf_dir):
-    return _as_double(_published(spark, sf_dir, again=True).read("fx_rates").drop("fetched_at"), "rate")
+    rows = _published(spark, sf_dir, again=True, last="fx_rates").read("fx_rates")
+    return _as_double(rows.drop("fetched_at"), "rate")
+
+
+def q_monthly_rates(spark, sf_dir):
+    """The second run replaces the months in which a rate is new or another, and links the others."""
+    rows = _published(spark, sf_dir, again=True, last="fx_rates", by_month=True).read("fx_rates")
+    return _as_double(rows.drop("fetched_at"), "rate")
+
+
+def q_monthly_revenue(spark, sf_dir):
+    """Revenue of the busiest quarter's months, read from their folders by way of the rates of its days."""
+    warehouse = _published(spark, sf_dir, last="fx_rates", by_month=True)
+    days = F.col("rate_date").between(*QUARTER)
+    mart = marts.country_revenue(
+        warehouse.read("orders_clean", with_month=True), warehouse.read("fx_rates").where(days), threshold=None
+    )
+    return _as_double(mart, "total_revenue_eur")
+
+
+def q_appended_orders(spark, sf_dir):
+    """Two landings: the lines of the web shop, then all lines. The second adds the keys that the first did not have."""
+    root = scratch(spark, "appended")
+    for where in ("channel = 'web'", "true"):
+        landed = _land(spark, sf_dir, packed=True, where=where)
+        run_pipeline(spark, root, *landed, today=TODAY, packed=True, by_month=True, append=True, last="orders_clean")
+    return _as_double(Warehouse(spark, root).read("orders_clean").drop("cleaned_at"), "unit_price")
+
+
+def q_rejected_orders(spark, sf_dir):
+    """Lines left out, as published by the log row of the clean table."""
+    folder = scratch(spark, "rejects")
+    return _published(spark, sf_dir, last="orders_clean", rejects_path=folder).rejects().select(
+        "src_ord", "order_id", "sku", "status", "qty", "reject_reason"
+    )
+
+
+def q_failed_step(spark, sf_dir):
+    """A step that cannot be stored leaves a failure row, and the table published before stays current."""
+    warehouse = Warehouse(spark, scratch(spark, "failed"))
+    run_step(warehouse, "orders_raw", lambda: read_packed_pages(spark, _land(spark, sf_dir, packed=True)[0]))
+    run_step(warehouse, "orders_clean", lambda: cleaning.clean_orders(warehouse.read("orders_raw")))
+    broken = cleaning.clean_orders(warehouse.read("orders_raw")).withColumn("sku", F.when(F.col("channel") == "web", F.col("sku")))
+    with contextlib.suppress(ValueError):
+        run_step(warehouse, "orders_clean", lambda: broken)
+    kept = warehouse.read("orders_clean").agg(F.count(F.lit(1)).alias("stored_rows"), F.count_if(F.col("sku").isNull()).alias("null_skus"))
+    found = F.regexp_extract("error_message", "^([0-9]+) values are NULL", 1)
+    failed = warehouse.runs().where("status = 'failure'").select(
+        "step_name", "rows_processed", found.cast("bigint").alias("null_keys"), F.lit(1).alias("one")
+    )
+    return failed.join(kept.withColumn("one", F.lit(1)), "one").drop("one")
 
 
 def q_published_spend(spark, sf_dir):
-    return _as_double(_published(spark, sf_dir).read("customer_spend_eur").drop("computed_at"), "total_spent_eur")
+    return _as_double(_published(spark, sf_dir, last="customer_spend_eur").read("customer_spend_eur").drop("computed_at"), "total_spent_eur")
 
 
 def q_published_revenue(spark, sf_dir):
@@ -342,31 +394,51 @@ CHECKED_KEYS = {
     "customer_spend": KEYS["customer_spend_eur"],
     "country_revenue": KEYS["country_category_revenue"],
 }
-CHECKED_NULLS = {
-    "raw_orders": ["order_id", "customer_id", "sku", "category", "fx_reference_date"],
-    "clean": ["order_id", "sku", "order_ts", "category"],
-    "rates": ["rate_date", "base_currency", "target_currency", "rate"],
-    "customer_spend": ["customer_id", "country", "total_spent_eur"],
-    "country_revenue": ["country", "total_revenue_eur"],
-}
 
 
 def q_key_violations(spark, sf_dir):
-    reports = [
-        quality.key_violations(df, CHECKED_KEYS[name]).agg(F.count(F.lit(1)).alias("repeated_keys")).select(
-            F.lit(name).alias("table_name"), "repeated_keys"
-        )
-        for name, df in _all_stored(spark, sf_dir).items()
-    ]
-    return reduce(DataFrame.unionByName, reports)
+    return quality.repeated_keys({name: (df, CHECKED_KEYS[name]) for name, df in _all_stored(spark, sf_dir).items()})
 
 
 def q_null_violations(spark, sf_dir):
-    reports = [
-        quality.null_counts(df, CHECKED_NULLS[name]).select(F.lit(name).alias("table_name"), "column_name", "null_count")
-        for name, df in _all_stored(spark, sf_dir).items()
-    ]
-    return reduce(DataFrame.unionByName, reports)
+    """NULLs as counted when the tables were written, from the run log."""
+    warehouse = Warehouse(spark, scratch(spark, "nulls"))
+    run_step(warehouse, "orders_raw", lambda: read_packed_pages(spark, _land(spark, sf_dir, packed=True)[0]))
+    run_step(warehouse, "orders_clean", lambda: cleaning.clean_orders(warehouse.read("orders_raw")))
+    clean = warehouse.read("orders_clean")
+    run_step(warehouse, "fx_rates", lambda: _rates_of(rates.required_dates(clean)))
+    fx = warehouse.read("fx_rates")
+    run_step(warehouse, "customer_spend_eur", lambda: marts.customer_spend(clean, fx))
+    run_step(warehouse, "country_category_revenue", lambda: marts.country_revenue(clean, fx, threshold=None))
+    return warehouse.null_counts()
+
+
+def _pair_lines(spark, sf_dir) -> DataFrame:
+    """Clean lines with a second foreign currency, that of the Hungarian shop."""
+    currency = F.when(F.col("country") == "HU", "HUF").otherwise(F.col("currency")).alias("currency")
+    names = ("order_id", "sku", "country", "currency", "fx_reference_date")
+    return staged(_clean(spark, sf_dir).select(*names).withColumn("currency", currency), "pair_lines")
+
+
+def _pair_rates(pairs: DataFrame) -> DataFrame:
+    """Source rates of the pairs: every business day for RON, Mondays and Thursdays for HUF."""
+    ron = source_rates(pairs.where("target_currency = 'RON'"))
+    huf = pairs.where("target_currency = 'HUF' AND weekday(rate_date) IN (0, 3)").where(F.col("rate_date") <= TODAY).selectExpr(
+        "rate_date", "base_currency", "target_currency", "CAST(300 + day(rate_date) % 13 AS DECIMAL(12, 6)) AS rate"
+    )
+    return ron.unionByName(huf)
+
+
+def q_fx_pairs_filled(spark, sf_dir):
+    pairs = staged(rates.required_pairs(_pair_lines(spark, sf_dir)), "pairs")
+    return _as_double(rates.daily_pair_rates(pairs, _pair_rates(pairs), TODAY), "rate")
+
+
+def q_order_lines_by_pair(spark, sf_dir):
+    lines = _pair_lines(spark, sf_dir)
+    pairs = staged(rates.required_pairs(lines), "pairs")
+    filled = staged(rates.daily_pair_rates(pairs, _pair_rates(pairs), TODAY), "pair_rates")
+    return _as_double(with_pair_rate(lines, filled).drop("country"), "rate")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

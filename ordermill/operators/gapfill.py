@@ -45,3 +45,24 @@ def fill_gaps(
             (F.col("own_rate").isNull() & (F.col("rate_date") > F.lit(today))).alias("is_estimated"),
         )
     )
+
+
+def fill_pair_gaps(required: DataFrame, rates: DataFrame, today: dt.date, seed: str = "required") -> DataFrame:
+    """Carry the last known rate of each currency pair forward over the dates that are required of it.
+
+    `required` and `rates` have `rate_date, base_currency, target_currency`, `rates` also `rate`. All pairs are filled in one
+    pass, each as `fill_gaps` fills its own: the window is divided by pair, and a task holds one row per day of a pair.
+    """
+    if seed not in ("required", "asof"):
+        raise ValueError(f"seed must be 'required' or 'asof', not {seed!r}")
+    keys = ["rate_date", "base_currency", "target_currency"]
+    known = rates.select(*keys, F.col("rate").alias("own_rate"))
+    wanted = required.select(*keys).distinct().withColumn("is_required", F.lit(True))
+    days = wanted.join(known, keys, "left" if seed == "required" else "full")
+    pair = Window.partitionBy("base_currency", "target_currency").orderBy("rate_date")
+    so_far = pair.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        days.withColumn("rate", F.last("own_rate", ignorenulls=True).over(so_far))
+        .where(F.col("is_required") & F.col("rate").isNotNull())
+        .select(*keys, "rate", (F.col("own_rate").isNull() & (F.col("rate_date") > F.lit(today))).alias("is_estimated"))
+    )

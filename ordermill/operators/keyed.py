@@ -24,6 +24,16 @@ def insert_ignore(existing: DataFrame, new: DataFrame, keys: list[str], *order:
     return keep_first(new, keys, *order).join(existing.select(*keys), keys, "left_anti")
 
 
+def unknown_keys(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of `new` whose key `existing` does not have; `new` holds each key once.
+
+    Few rows of a large `existing` share a key with `new`, so they are found first, by a semi join on the keys alone. Spark can
+    filter the scan of `existing` for it by a Bloom filter of the new keys, which an anti join does not allow.
+    """
+    known = existing.select(*keys).join(new.select(*keys), keys, "left_semi")
+    return new.join(known, keys, "left_anti")
+
+
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """`existing` with the rows of `new` added or put in place of those with the same key.
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import line_amount, ts_format
 from ..operators import with_rate
+from ..session import staged
 from .marts import eur_of_line
 
 PROFILE_COLUMNS = ("status", "channel", "category", "currency", "country")
@@ -20,6 +22,45 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 1")
 
 
+def repeated_keys(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """How many keys of each table (a frame and its key columns) more than one row holds: table_name, repeated_keys.
+
+    The keys of all tables meet in one shuffle as pairs of 64-bit hashes, with NULL keys equal. Rows that
+    agree in both count as one key; where rows agree in the first only, the keys behind it are compared themselves.
+    """
+    hashed = [
+        df.select(F.lit(name).alias("table_name"), _hash(keys).alias("h1"), _hash(keys, "again").alias("h2"))
+        for name, (df, keys) in tables.items()
+    ]
+    groups = reduce(DataFrame.unionByName, hashed).groupBy("table_name", "h1")
+    counts = groups.agg(F.count(F.lit(1)).alias("n"), F.min("h2").alias("low"), F.max("h2").alias("high")).where("n > 1")
+    collide = F.col("low") != F.col("high")
+    found = staged(
+        counts.groupBy("table_name").agg(
+            F.count_if(~collide).alias("repeated_keys"), F.collect_list(F.when(collide, F.col("h1"))).alias("colliding")
+        ),
+        "repeated_keys",
+    )
+    seen = {row.table_name: row for row in found.collect()}
+    rows = []
+    for name, (df, keys) in tables.items():
+        row = seen.get(name)
+        again = 0
+        if row and row.colliding:  # two of 2**64 values agree by chance: very few, whatever the table holds
+            again = key_violations(df.where(_hash(keys).isin(row.colliding)), keys).count()
+        rows.append((name, (row.repeated_keys if row else 0) + again))
+    return found.sparkSession.createDataFrame(rows, "table_name string, repeated_keys bigint")
+
+
+def _hash(keys: Sequence[str], *salt: str) -> Column:
+    return F.xxhash64(*[F.lit(text) for text in salt], *keys, *_nulls(keys))
+
+
+def _nulls(keys: Sequence[str]) -> list[Column]:
+    """Which keys are NULL: a NULL leaves a hash as it is, so that (a, NULL) and (NULL, a) would agree."""
+    return [F.col(name).isNull() for name in keys]
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULLs per column, all counted in one pass."""
     counts = df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in columns])

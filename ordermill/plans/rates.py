@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import fill_gaps
+from ..operators import fill_gaps, fill_pair_gaps
 from ..sources.fx_documents import in_request_range
 
 
@@ -41,6 +41,19 @@ def daily_rates(
     return fill_gaps(dates, in_request_range(rates, None, today), today, base, target, seed)
 
 
+def required_pairs(clean: DataFrame, base: str = "EUR") -> DataFrame:
+    """Distinct reference dates of each currency that is not `base`, as pairs from `base`; each task sends one once."""
+    other = clean.where(F.col("fx_reference_date").isNotNull() & (F.col("currency") != base))
+    return other.select(
+        F.col("fx_reference_date").alias("rate_date"), F.lit(base).alias("base_currency"), F.col("currency").alias("target_currency")
+    ).distinct()
+
+
+def daily_pair_rates(pairs: DataFrame, rates: DataFrame, today: dt.date, seed: str = "required") -> DataFrame:
+    """Rates for all required dates of all pairs, from the source rates up to `today`."""
+    return fill_pair_gaps(pairs, in_request_range(rates, None, today), today, seed)
+
+
 def require_dates(clean: DataFrame) -> None:
     """Error unless some clean order has a reference date."""
     if clean.where(F.col("fx_reference_date").isNotNull()).select("fx_reference_date").isEmpty():

@@ -91,8 +91,9 @@ COUNTRY_CATEGORY_REVENUE = _struct(
     ("computed_at", T.TimestampType()),
 )
 
-# published_path is where a successful step left its table; it is how readers find the current one.
-# details is a JSON object of the step's counters.
+# published_path is where a successful step left its table; it is how readers find the current one. For a table in month
+# folders published_months is a JSON object of the folder that holds each month. details is one of the step's counters, and
+# null_counts one of the NULLs by column. rejects_path is where the lines left out were written along with the table.
 PIPELINE_RUNS = _struct(
     ("run_id", T.StringType()),
     ("run_at", T.TimestampType()),
@@ -103,6 +104,9 @@ PIPELINE_RUNS = _struct(
     ("duration_seconds", T.DecimalType(10, 2)),
     ("published_path", T.StringType()),
     ("details", T.StringType()),
+    ("published_months", T.StringType()),
+    ("null_counts", T.StringType()),
+    ("rejects_path", T.StringType()),
 )
 
 TABLES = {
@@ -133,6 +137,21 @@ STEP_OF_TABLE = {
 # Columns that must not be NULL: the keys, and what the tables declare beyond them.
 REQUIRED = {**KEYS, "fx_rates": KEYS["fx_rates"] + ["rate"], "pipeline_runs": ["run_id", "step_name", "status"]}
 
+# Tables that may be stored in month folders, and the date that decides a row's month.
+MONTH_OF = {"orders_clean": "fx_reference_date", "fx_rates": "rate_date"}
+
+# Name of the month column, `yyyy-MM`, or NO_MONTH where the date is NULL.
+MONTH = "stored_month"
+NO_MONTH = "none"
+
+# Columns whose NULLs are counted as a table is written, beside those that must not have any.
+COUNTED_NULLS = {
+    "orders_raw": ["order_id", "customer_id", "sku", "category", "fx_reference_date"],
+    "orders_clean": ["order_ts", "category"],
+    "customer_spend_eur": ["country", "total_spent_eur"],
+    "country_category_revenue": ["total_revenue_eur"],
+}
+
 # Column defaults as SQL text, by table (fixed values of the table definitions).
 DEFAULTS = {
     "orders_raw": {"ingested_at": "current_timestamp()"},

@@ -5,7 +5,8 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # UTC makes order dates independent of where the driver runs; ANSI turns overflow into an error.
@@ -48,9 +49,18 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors see: `spark.checkpoint.dir`, or where that is unset one in the warehouse."""
+    """Folder all executors see: `spark.checkpoint.dir`, or where that is unset one in the warehouse.
+
+    Where neither is set, the warehouse is a folder of this machine. That will do for a local session only; on a cluster it is an error.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured.rstrip("/") if configured else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    if configured:
+        return configured.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    on_one_machine = spark.sparkContext.master.split("[")[0] == "local"
+    if not on_one_machine and warehouse.startswith(("file:", "/")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    return f"{warehouse}/_shared"
 
 
 def input_bytes(spark: SparkSession, *paths: str) -> int:
@@ -67,6 +77,19 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def observed(observation: Observation, df: DataFrame | None = None) -> dict:
+    """What was observed, or nothing where Spark found the plan to be empty and left the observation out with it.
+
+    With `df`, the frame that was written, that is made sure of.
+    """
+    try:
+        return dict(observation.get)
+    except Py4JJavaError:
+        if df is not None and not df.isEmpty():
+            raise
+        return {}
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as Parquet in the shared folder and read it back.
 

@@ -16,7 +16,16 @@ def read_fx_documents(spark: SparkSession, path: str, base: str = "EUR", target:
     Documents may overlap, as daily requests for a sliding range do; the one that reaches the
     latest end date wins, then the last by name.
     """
-    documents = (
+    return decode_fx_documents(_documents(spark, path), base, target)
+
+
+def read_fx_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """Rates of every currency pair in the documents under `path`; overlaps as in `read_fx_documents`."""
+    return decode_fx_pairs(_documents(spark, path))
+
+
+def _documents(spark: SparkSession, path: str) -> DataFrame:
+    return (
         spark.read.schema(FX_DOCUMENT)
         .option("multiLine", True)
         .option("mode", "FAILFAST")
@@ -24,7 +33,24 @@ def read_fx_documents(spark: SparkSession, path: str, base: str = "EUR", target:
         .json(path)
         .withColumn("document", F.col("_metadata.file_path"))
     )
-    return decode_fx_documents(documents, base, target)
+
+
+def decode_fx_pairs(documents: DataFrame, base: str = "EUR") -> DataFrame:
+    """Documents (with a `document` name) of any base, `base` where none is stated, to the rates of all their pairs.
+
+    Of the documents that quote a pair on a date the one with the latest end date wins, then the last by name.
+    """
+    days = documents.select(
+        F.coalesce("base", F.lit(base)).alias("base_currency"),
+        F.struct("end_date", "document").alias("age"),
+        F.explode("rates").alias("day", "quotes"),
+    )
+    quotes = days.select("base_currency", "age", F.to_date("day").alias("rate_date"), F.explode("quotes").alias("target_currency", "rate"))
+    return (
+        quotes.where(F.col("rate").isNotNull())
+        .groupBy("rate_date", "base_currency", "target_currency")
+        .agg(F.max_by("rate", "age").alias("rate"))
+    )
 
 
 def decode_fx_documents(documents: DataFrame, base: str = "EUR", target: str = "RON") -> DataFrame:

@@ -91,7 +91,7 @@ def test_five_steps(spark, landed):
     for table in counts:
         stamp = warehouse.read(table).columns[-1]
         assert warehouse.read(table).where(f"{stamp} IS NULL").count() == 0
-    rejected = spark.read.parquet(str(landed / "rejects")).collect()
+    rejected = warehouse.rejects().collect()
     assert sorted((row.order_id, row.reject_reason) for row in rejected) == [("n", "negative_qty"), ("t", "test")]
 
 
@@ -248,12 +248,14 @@ def test_command_line_sizes_shuffles(spark, landed, capsys):
     assert "country_category_revenue: 2 rows" in capsys.readouterr().out
 
 
-def test_packed_landing_gives_the_same(spark, landed):
+def test_packed_landing_gives_the_same(spark, landed, capsys):
     pages = [(int(file.stem.split("=")[1]), file.read_text()) for file in (landed / "orders").iterdir()]
     (landed / "packed").mkdir()
     (landed / "packed/part-0").write_text("\n".join(f'{{"offset":{offset},"lines":{" ".join(page.split())}}}' for offset, page in pages))
     single = sorted(map(tuple, read_order_pages(spark, str(landed / "orders")).collect()), key=str)
     packed = read_packed_pages(spark, str(landed / "packed"))
+    main(["--packed", f"--orders={landed}/packed", f"--fx={landed}/fx", f"--root={landed}/root", "--today=2026-08-26", "--shuffle-partitions=4"])
+    assert "orders_clean: 3 rows (raw 6, test 1, negative_qty 1, duplicates 1" in capsys.readouterr().out
     assert single == sorted(map(tuple, packed.collect()), key=str)
     assert "wholetext" not in plan_of(packed).lower()
     (landed / "packed/part-1").write_text('{"lines":[]}')
@@ -261,6 +263,21 @@ def test_packed_landing_gives_the_same(spark, landed):
         read_packed_pages(spark, str(landed / "packed")).collect()
 
 
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        def __init__(self, master, **settings):
+            self.sparkContext = type("Context", (), {"master": master})
+            self.conf = type("Conf", (), {"get": staticmethod(lambda key, *default: settings.get(key, *default))})
+
+    own, key = {"spark.sql.warehouse.dir": "file:/home/x/spark-warehouse"}, "spark.checkpoint.dir"
+    assert shared_dir(Session("local[4]", **own)) == "file:/home/x/spark-warehouse/_shared"
+    assert shared_dir(Session("yarn", **own, **{key: "s3a://b/shared/"})) == "s3a://b/shared"
+    assert shared_dir(Session("yarn", **{"spark.sql.warehouse.dir": "s3a://b/wh"})) == "s3a://b/wh/_shared"
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(Session(master, **own))
+
+
 def test_shared_folder_and_sizes(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     stored = staged(spark.range(5), "numbers")
