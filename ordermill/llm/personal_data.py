@@ -32,44 +32,52 @@ _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01
 # Characters that look like a Latin letter or a sign, by what they look like.
 LOOK_ALIKES = {
     "a": "аαɑ",
-    "b": "Ьƅ",
-    "c": "сϲ",
-    "d": "ԁ",
-    "e": "еҽ",
+    "b": "Ьƅвβ",
+    "c": "сϲⅽ",
+    "d": "ԁⅾ",
+    "e": "еҽε",
     "g": "ɡ",
-    "h": "һ",
+    "h": "һн",
     "i": "іιı",
     "j": "јϳ",
-    "k": "κ",
+    "k": "κкҝ",
     "l": "ӏⅼ",
-    "m": "ⅿ",
+    "m": "ⅿм",
     "n": "ո",
     "o": "оοօ",
     "p": "рρ",
     "q": "ԛ",
     "r": "г",
     "s": "ѕ",
+    "t": "тτ",
     "u": "υս",
-    "v": "ѵν",
+    "v": "ѵνⅴ",
     "w": "ԝ",
-    "x": "хχ",
+    "x": "хχⅹ",
     "y": "уγ",
     "z": "ᴢ",
     "A": "АΑ",
-    "B": "ВΒ",
-    "C": "СϹ",
+    "B": "ВΒᏴ",
+    "C": "СϹⅭ",
+    "D": "Ⅾ",
     "E": "ЕΕ",
+    "G": "Ԍ",
     "H": "НΗ",
-    "I": "ІΙ",
+    "I": "ІΙⅠ",
     "J": "Ј",
     "K": "КΚ",
-    "M": "МΜ",
+    "L": "Ⅼ",
+    "M": "МΜⅯ",
     "N": "Ν",
     "O": "ОΟ",
     "P": "РΡ",
-    "S": "Ѕ",
+    "Q": "Ԛ",
+    "S": "ЅՏ",
     "T": "ТΤ",
-    "X": "ХΧ",
+    "U": "Ս",
+    "V": "Ѵ",
+    "W": "Ԝ",
+    "X": "ХΧⅩ",
     "Y": "УΥ",
     "Z": "Ζ",
     "-": "‐‑‒–−",
@@ -104,6 +112,8 @@ COUNTRIES = (
     "re|ro|rs|ru|rw|sa|sb|sc|sd|se|sg|sh|si|sk|sl|sm|sn|sr|ss|st|su|sv|sx|sy|sz|tc|td|tf|tg|th|tj|tk|tl|tm|tn|tr|tt|tv|tw|tz|ua|ug|"
     "uk|us|uy|uz|va|vc|ve|vg|vi|vn|vu|wf|ws|ye|yt|za|zm|zw"
 )
+# Fixed value: a domain name has at most this many labels, by the rules of the name system.
+LABELS = 127
 INVISIBLE = "­​‌‍⁠﻿"
 
 
@@ -215,40 +225,41 @@ def _folding() -> tuple[re.Pattern, dict[str, str]]:
 
 @lru_cache(maxsize=1)
 def _disguises() -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern, re.Pattern, re.Pattern, re.Pattern, dict[str, str]]:
-    gap = r"[ \t]{0,3}"
-    bracketed = lambda words: rf"{gap}(?:\[{gap}(?:{words}){gap}\]|\({gap}(?:{words}){gap}\)|\{{{gap}(?:{words}){gap}\}}|<{gap}(?:{words}){gap}>){gap}"
-    spoken = lambda words: rf"[ \t]{{1,3}}(?:{words})[ \t]{{1,3}}"
-    label = r"[A-Za-z0-9-]{1,63}"
+    gap, lead = r"[ \t]*+", r"(?<![ \t])[ \t]*+"
+    bracketed = lambda words: rf"{lead}(?:\[{gap}(?:{words}){gap}\]|\({gap}(?:{words}){gap}\)|\{{{gap}(?:{words}){gap}\}}|<{gap}(?:{words}){gap}>){gap}"
+    spoken = lambda words: rf"(?<![ \t])[ \t]++(?:{words})[ \t]++"
+    label = r"[A-Za-z0-9-]++"
+    rest = f"{{0,{LABELS - 1}}}"
     bracketed_dot = rf"(?:{bracketed(DOT_WORDS)}|{bracketed(re.escape('.'))})"
     dots = rf"(?:{bracketed_dot}|{spoken(DOT_WORDS)})"
     ats = rf"(?:{bracketed(AT_WORDS)}|{bracketed('@')})"
-    apart = r"(?:[ \t]{1,3}@[ \t]{0,3}|@[ \t]{1,3})"
+    apart = r"(?:(?<![ \t])[ \t]++@[ \t]*+|@[ \t]++)"
     apart_dot = r"[ \t]\.[ \t]"
     any_dot = rf"(?:\.|{dots})"
     wide_dot = rf"(?:\.|{apart_dot})"
-    name = r"[A-Za-z0-9_%+-]{1,64}"
+    name = r"[A-Za-z0-9_%+-]++"
     # no word of prose: a dot or a sign in it, or a digit
-    formed = rf"(?=[_%+-]{{0,64}}[A-Za-z0-9])(?=[A-Za-z]{{0,64}}(?:[0-9_%+-]|{any_dot}))"
+    formed = rf"(?=[_%+-]*+[A-Za-z0-9])(?=[A-Za-z]*+(?:[0-9_%+-]|{any_dot}))"
     listed = rf"(?:{TOP_LEVELS}|{COUNTRIES})(?![A-Za-z0-9-])"
-    any_ending = r"[A-Za-z]{2,63}(?![A-Za-z0-9-])"
+    any_ending = r"[A-Za-z]{2,}+(?![A-Za-z0-9-])"
     after_formed = "|".join(
         (
-            rf"{spoken(AT_WORDS)}{label}(?:{any_dot}{label}){{0,8}}{any_dot}{any_ending}",
-            rf"{apart}{label}(?:{wide_dot}{label}){{0,8}}{wide_dot}{any_ending}",
+            rf"{spoken(AT_WORDS)}{label}(?:{any_dot}{label}){rest}{any_dot}{any_ending}",
+            rf"{apart}{label}(?:{wide_dot}{label}){rest}{wide_dot}{any_ending}",
         )
     )
     after_name = "|".join(
         (
-            rf"(?:{ats}|@){label}(?:{any_dot}{label}){{1,8}}",
+            rf"(?:{ats}|@){label}(?:{any_dot}{label}){{1,{LABELS}}}",
             # `at` as a mere word counts where a dot is disguised as well
-            rf"{spoken(AT_WORDS)}{label}(?:{any_dot}{label}){{0,8}}{bracketed_dot}(?:{label}{any_dot}){{0,8}}{any_ending}",
-            rf"{spoken(AT_WORDS)}{label}(?:{any_dot}{label}){{0,8}}{dots}(?:{label}{any_dot}){{0,8}}{listed}",
+            rf"{spoken(AT_WORDS)}{label}(?:{any_dot}{label}){rest}{bracketed_dot}(?:{label}{any_dot}){rest}{any_ending}",
+            rf"{spoken(AT_WORDS)}{label}(?:{any_dot}{label}){rest}{dots}(?:{label}{any_dot}){rest}{listed}",
             # a name of a reader may stand behind a space and `@`, with a dot in it
-            rf"(?:[ \t]{{0,3}}@[ \t]{{1,3}})(?:{label}\.){{1,8}}{any_ending}",
-            rf"{apart}{label}(?:{wide_dot}{label}){{0,8}}{wide_dot}{listed}",
+            rf"(?:(?:(?<![ \t])[ \t]*+)?@[ \t]++)(?:{label}\.){{1,{LABELS}}}{any_ending}",
+            rf"{apart}{label}(?:{wide_dot}{label}){rest}{wide_dot}{listed}",
         )
     )
-    names = rf"{name}(?:{any_dot}{name}){{0,8}}"
+    names = rf"{name}(?:{any_dot}{name}){rest}"
     mail = rf"(?:{formed}{names}(?:{after_formed})|{names}(?:{after_name}))"
     address = rf"[0-9]{{1,3}}(?:{any_dot}[0-9]{{1,3}}){{3}}"
     words = {word: digit for digit, names in DIGIT_WORDS.items() for word in names.split()}
@@ -271,7 +282,7 @@ def _disguises() -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern, re.Pat
 
 _BRACKETED = re.compile(rf"[\[({{<][ \t]*(?:{AT_WORDS}|{DOT_WORDS}|@|\.)[ \t]*[\])}}>]", re.IGNORECASE)
 _SPOKEN = re.compile(rf"[ \t](?:{DOT_WORDS})[ \t]")
-_SPOKEN_AT = re.compile(rf"[ \t](?:{AT_WORDS})[ \t]{{1,3}}[a-z0-9-]{{1,63}}\.")
+_SPOKEN_AT = re.compile(rf"[ \t](?:{AT_WORDS})[ \t]++[a-z0-9-]++\.")
 
 
 def hints_of_signs(text: str, low: str) -> bool:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -218,3 +219,40 @@ def test_odd_rows(spark):
         (2, "<EMAIL> and <EMAIL>", 19, "z"),
     ]
     assert find_in_documents(docs.limit(0)).count() == redact_documents(docs.limit(0)).count() == 0
+
+
+LABEL = st.text(alphabet="abcxyz09", min_size=1, max_size=70).map(lambda text: f"q{text}")
+BLANKS = st.text(alphabet=" \t", min_size=1, max_size=9)
+
+
+@settings(deadline=None, max_examples=150)
+@given(st.lists(LABEL, min_size=1, max_size=20), st.lists(LABEL, min_size=1, max_size=20), BLANKS, BLANKS, BLANKS)
+def test_no_added_address_ends_before_a_further_label(name, domain, a, b, c):
+    """Names and domains of any length and number of parts, with any blanks around the signs, are one span."""
+    dot = f"{c}dot{a}"
+    text = f"write {'.'.join(name)}.q{a}at{b}{dot.join([*domain, 'example', 'com'])}, please"
+    assert [(kind, text[start:end]) for kind, start, end in find(text)[1]] == [("email", text[6 : text.index(",")])]
+
+
+def test_long_names_and_domains():
+    for text in (
+        "jane at a dot b dot c dot d dot e dot f dot g dot h dot i dot j dot example dot com",
+        "jane.doe at a.b.c.d.e.f.g.h.i.j.kk.example.com",
+        "n" * 70 + "1 at example.com",
+        "jane.doe    at    example    dot    com",
+    ):
+        assert [(kind, text[start:end]) for kind, start, end in find(text)[1]] == [("email", text)]
+
+
+def test_look_alikes_of_either_case():
+    for name in ("кarl", "маrk", "тom", "КARL", "ΤOM", "βob", "ⅿary"):
+        text = f"to {name}@example.com now"
+        assert redact(text, find(text)[1]) == "to <EMAIL> now"
+
+
+def test_long_chains_take_no_long_time():
+    started = time.monotonic()
+    for piece in ("a.", "a dot ", "a [dot] ", "a at ", " " * 50, "@ ", "[ "):
+        find(piece * 20_000)
+        find(f"{piece * 5_000}x at example dot com")
+    assert time.monotonic() - started < 60
