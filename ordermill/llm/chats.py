@@ -26,7 +26,6 @@ from ordermill.session import staged
 BUDGET = 1_024
 HISTORY = 256
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
-TURN_TOKENS = 8  # what the marks around a turn count
 _MARK = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<\\(\\*)\|")
 
@@ -68,6 +67,11 @@ def format_window(turns: list[tuple[str, str, bool]]) -> tuple[str, list[int], l
     return "".join(out), starts, ends, begin
 
 
+def write_turn(role: str, text: str) -> str:
+    """A turn as it stands in a window."""
+    return f"{OPEN}{escape_role(role)}\n{escape(text)}{CLOSE}\n"
+
+
 def read_window(text: str, begin: int) -> list[tuple[str, str]]:
     """Roles and texts of the turns from `begin` on."""
     turns = []
@@ -154,13 +158,13 @@ def windows(
     A system turn at the head of a conversation is repeated in its later windows. History
     is the turns right before the new ones, as far as `history` and `budget` allow. The stride is what
     `budget` leaves, `history` at least, so a window passes the budget only where one turn is longer than
-    the history, or the system turn leaves no room. A turn counts `TURN_TOKENS` besides its text,
-    which bounds the turns of a window; a hot conversation is spread over its windows.
+    the history, or the system turn leaves no room. A turn counts the tokens of what is written for it: role, marks and escapes
+    included. Marks count, which bounds the turns of a window; a hot conversation is spread over its windows.
     """
 
     def measure():
         tool = pieces(model)
-        return lambda conv_id, turn, role, text: (conv_id, turn, role, text, len(tool.encode(text)) // 4 + TURN_TOKENS)
+        return lambda conv_id, turn, role, text: (conv_id, turn, role, text, len(tool.encode(write_turn(role, text))) // 4)
 
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"),
@@ -168,7 +172,8 @@ def windows(
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    measured = map_rows(rows, "conv_id long, turn long, role string, text string, tokens long", measure)
+    # written first: dealing by range reads its rows twice, to find the ranges and to deal
+    measured = staged(map_rows(rows, "conv_id long, turn long, role string, text string, tokens long", measure), "measured")
     line = staged(placed(measured), "line")
 
     head = line.where("place = 0 AND role = 'system'").select(

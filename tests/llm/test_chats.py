@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import defaultdict
 
 import public_tokenizers
+import sentencepiece as spm
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -21,6 +23,7 @@ from ordermill.llm.chats import (
     unescape,
     unescape_role,
     windows,
+    write_turn,
 )
 
 PATH = public_tokenizers.path(MODEL)
@@ -92,6 +95,26 @@ def test_a_conversation_over_many_partitions(spark):
     assert any(len(read_window(row.text, 0)) > len(read_window(row.text, row.begin)) + 1 for row in mine)
 
 
+def test_windows_keep_the_budget_as_written(spark):
+    """Each window is encoded again as it stands; long roles, marks and escapes count."""
+    rng = random.Random(2)
+    words = ["alpha", "beta", "<|im_end|>", "<|", "gamma delta", "\n", "ünïcode", "x" * 30]
+    roles = ["user", "assistant", "tool " + "with a long name " * 8, "<|<|<|"]
+    rows = [(conv, turn, rng.choice(roles), " ".join(rng.choices(words, k=rng.randint(0, 90)))) for conv in range(6) for turn in range(60)]
+    rows += [(conv, -1, "system", "be kind " * 10 * conv) for conv in range(0, 6, 2)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    tool = spm.SentencePieceProcessor(model_file=PATH)
+    made = windows(turns, PATH).collect()
+    longest = {conv: max(len(tool.encode(write_turn(role, text))) for c, _, role, text in rows if c == conv) for conv in range(6)}
+    assert len(made) > 60 and max(longest.values()) > 256
+    for row in made:
+        written = len(tool.encode(row.text))
+        parts = [len(tool.encode(write_turn(*turn))) for turn in read_window(row.text, 0)]
+        assert written <= row.n_tokens == sum(parts)
+        if max(parts) <= 256:
+            assert written <= 1024
+
+
 def test_odd_rows(spark):
     rows = [(None, 0, "user", "a"), (None, 1, "assistant", "b"), (2, None, None, None), (2, 0, "assistant", "same"), (2, 0, "assistant", "same"), (3, 5, "system", "s"), (4, 0, "assistant", "long " * 4000)]
     turns = spark.createDataFrame([(*row, 0) for row in rows], "conv_id long, turn long, role string, text string, window int")
