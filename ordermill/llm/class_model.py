@@ -312,4 +312,5 @@ def op10_class_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fold = fold_of(F.col("doc_id"))
     scored = score_documents(docs, docs.where(fold != 1))
-    return scored.withColumn("held_out", fold.eqNullSafe(1))
+    columns = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]
+    return scored.withColumn("held_out", fold.eqNullSafe(1)).select(columns)
