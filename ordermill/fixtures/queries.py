@@ -162,10 +162,9 @@ def q_failed_step(spark, sf_dir):
         run_step(warehouse, "orders_clean", lambda: broken)
     kept = warehouse.read("orders_clean").agg(F.count(F.lit(1)).alias("stored_rows"), F.count_if(F.col("sku").isNull()).alias("null_skus"))
     found = F.regexp_extract("error_message", "^([0-9]+) values are NULL", 1)
-    failed = warehouse.runs().where("status = 'failure'").select(
-        "step_name", "rows_processed", found.cast("bigint").alias("null_keys"), F.lit(1).alias("one")
-    )
-    return failed.join(kept.withColumn("one", F.lit(1)), "one").drop("one")
+    failed = warehouse.runs().where("status = 'failure'").select("step_name", "rows_processed", found.cast("bigint").alias("null_keys"))
+    names = ["step_name", "rows_processed", "null_keys", "stored_rows", "null_skus"]
+    return failed.unionByName(kept, allowMissingColumns=True).agg(*[F.max(name).alias(name) for name in names])
 
 
 def q_published_spend(spark, sf_dir):

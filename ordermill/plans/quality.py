@@ -41,15 +41,15 @@ def repeated_keys(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> Data
         ),
         "repeated_keys",
     )
-    seen = {row.table_name: row for row in found.collect()}
+    seen = {row.table_name: row for row in found.collect()}  # one row per table
     rows = []
     for name, (df, keys) in tables.items():
-        row = seen.get(name)
-        again = 0
+        row, again = seen.get(name), 0
         if row and row.colliding:  # two of 2**64 values agree by chance: very few, whatever the table holds
             again = key_violations(df.where(_hash(keys).isin(row.colliding)), keys).count()
-        rows.append((name, (row.repeated_keys if row else 0) + again))
-    return found.sparkSession.createDataFrame(rows, "table_name string, repeated_keys bigint")
+        count = F.lit((row.repeated_keys if row else 0) + again).cast("bigint")
+        rows.append(F.struct(F.lit(name).alias("table_name"), count.alias("repeated_keys")))
+    return found.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
 
 
 def _hash(keys: Sequence[str], *salt: str) -> Column:
