@@ -497,8 +497,7 @@ FROM eur_lines WHERE eur_e13 > CAST(4000000 AS HUGEINT) * 10000000000000""",
             ),
         ),
         "null_violations": _with(
-            LANDED,
-            *_TO_SPEND[1:],
+            *_TO_SPEND,
             COUNTRY_REVENUE,
             f"\nrate_rows AS (SELECT {_RATE_COLUMNS} FROM rates)",
             " UNION ALL ".join(

@@ -402,8 +402,9 @@ def q_key_violations(spark, sf_dir):
 def q_null_violations(spark, sf_dir):
     """NULLs as counted when the tables were written, from the run log."""
     warehouse = Warehouse(spark, scratch(spark, "nulls"))
-    run_step(warehouse, "orders_raw", lambda: read_packed_pages(spark, _land(spark, sf_dir, packed=True)[0]))
-    run_step(warehouse, "orders_clean", lambda: cleaning.clean_orders(warehouse.read("orders_raw")))
+    raw = staged(raw_orders(spark, sf_dir).select(*RAW_CHECKED), "raw")
+    run_step(warehouse, "orders_raw", lambda: raw.withColumn("src_ord", F.xxhash64("src_ord")))
+    run_step(warehouse, "orders_clean", lambda: cleaning.clean_orders(raw))
     clean = warehouse.read("orders_clean")
     run_step(warehouse, "fx_rates", lambda: _rates_of(rates.required_dates(clean)))
     fx = warehouse.read("fx_rates")
