@@ -1,15 +1,19 @@
 """Scores of a class-based bigram language model, with classes from exchange clustering.
 
-Frequent words are units of their own; all other words share a unit by their last three bytes.
-Exchange clustering assigns the units, and so every word, to classes. A text's probability is the
-product of class transitions and of word emissions within their classes.
+Words seen often enough are units of their own; all other words share a unit by their last three bytes.
+Exchange clustering assigns the units, and so every word, to classes: first the most frequent units one by
+one, then all units in rounds over a staged table of their neighbours, where each unit whose turn it is
+goes to the class that raises the likelihood most. A text's probability is the product of class
+transitions and of word emissions within their classes.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -19,16 +23,19 @@ from ordermill.llm.batches import fold_of, fold_rows, map_rows, table
 from ordermill.session import staged
 
 FREQUENT = 65_536
-UNIT_WORDS = 767
+LEAST = 2  # a word seen less often shares a unit
+SEED_WORDS = 767
 POOLS = 256
-UNITS = 1 + UNIT_WORDS + POOLS  # the end, words, pools
 CLASSES = 48
 ROUNDS = 6
+SPARK_ROUNDS = 6
 SEED = 42
 END = b""  # the end token; no word is empty
 CACHED_WORDS = 250_000
 _FLUSH_WORDS = 300_000
 _FLUSH_TOKENS = 1 << 20
+_FLUSH_PAIRS = 1 << 20
+_UNITS_AT_ONCE = 64
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -46,19 +53,24 @@ def hashes(words: list[bytes]) -> np.ndarray:
 
 
 class Vocabulary:
-    """Frequent words with their counts and units, and the units of all others."""
+    """Frequent words with their counts and units, and the units of all others: the end, own words, pools."""
 
-    def __init__(self, words: np.ndarray, pools: np.ndarray, counts: np.ndarray):
-        """Hashes, pools and counts of the frequent words, most frequent first."""
+    def __init__(self, words: np.ndarray, pools: np.ndarray, counts: np.ndarray, least: int = LEAST):
+        """Hashes, pools and counts of the frequent words, most frequent first; words seen `least` times are units."""
         self.words, self.counts = words, counts
-        self.unit = 1 + UNIT_WORDS + pools.astype(np.int64)
         end = hashes([END])[0]
-        own = np.flatnonzero(words != end)[:UNIT_WORDS]
-        self.unit[own] = 1 + np.arange(len(own))
+        own = np.flatnonzero((words != end) & (counts >= least))
+        self.own = len(own)
+        self.size = 1 + self.own + POOLS
+        self.unit = 1 + self.own + pools.astype(np.int64)
+        seeds = min(self.own, SEED_WORDS)
+        #: What each unit counts as among the seeds: itself, or the pool of its ending.
+        self.seed = np.concatenate([np.arange(1 + seeds), 1 + seeds + pools[own[seeds:]], 1 + seeds + np.arange(POOLS)])
+        self.unit[own] = 1 + np.arange(self.own)
         self.unit[words == end] = 0
 
     def __getstate__(self):
-        return {name: self.__dict__[name] for name in ("words", "counts", "unit")}
+        return {name: self.__dict__[name] for name in ("words", "counts", "unit", "own")}
 
     def codes(self, words: list[bytes]) -> np.ndarray:
         """Rank of each frequent word, -1 - pool of each other."""
@@ -78,10 +90,10 @@ class Vocabulary:
         return np.array(found, np.int64)
 
     def units(self, codes: np.ndarray) -> np.ndarray:
-        """0 is the end, then the unit words, then the pools."""
+        """0 is the end, then the words with a unit of their own, then the pools."""
         if not len(self.unit):
-            return UNIT_WORDS - codes
-        return np.where(codes < 0, UNIT_WORDS - codes, self.unit[np.maximum(codes, 0)])
+            return self.own - codes
+        return np.where(codes < 0, self.own - codes, self.unit[np.maximum(codes, 0)])
 
 
 def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -110,46 +122,84 @@ def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 class _Pairs:
-    """Counts of unit pairs; those that wait to be counted are few."""
+    """Counts of number pairs, as keys; tokens that wait to be counted are few."""
 
     def __init__(self):
-        self.total = np.zeros(UNITS * UNITS, np.int64)
-        self.waiting: list[np.ndarray] = []
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = 0
 
-    def add(self, keys: np.ndarray) -> None:
-        self.waiting.append(keys)
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.waiting.append((keys, counts))
         self.size += len(keys)
         if self.size > _FLUSH_TOKENS:
             self.settle()
 
     def settle(self) -> None:
-        if self.waiting:
-            self.total += np.bincount(np.concatenate(self.waiting), minlength=len(self.total))
+        keys, counts = (np.concatenate(side) for side in zip((self.keys, self.counts), *self.waiting))
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        starts = np.flatnonzero(np.diff(keys, prepend=-1))
+        self.keys, self.counts = keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts
         self.waiting, self.size = [], 0
 
+    def flush(self) -> tuple[np.ndarray, np.ndarray]:
+        self.settle()
+        out = self.keys, self.counts
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return out
 
-def count_pairs(docs: DataFrame, vocabulary, text_col: str = "text") -> np.ndarray:
-    """How often each unit (column) follows each unit (row), over all texts; a text starts after an end.
 
-    The driver gets UNITS * UNITS sums at most. `vocabulary` is a broadcast one.
+def neighbours(docs: DataFrame, vocabulary, size: int, text_col: str = "text") -> DataFrame:
+    """(unit, side, other, n): how often `other` follows (side 0) or precedes (1) a unit, over all texts.
+
+    A unit beside itself is side 2. A text starts after an end. Tasks and then a shuffle by both units sum up
+    first; only then do the rows of a unit, two for each other unit at most, come together.
+    `vocabulary` is a broadcast one of `size` units.
     """
 
+    def columns(pairs):
+        keys, counts = pairs.flush()
+        return keys // size, keys % size, counts
+
     def add(pairs, text):
         words = tokens(text)
         units = vocabulary.value.units(vocabulary.value.codes(words))
-        pairs.add(np.concatenate([units[-1:], units[:-1]]) * UNITS + units)
+        pairs.add(np.concatenate([units[-1:], units[:-1]]) * size + units, np.ones(len(units), np.int64))
+        if len(pairs.keys) > _FLUSH_PAIRS:
+            yield columns(pairs)
 
     def finish(pairs):
-        pairs.settle()
-        found = np.flatnonzero(pairs.total)
-        yield found, pairs.total[found]
+        yield columns(pairs)
+
+    rows = fold_rows(docs.select(text_col), "a long, b long, n long", _Pairs, add, finish)
+    sums = rows.groupBy(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b")).agg(F.sum("n").alias("n"))
+
+    def beside(unit, side, other):
+        return F.struct(F.col(unit).alias("unit"), F.lit(side).alias("side"), F.col(other).alias("other"), "n")
+
+    sides = F.when(F.expr("a = b"), F.array(beside("a", 2, "b"))).otherwise(F.array(beside("a", 0, "b"), beside("b", 1, "a")))
+    return sums.select(F.inline(sides)).repartition("unit")
+
 
-    rows = fold_rows(docs.select(text_col), "pair int, n long", _Pairs, add, finish)
+def seed_pairs(near: DataFrame, seed: np.ndarray) -> np.ndarray:
+    """How often each seed (column) follows each seed (row); the driver gets one sum per pair of seeds at most."""
+    shared = near.sparkSession.sparkContext.broadcast(seed)
+    size = int(seed.max()) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size * size, np.int64)
+        for batch in batches:
+            unit, other, n = (column.to_numpy() for column in batch.columns)
+            np.add.at(total, shared.value[unit] * size + shared.value[other], n)
+        found = np.flatnonzero(total)
+        yield pa.record_batch({"pair": found, "n": total[found]})
+
+    rows = near.where("side != 1").select("unit", "other", "n").mapInArrow(run, "pair long, n long")
     sums = rows.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(UNITS * UNITS)
+    out = np.zeros(size * size)
     out[sums["pair"].to_numpy()] = sums["n"].to_numpy()
-    return out.reshape(UNITS, UNITS)
+    return out.reshape(size, size)
 
 
 def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
@@ -169,10 +219,7 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
     between = member.T @ pairs @ member
     after, before = pairs @ member, pairs.T @ member  # by class: what follows a unit, what precedes it
 
-    def f(x):
-        return x * np.log(np.maximum(x, 1e-300))
-
-    diagonal = np.arange(classes)
+    f, diagonal = _xlogx, np.arange(classes)
     for _ in range(rounds):
         moves = 0
         for unit in order:
@@ -209,18 +256,143 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
     return label
 
 
+def likelihood(between: np.ndarray) -> float:
+    """What of the training texts' log likelihood depends on the classes."""
+    return float(_xlogx(between).sum() - _xlogx(between.sum(axis=0)).sum() - _xlogx(between.sum(axis=1)).sum())
+
+
+def _xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1e-300))
+
+
+def best_classes(old: np.ndarray, right: np.ndarray, left: np.ndarray, own: np.ndarray, between: np.ndarray) -> np.ndarray:
+    """For each of some units, the class that raises the likelihood most if that unit alone moves.
+
+    `right` and `left` count by class what follows and precedes each unit, itself (`own`) left out.
+    """
+    f, rows, classes = _xlogx, np.arange(len(old)), len(between)
+    rest = np.repeat(between[None], len(old), axis=0)  # without the unit
+    rest[rows, old] -= right
+    rest[rows, :, old] -= left
+    rest[rows, old, old] -= own
+    diagonal = np.arange(classes)
+    without = f(rest)
+    grown_row, grown_column = f(rest + right[:, None, :]) - without, f(rest + left[:, :, None]) - without
+    corner = rest[:, diagonal, diagonal]
+    gain = grown_row.sum(axis=2) - grown_row[:, diagonal, diagonal] + grown_column.sum(axis=1) - grown_column[:, diagonal, diagonal]
+    gain += f(corner + right + left + own[:, None]) - f(corner)
+    out, into = rest.sum(axis=2) + left, rest.sum(axis=1) + right
+    gain -= f(out + (right.sum(axis=1) + own)[:, None]) - f(out) + f(into + (left.sum(axis=1) + own)[:, None]) - f(into)
+    gain[:, 0] = -np.inf  # the end's
+    new = gain.argmax(axis=1)
+    return np.where(gain[rows, new] > gain[rows, old] + 1e-9, new, old)
+
+
+def class_counts(near: DataFrame, label: np.ndarray, classes: int) -> DataFrame:
+    """(unit, at, n): neighbours of each unit by class; at is the class on side 0, then on side 1, then the unit itself."""
+    shared = near.sparkSession.sparkContext.broadcast(label)
+    width = 2 * classes + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def columns():
+            keys, counts = pairs.flush()
+            return pa.record_batch({"unit": (keys // width).astype(np.int32), "at": (keys % width).astype(np.int32), "n": counts})
+
+        pairs = _Pairs()
+        for batch in batches:
+            unit, side, other, n = (column.to_numpy() for column in batch.columns)
+            at = np.where(side == 2, 2 * classes, side * classes + shared.value[other])
+            pairs.add(unit.astype(np.int64) * width + at, n)
+            if len(pairs.keys) > _FLUSH_PAIRS:
+                yield columns()
+        yield columns()
+
+    rows = near.select("unit", "side", "other", "n").mapInArrow(run, "unit int, at int, n long")
+    return rows.groupBy("unit", "at").agg(F.sum("n").alias("n"))
+
+
+def class_pairs(counts: DataFrame, label: np.ndarray, classes: int) -> np.ndarray:
+    """How often each class (column) follows each class (row), from `class_counts`."""
+    shared = counts.sparkSession.sparkContext.broadcast(label)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(classes * classes, np.int64)
+        for batch in batches:
+            unit, at, n = (column.to_numpy() for column in batch.columns)
+            own = shared.value[unit]
+            np.add.at(total, own * classes + np.where(at == 2 * classes, own, at), n)
+        found = np.flatnonzero(total)
+        yield pa.record_batch({"pair": found, "n": total[found]})
+
+    rows = counts.where((F.col("at") < classes) | (F.col("at") == 2 * classes)).select("unit", "at", "n")
+    out = np.zeros(classes * classes)
+    for pair, n in rows.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n")).collect():
+        out[pair] = n
+    return out.reshape(classes, classes)
+
+
+def moved(counts: DataFrame, label: np.ndarray, between: np.ndarray, turn: int, share: int) -> np.ndarray:
+    """Classes after one in `share` units, by turns, has gone to its best class, all others being as before."""
+    shared = counts.sparkSession.sparkContext.broadcast((label, between))
+    classes = len(between)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        label, between = shared.value
+        for batch in batches:
+            for start in range(0, batch.num_rows, _UNITS_AT_ONCE):
+                part = batch.slice(start, _UNITS_AT_ONCE)
+                unit, has = part.column(0).to_numpy(), part.column(1)
+                sizes = has.value_lengths().to_numpy()
+                at, n = (column.to_numpy() for column in has.flatten().flatten())
+                dense = np.zeros((len(unit), 2 * classes + 1))
+                dense[np.repeat(np.arange(len(unit)), sizes), at] = n
+                right, left, own = dense[:, :classes], dense[:, classes:-1], dense[:, -1]
+                new = best_classes(label[unit], right, left, own, between)
+                yield pa.record_batch({"unit": unit, "label": new.astype(np.int32)})
+
+    units = counts.where((F.col("unit") > 0) & (F.pmod(F.xxhash64("unit"), F.lit(share)) == turn % share))
+    units = units.groupBy("unit").agg(F.collect_list(F.struct("at", "n")).alias("has"))
+    found = units.mapInArrow(run, "unit int, label int").toArrow()
+    out = label.copy()
+    out[found["unit"].to_numpy()] = found["label"].to_numpy()
+    return out
+
+
+def cluster(near: DataFrame, seed: np.ndarray, rounds: int = SPARK_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each unit, and how often each class follows each.
+
+    Starts from the classes of the seeds. In a round every second unit moves by its own gain, whatever the
+    others of the round do. A round that lowers the likelihood is undone, and half as many
+    units move in those after it. What the driver holds is a class per unit.
+    """
+
+    def measured(label):
+        counts = staged(class_counts(near, label, CLASSES), "classes")
+        between = class_pairs(counts, label, CLASSES)
+        return likelihood(between), label, between, counts
+
+    best, share = measured(exchange(seed_pairs(near, seed))[seed]), 2
+    for turn in range(rounds):
+        _, label, between, counts = best
+        found = measured(moved(counts, label, between, turn, share))
+        if found[0] > best[0]:
+            best = found
+        else:
+            share *= 2
+    return best[1], best[2]
+
+
 class Model:
     """Everything of bounded size that a task needs to score a text."""
 
-    def __init__(self, vocabulary: Vocabulary, label: np.ndarray, pairs: np.ndarray, tokens_in: np.ndarray, words_in: np.ndarray):
-        """`tokens_in`, `words_in`: tokens and distinct words of each unit in the training texts."""
-        classes = int(label.max()) + 1
-        member = np.eye(classes)[label]
-        moves = member.T @ pairs @ member
+    def __init__(self, vocabulary: Vocabulary, label: np.ndarray, moves: np.ndarray, tokens_in: np.ndarray, words_in: np.ndarray):
+        """`moves`: classes after classes; `tokens_in`, `words_in`: tokens and distinct words of each unit in the training texts."""
+        classes = len(moves)
         self.vocabulary, self.label = vocabulary, label
         self.transition = np.log10((moves + 0.5) / (moves.sum(axis=1, keepdims=True) + 0.5 * classes))
         #: Log10 of what an emission's count + 0.5 is divided by; a class has one unseen word.
-        self.divisor = np.log10(member.T @ tokens_in + 0.5 * (member.T @ words_in + 1))
+        tokens_in, words_in = (np.bincount(label, has, classes) for has in (tokens_in, words_in))
+        self.divisor = np.log10(tokens_in + 0.5 * (words_in + 1))
         self.known = np.log10(vocabulary.counts + 0.5)
 
     def score(self, words: list[bytes]) -> tuple[float, float, int, np.ndarray]:
@@ -232,26 +404,37 @@ class Model:
         return float(path), float(self.known[codes[frequent]].sum()), int(frequent.sum()), np.flatnonzero(~frequent)
 
 
-def learn(counts: DataFrame, training: DataFrame, frequent: int = FREQUENT, text_col: str = "text") -> tuple[Model, int, int]:
+def learn(
+    counts: DataFrame,
+    training: DataFrame,
+    frequent: int = FREQUENT,
+    text_col: str = "text",
+    least: int = LEAST,
+    rounds: int = SPARK_ROUNDS,
+) -> tuple[Model, int, int]:
     """Model, tokens N and distinct words V of the training texts; `counts` as `count_words` gives them.
 
-    Broadcast are `frequent` words at most, the classes of UNITS units and their transitions.
+    Of the `frequent` words those seen `least` times or more are clustered one by one, all others by their
+    ending. Broadcast are `frequent` words at most, the classes of their units and the transitions.
     """
     spark = counts.sparkSession
     total = counts.agg(F.sum("n"), F.count("*")).first()
     top = counts.orderBy(F.desc("n"), "word").limit(frequent).toArrow()
-    vocabulary = Vocabulary(*(top[name].to_numpy() for name in ("word", "pool", "n")))
-    tokens_in, words_in = np.zeros(UNITS), np.zeros(UNITS)
+    vocabulary = Vocabulary(*(top[name].to_numpy() for name in ("word", "pool", "n")), least)
+    first_pool = 1 + vocabulary.own
+    tokens_in, words_in = np.zeros(vocabulary.size), np.zeros(vocabulary.size)
     for pool, n, distinct in counts.groupBy("pool").agg(F.sum("n"), F.count("*")).collect():
-        tokens_in[1 + UNIT_WORDS + pool], words_in[1 + UNIT_WORDS + pool] = n, distinct
-    own = vocabulary.unit <= UNIT_WORDS  # counted with their pool so far
-    pools = 1 + UNIT_WORDS + top["pool"].to_numpy()
+        tokens_in[first_pool + pool], words_in[first_pool + pool] = n, distinct
+    own = vocabulary.unit < first_pool  # counted with their pool so far
+    pools = first_pool + top["pool"].to_numpy()
     np.subtract.at(tokens_in, pools[own], vocabulary.counts[own])
     np.subtract.at(words_in, pools[own], 1)
     np.add.at(tokens_in, vocabulary.unit[own], vocabulary.counts[own])
     np.add.at(words_in, vocabulary.unit[own], 1)
-    pairs = count_pairs(training, spark.sparkContext.broadcast(vocabulary), text_col)
-    return Model(vocabulary, exchange(pairs), pairs, tokens_in, words_in), int(total[0] or 0), int(total[1])
+    shared = spark.sparkContext.broadcast(vocabulary)
+    near = staged(neighbours(training, shared, vocabulary.size, text_col), "neighbours")
+    label, moves = cluster(near, vocabulary.seed, rounds)
+    return Model(vocabulary, label, moves, tokens_in, words_in), int(total[0] or 0), int(total[1])
 
 
 def score_documents(docs: DataFrame, training: DataFrame, frequent: int = FREQUENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -48,6 +48,89 @@ def test_alike_words_share_a_class():
     assert len(set(label[1:5])) == len(set(label[5:])) == 1 and label[1] != label[5]
 
 
+def test_best_class_is_that_of_all_single_moves():
+    rng = np.random.default_rng(5)
+    pairs = rng.integers(0, 6, (30, 30)).astype(float)
+    label = np.append(0, rng.integers(1, 5, 29))
+    member = np.eye(5)[label]
+    own = pairs.diagonal()
+    right, left = pairs @ member - own[:, None] * member, pairs.T @ member - own[:, None] * member
+    units = np.arange(1, 30)
+    new = class_model.best_classes(label[units], right[units], left[units], own[units], member.T @ pairs @ member)
+    for unit, chosen in zip(units, new):
+        values = []
+        for other in range(1, 5):
+            changed = label.copy()
+            changed[unit] = other
+            values.append(likelihood(pairs, changed, 5))
+        assert values[chosen - 1] >= max(values) - 1e-6
+
+
+def learned(spark, **options):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    counts = class_model.staged(class_model.count_words(docs), "words")
+    return docs, class_model.learn(counts, docs, **options)
+
+
+def test_neighbours_and_classes_against_brute_force(spark):
+    docs, (model, _, _) = learned(spark, rounds=2)
+    texts = [row.text for row in docs.collect()]
+    vocabulary = model.vocabulary
+    seen = Counter()
+    for text in texts:
+        units = vocabulary.units(vocabulary.codes([word.encode() for word in tokens(text)])).tolist()
+        seen.update(zip([0, *units[:-1]], units))
+    shared = spark.sparkContext.broadcast(vocabulary)
+    rows = class_model.neighbours(docs, shared, vocabulary.size).collect()
+    expected = Counter()
+    for (a, b), n in seen.items():
+        expected.update({(a, 2, b): n} if a == b else {(a, 0, b): n, (b, 1, a): n})
+    assert {(row.unit, row.side, row.other): row.n for row in rows} == expected
+    between = np.zeros((class_model.CLASSES, class_model.CLASSES))
+    for (a, b), n in seen.items():
+        between[model.label[a], model.label[b]] += n
+    smooth = (between + 0.5) / (between.sum(axis=1, keepdims=True) + 0.5 * class_model.CLASSES)
+    assert np.allclose(model.transition, np.log10(smooth))
+    assert (model.label[1:] > 0).all() and model.label[0] == 0
+
+
+def test_rounds_raise_the_likelihood_over_all_words(spark):
+    docs, (model, _, _) = learned(spark, rounds=0)
+    assert model.vocabulary.own > class_model.SEED_WORDS
+    shared = spark.sparkContext.broadcast(model.vocabulary)
+    near = class_model.staged(class_model.neighbours(docs, shared, model.vocabulary.size), "near")
+    values = [class_model.likelihood(class_model.cluster(near, model.vocabulary.seed, rounds)[1]) for rounds in (0, 2)]
+    assert values[1] > values[0]
+
+
+def test_score_against_a_brute_force_model(spark):
+    docs, (model, _, _) = learned(spark)
+    texts = {row.doc_id: row.text for row in docs.collect()}
+    counts = Counter(token for text in texts.values() for token in tokens(text))
+    vocabulary = model.vocabulary
+    words = list(counts)
+    class_of = dict(zip(words, model.label[vocabulary.units(vocabulary.codes([word.encode() for word in words]))].tolist()))
+    size, distinct, moves = Counter(), Counter(), Counter()
+    for word, n in counts.items():
+        size[class_of[word]] += n
+        distinct[class_of[word]] += 1
+    for text in texts.values():
+        path = [class_of[word] for word in tokens(text)]
+        moves.update(zip([path[-1], *path[:-1]], path))
+    out = Counter()
+    for (a, _), n in moves.items():
+        out[a] += n
+    for row in score_documents(docs, docs).collect():
+        own = tokens(texts[row.doc_id])
+        before, score = class_of[""], 0.0
+        for word in own:
+            now = class_of[word]
+            score += math.log10((moves[before, now] + 0.5) / (out[before] + 0.5 * class_model.CLASSES))
+            score += math.log10((counts[word] + 0.5) / (size[now] + 0.5 * (distinct[now] + 1)))
+            before = now
+        assert abs(row.score - score) < 1e-6 * max(1, abs(score))
+
+
 def check(rows, docs, training):
     counts = Counter(token for text in training for token in tokens(text))
     total, distinct = sum(counts.values()), len(counts)
