@@ -151,11 +151,11 @@ class _Pairs:
 
 
 def neighbours(docs: DataFrame, vocabulary, size: int, text_col: str = "text") -> DataFrame:
-    """(unit, side, other, n): how often `other` follows (side 0) or precedes (1) a unit, over all texts.
+    """(unit, beside, n): one row for each unit, what stands beside it in any text and how often, as packed numbers.
 
-    A unit beside itself is side 2. A text starts after an end. Tasks and then a shuffle by both units sum up
-    first; only then do the rows of a unit, two for each other unit at most, come together.
-    `vocabulary` is a broadcast one of `size` units.
+    What follows a unit is in `beside` by its number, what precedes it by that plus `size`, and the unit itself
+    as twice `size`. A text starts after an end. Tasks and then a shuffle by both units sum up first; only
+    then do the rows of a unit, two for each other unit at most, come together. `vocabulary` is a broadcast one of `size` units.
     """
 
     def columns(pairs):
@@ -172,34 +172,72 @@ def neighbours(docs: DataFrame, vocabulary, size: int, text_col: str = "text") -
     def finish(pairs):
         yield columns(pairs)
 
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row():
+            beside, n = (np.concatenate(side).astype(form).tobytes() for side, form in zip(zip(*held), ("<i4", "<i8")))
+            return last, beside, n
+
+        def batch_of(rows):
+            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=["unit", "beside", "n"])
+
+        last, held = None, []
+        for batch in batches:
+            unit, beside, n = (column.to_numpy() for column in batch.columns)
+            starts = np.flatnonzero(np.diff(unit, prepend=-1))
+            done = []
+            for start, end in zip(starts, [*starts[1:], len(unit)]):
+                if unit[start] != last:
+                    if held:
+                        done.append(row())
+                    last, held = int(unit[start]), []
+                held.append((beside[start:end], n[start:end]))
+            if done:
+                yield batch_of(done)
+        if held:
+            yield batch_of([row()])
+
     rows = fold_rows(docs.select(text_col), "a long, b long, n long", _Pairs, add, finish)
     sums = rows.groupBy(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b")).agg(F.sum("n").alias("n"))
 
-    def beside(unit, side, other):
-        return F.struct(F.col(unit).alias("unit"), F.lit(side).alias("side"), F.col(other).alias("other"), "n")
+    def entry(unit, beside):
+        return F.struct(F.col(unit).alias("unit"), beside.cast("int").alias("beside"), "n")
+
+    both = F.array(entry("a", F.col("b")), entry("b", F.col("a") + size))
+    sides = F.when(F.expr("a = b"), F.array(entry("a", F.lit(2 * size)))).otherwise(both)
+    flat = sums.select(F.inline(sides)).repartition("unit").sortWithinPartitions("unit")
+    return flat.mapInArrow(packed, "unit int, beside binary, n binary")
 
-    sides = F.when(F.expr("a = b"), F.array(beside("a", 2, "b"))).otherwise(F.array(beside("a", 0, "b"), beside("b", 1, "a")))
-    return sums.select(F.inline(sides)).repartition("unit")
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    for unit, beside, n in zip(*batch.columns):
+        yield unit.as_py(), np.frombuffer(beside.as_buffer(), "<i4"), np.frombuffer(n.as_buffer(), "<i8")
+
+
+def _summed(rows: DataFrame, size: int) -> np.ndarray:
+    """A matrix from the tasks' (pair, n); the driver gets one sum per pair at most."""
+    sums = rows.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size * size)
+    out[sums["pair"].to_numpy()] = sums["n"].to_numpy()
+    return out.reshape(size, size)
 
 
 def seed_pairs(near: DataFrame, seed: np.ndarray) -> np.ndarray:
-    """How often each seed (column) follows each seed (row); the driver gets one sum per pair of seeds at most."""
+    """How often each seed (column) follows each seed (row), over all texts."""
     shared = near.sparkSession.sparkContext.broadcast(seed)
-    size = int(seed.max()) + 1
+    units, size = len(seed), int(seed.max()) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size * size, np.int64)
+        total = np.zeros((size, size))
         for batch in batches:
-            unit, other, n = (column.to_numpy() for column in batch.columns)
-            np.add.at(total, shared.value[unit] * size + shared.value[other], n)
+            for unit, beside, n in _unpacked(batch):
+                after = beside < units
+                row = total[shared.value[unit]]
+                row += np.bincount(shared.value[beside[after]], n[after], size)
+                row[shared.value[unit]] += n[beside == 2 * units].sum()
         found = np.flatnonzero(total)
-        yield pa.record_batch({"pair": found, "n": total[found]})
+        yield pa.record_batch({"pair": found, "n": total.ravel()[found].astype(np.int64)})
 
-    rows = near.where("side != 1").select("unit", "other", "n").mapInArrow(run, "pair long, n long")
-    sums = rows.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(size * size)
-    out[sums["pair"].to_numpy()] = sums["n"].to_numpy()
-    return out.reshape(size, size)
+    return _summed(near.mapInArrow(run, "pair long, n long"), size)
 
 
 def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
@@ -289,26 +327,23 @@ def best_classes(old: np.ndarray, right: np.ndarray, left: np.ndarray, own: np.n
 
 
 def class_counts(near: DataFrame, label: np.ndarray, classes: int) -> DataFrame:
-    """(unit, at, n): neighbours of each unit by class; at is the class on side 0, then on side 1, then the unit itself."""
-    shared = near.sparkSession.sparkContext.broadcast(label)
-    width = 2 * classes + 1
+    """(unit, counts): what follows each unit by class, what precedes it by class, and the unit itself, as packed numbers."""
+    shared = near.sparkSession.sparkContext.broadcast(np.concatenate([label, classes + label, [2 * classes]]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def columns():
-            keys, counts = pairs.flush()
-            return pa.record_batch({"unit": (keys // width).astype(np.int32), "at": (keys % width).astype(np.int32), "n": counts})
-
-        pairs = _Pairs()
         for batch in batches:
-            unit, side, other, n = (column.to_numpy() for column in batch.columns)
-            at = np.where(side == 2, 2 * classes, side * classes + shared.value[other])
-            pairs.add(unit.astype(np.int64) * width + at, n)
-            if len(pairs.keys) > _FLUSH_PAIRS:
-                yield columns()
-        yield columns()
+            rows = [(unit, np.bincount(shared.value[beside], n, 2 * classes + 1)) for unit, beside, n in _unpacked(batch)]
+            counts = [counts.astype("<f8").tobytes() for _, counts in rows]
+            yield pa.record_batch([pa.array([unit for unit, _ in rows], pa.int32()), pa.array(counts, pa.binary())], names=["unit", "counts"])
+
+    return near.mapInArrow(run, "unit int, counts binary")
+
 
-    rows = near.select("unit", "side", "other", "n").mapInArrow(run, "unit int, at int, n long")
-    return rows.groupBy("unit", "at").agg(F.sum("n").alias("n"))
+def _dense(batch: pa.RecordBatch, classes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for start in range(0, batch.num_rows, _UNITS_AT_ONCE):
+        part = batch.slice(start, _UNITS_AT_ONCE)
+        counts = np.frombuffer(b"".join(part.column(1).to_pylist()), "<f8")
+        yield part.column(0).to_numpy(), counts.reshape(-1, 2 * classes + 1)
 
 
 def class_pairs(counts: DataFrame, label: np.ndarray, classes: int) -> np.ndarray:
@@ -316,19 +351,16 @@ def class_pairs(counts: DataFrame, label: np.ndarray, classes: int) -> np.ndarra
     shared = counts.sparkSession.sparkContext.broadcast(label)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(classes * classes, np.int64)
+        total = np.zeros((classes, classes))
         for batch in batches:
-            unit, at, n = (column.to_numpy() for column in batch.columns)
-            own = shared.value[unit]
-            np.add.at(total, own * classes + np.where(at == 2 * classes, own, at), n)
+            for unit, dense in _dense(batch, classes):
+                own = shared.value[unit]
+                np.add.at(total, own, dense[:, :classes])
+                np.add.at(total, (own, own), dense[:, -1])
         found = np.flatnonzero(total)
-        yield pa.record_batch({"pair": found, "n": total[found]})
+        yield pa.record_batch({"pair": found, "n": total.ravel()[found].astype(np.int64)})
 
-    rows = counts.where((F.col("at") < classes) | (F.col("at") == 2 * classes)).select("unit", "at", "n")
-    out = np.zeros(classes * classes)
-    for pair, n in rows.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n")).collect():
-        out[pair] = n
-    return out.reshape(classes, classes)
+    return _summed(counts.mapInArrow(run, "pair long, n long"), classes)
 
 
 def moved(counts: DataFrame, label: np.ndarray, between: np.ndarray, turn: int, share: int) -> np.ndarray:
@@ -339,19 +371,11 @@ def moved(counts: DataFrame, label: np.ndarray, between: np.ndarray, turn: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label, between = shared.value
         for batch in batches:
-            for start in range(0, batch.num_rows, _UNITS_AT_ONCE):
-                part = batch.slice(start, _UNITS_AT_ONCE)
-                unit, has = part.column(0).to_numpy(), part.column(1)
-                sizes = has.value_lengths().to_numpy()
-                at, n = (column.to_numpy() for column in has.flatten().flatten())
-                dense = np.zeros((len(unit), 2 * classes + 1))
-                dense[np.repeat(np.arange(len(unit)), sizes), at] = n
-                right, left, own = dense[:, :classes], dense[:, classes:-1], dense[:, -1]
-                new = best_classes(label[unit], right, left, own, between)
+            for unit, dense in _dense(batch, classes):
+                new = best_classes(label[unit], dense[:, :classes], dense[:, classes:-1], dense[:, -1], between)
                 yield pa.record_batch({"unit": unit, "label": new.astype(np.int32)})
 
     units = counts.where((F.col("unit") > 0) & (F.pmod(F.xxhash64("unit"), F.lit(share)) == turn % share))
-    units = units.groupBy("unit").agg(F.collect_list(F.struct("at", "n")).alias("has"))
     found = units.mapInArrow(run, "unit int, label int").toArrow()
     out = label.copy()
     out[found["unit"].to_numpy()] = found["label"].to_numpy()

@@ -82,10 +82,14 @@ def test_neighbours_and_classes_against_brute_force(spark):
         seen.update(zip([0, *units[:-1]], units))
     shared = spark.sparkContext.broadcast(vocabulary)
     rows = class_model.neighbours(docs, shared, vocabulary.size).collect()
-    expected = Counter()
+    assert len(rows) == len({row.unit for row in rows})
+    found = {}
+    for row in rows:
+        found |= {(row.unit, beside): n for beside, n in zip(np.frombuffer(row.beside, "<i4").tolist(), np.frombuffer(row.n, "<i8").tolist())}
+    size, expected = vocabulary.size, Counter()
     for (a, b), n in seen.items():
-        expected.update({(a, 2, b): n} if a == b else {(a, 0, b): n, (b, 1, a): n})
-    assert {(row.unit, row.side, row.other): row.n for row in rows} == expected
+        expected.update({(a, 2 * size): n} if a == b else {(a, b): n, (b, a + size): n})
+    assert found == expected
     between = np.zeros((class_model.CLASSES, class_model.CLASSES))
     for (a, b), n in seen.items():
         between[model.label[a], model.label[b]] += n
