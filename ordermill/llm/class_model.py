@@ -33,8 +33,7 @@ SEED = 42
 END = b""  # the end token; no word is empty
 CACHED_WORDS = 250_000
 _FLUSH_WORDS = 300_000
-_FLUSH_TOKENS = 1 << 20
-_FLUSH_PAIRS = 1 << 20
+_FLUSH_TOKENS = 1 << 21
 _UNITS_AT_ONCE = 64
 
 
@@ -121,34 +120,13 @@ def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return rows.groupBy("word", "pool").agg(F.sum("n").alias("n"))
 
 
-class _Pairs:
-    """Counts of number pairs, as keys; tokens that wait to be counted are few."""
+class _Waiting:
+    """Pairs that wait to be counted."""
 
     def __init__(self):
-        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        self.waiting.append((keys, counts))
-        self.size += len(keys)
-        if self.size > _FLUSH_TOKENS:
-            self.settle()
-
-    def settle(self) -> None:
-        keys, counts = (np.concatenate(side) for side in zip((self.keys, self.counts), *self.waiting))
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order]
-        starts = np.flatnonzero(np.diff(keys, prepend=-1))
-        self.keys, self.counts = keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts
-        self.waiting, self.size = [], 0
-
-    def flush(self) -> tuple[np.ndarray, np.ndarray]:
-        self.settle()
-        out = self.keys, self.counts
-        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return out
-
 
 def neighbours(docs: DataFrame, vocabulary, size: int, text_col: str = "text") -> DataFrame:
     """(unit, beside, n): one row for each unit, what stands beside it in any text and how often, as packed numbers.
@@ -158,19 +136,25 @@ def neighbours(docs: DataFrame, vocabulary, size: int, text_col: str = "text") -
     then do the rows of a unit, two for each other unit at most, come together. `vocabulary` is a broadcast one of `size` units.
     """
 
-    def columns(pairs):
-        keys, counts = pairs.flush()
-        return keys // size, keys % size, counts
+    width = 2 * size + 1
 
-    def add(pairs, text):
+    def flush(state):
+        keys = np.sort(np.concatenate(state.waiting))
+        state.waiting, state.size = [], 0
+        starts = np.flatnonzero(np.diff(keys, prepend=-1))
+        return keys[starts], np.diff(starts, append=len(keys))
+
+    def add(state, text):
         words = tokens(text)
         units = vocabulary.value.units(vocabulary.value.codes(words))
-        pairs.add(np.concatenate([units[-1:], units[:-1]]) * size + units, np.ones(len(units), np.int64))
-        if len(pairs.keys) > _FLUSH_PAIRS:
-            yield columns(pairs)
+        state.waiting.append(np.concatenate([units[-1:], units[:-1]]) * size + units)
+        state.size += len(units)
+        if state.size > _FLUSH_TOKENS:
+            yield flush(state)
 
-    def finish(pairs):
-        yield columns(pairs)
+    def finish(state):
+        if state.waiting:
+            yield flush(state)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def row():
@@ -182,7 +166,8 @@ def neighbours(docs: DataFrame, vocabulary, size: int, text_col: str = "text") -
 
         last, held = None, []
         for batch in batches:
-            unit, beside, n = (column.to_numpy() for column in batch.columns)
+            entry, n = (column.to_numpy() for column in batch.columns)
+            unit, beside = entry // width, entry % width
             starts = np.flatnonzero(np.diff(unit, prepend=-1))
             done = []
             for start, end in zip(starts, [*starts[1:], len(unit)]):
@@ -196,15 +181,13 @@ def neighbours(docs: DataFrame, vocabulary, size: int, text_col: str = "text") -
         if held:
             yield batch_of([row()])
 
-    rows = fold_rows(docs.select(text_col), "a long, b long, n long", _Pairs, add, finish)
-    sums = rows.groupBy(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b")).agg(F.sum("n").alias("n"))
-
-    def entry(unit, beside):
-        return F.struct(F.col(unit).alias("unit"), beside.cast("int").alias("beside"), "n")
-
-    both = F.array(entry("a", F.col("b")), entry("b", F.col("a") + size))
-    sides = F.when(F.expr("a = b"), F.array(entry("a", F.lit(2 * size)))).otherwise(both)
-    flat = sums.select(F.inline(sides)).repartition("unit").sortWithinPartitions("unit")
+    rows = fold_rows(docs.select(text_col), "pair long, n long", _Waiting, add, finish)
+    sums = rows.groupBy("pair").agg(F.sum("n").alias("n"))
+    left, right = F.expr(f"pair div {size}"), F.col("pair") % size
+    both = F.array(left * width + right, right * width + left + size)
+    entries = F.when(left == right, F.array(left * width + 2 * size)).otherwise(both)
+    flat = sums.select(F.explode(entries).alias("entry"), "n")
+    flat = flat.repartition(F.expr(f"entry div {width}")).sortWithinPartitions("entry")
     return flat.mapInArrow(packed, "unit int, beside binary, n binary")
 
 
