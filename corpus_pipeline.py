@@ -16,7 +16,11 @@ from ordermill.session import staged
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text is in a learned language; those without a letter or near no profile go."""
+    """Documents whose text is in a learned language; those without a letter or near no profile go.
+
+    NULL and empty texts go. Rows are judged one by one by their whole texts, so NULL or repeated ids do not
+    matter; all columns of a kept row stay.
+    """
     return identify_kept(docs, learn_profiles(docs))
 
 
@@ -26,7 +30,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark, row by row: a row is known by its text, not by its id."""
+    """Documents without a passage of the benchmark, row by row: a row is known by its text, not by its id.
+
+    Repeated texts stay or go together, whatever their ids; NULL and empty texts hold no passage and stay. All columns stay.
+    """
     texts = docs.select(F.xxhash64("text").alias("text_key"), "text")
     leaks = find_leaks(texts, table(spark, sf_dir, "benchmark"), id_col="text_key")
     leaks = leaks.select(F.col("doc_id").alias("leak_key")).distinct()
@@ -39,7 +46,11 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids, source spans and decoded text of each document: rows for training."""
+    """Ids, source spans and decoded text of each document: rows for training.
+
+    One row per document, with NULL and repeated ids as they are; a NULL text counts as empty. Of the columns only doc_id is
+    carried, as this is the last stage.
+    """
     return encode_documents(docs, public_tokenizers.path(MODEL))
 
 
