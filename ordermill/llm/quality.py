@@ -145,8 +145,8 @@ class IsolationForest:
 
 
 def fit_forest(stats: DataFrame, rows: int = FIT_ROWS) -> IsolationForest:
-    """A forest over at most `rows` rows, those with the smallest hashes of their ids."""
-    sample = stats.orderBy(F.xxhash64("doc_id"), *FEATURES).select(*FEATURES).limit(rows).toArrow()
+    """A forest over at most `rows` rows, those with the smallest hashes of their ids; of equal ids, by those of the statistics."""
+    sample = stats.orderBy(F.xxhash64("doc_id"), F.xxhash64(*FEATURES), *FEATURES).select(*FEATURES).limit(rows).toArrow()
     return IsolationForest(np.column_stack([sample[name].to_numpy() for name in FEATURES]))
 
 

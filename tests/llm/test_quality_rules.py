@@ -6,8 +6,20 @@ import re
 from collections import Counter
 
 import numpy as np
-
-from ordermill.llm.quality import FEATURES, RULES, IsolationForest, calibrate, expected_path, judge, op6_quality, rule_statistics
+import pytest
+
+from ordermill.llm import quality
+from ordermill.llm.quality import (
+    FEATURES,
+    RULES,
+    IsolationForest,
+    calibrate,
+    expected_path,
+    judge,
+    op6_quality,
+    rule_statistics,
+    statistics,
+)
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -74,3 +86,18 @@ def test_odd_rows(spark):
     assert [row.kept for row in judge(docs, labels).collect()] == [False] * 4
     assert judge(docs.limit(0), labels.limit(0)).count() == 0
     assert len(FEATURES) + len(RULES) == len(rule_statistics(""))
+
+
+def test_sample_without_ids_is_not_of_the_shortest_texts(spark):
+    texts = [(None, " ".join(f"w{j}" for j in range(i))) for i in range(1, 201)]
+    stats = statistics(spark.createDataFrame(texts, "doc_id long, text string"))
+    lengths = []
+
+    class Rows(IsolationForest):
+        def __init__(self, rows):
+            lengths.extend(rows[:, FEATURES.index("length")].tolist())
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quality, "IsolationForest", Rows)
+        quality.fit_forest(stats, 20)
+    assert len(lengths) == 20 and max(lengths) > np.log1p(100)
