@@ -281,25 +281,24 @@ def keep_first(
     SHA-256, and of equal texts one by a hash of all columns but maps. Rows without an id all stay, unless
     `null_ids_stay` is False: then they come after all others of their group, of which one row stays in any case.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    texts = texts.select("doc_id", "text", F.sha2(F.col("text").cast("binary"), 256).alias("mark"))
+    own_id, mark = F.col(id_col).cast("long"), F.sha2(F.col(text_col).cast("binary"), 256)
+    key = F.concat_ws(":", F.coalesce(own_id.cast("string"), F.lit("-")), F.coalesce(mark, F.lit("-")))
+    texts = docs.select(own_id.alias("doc_id"), F.col(text_col).alias("text"), key.alias("key"))
     own = map_rows(
-        texts, "doc_id long, fp long, mark string", lambda: lambda doc_id, text, mark: (doc_id, fingerprint(text, words), mark)
+        texts, "doc_id long, fp long, key string", lambda: lambda doc_id, text, key: (doc_id, fingerprint(text, words), key)
     )
     marked = staged(own, "fingerprints")
     ranked = marked.where("doc_id IS NOT NULL") if null_ids_stay else marked
     roots = components(marked, reach).select("fp", "root")
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")).alias("best")
-    first = ranked.join(roots, "fp").groupBy("root").agg(best)
-    first = first.select(F.col("best.doc_id").alias("__first_id"), F.col("best.mark").alias("__first_mark"))
-    key, mark = docs[id_col].cast("long"), F.sha2(docs[text_col].cast("binary"), 256)
-    kept = docs.join(first, key.eqNullSafe(F.col("__first_id")) & mark.eqNullSafe(F.col("__first_mark")), "left_semi")
-    columns = [F.col(f"`{name}`") for name in docs.columns]
-    hashed = [column for column, field in zip(columns, docs.schema) if "map<" not in field.dataType.simpleString()]
-    key, mark = F.col(id_col).alias("__first_id"), F.sha2(F.col(text_col).cast("binary"), 256).alias("__first_mark")
-    row = F.min_by(F.struct(*columns), F.xxhash64(*hashed)).alias("__row")
-    kept = kept.groupBy(key, mark).agg(row).select("__row.*")
-    return kept.unionByName(docs.where(F.col(id_col).isNull())) if null_ids_stay else kept
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("best")
+    first = ranked.join(roots, "fp").groupBy("root").agg(best).select("best.key")
+    # equal rows are combined before the one shuffle of whole rows, which the aggregate and the join share
+    columns = {name: F.col(f"`{name}`") for name in docs.columns}
+    hashed = [columns[field.name] for field in docs.schema if "map<" not in field.dataType.simpleString()]
+    named = docs.where(own_id.isNotNull()) if null_ids_stay else docs
+    rows = named.groupBy(key.alias("key")).agg(F.min_by(F.struct(*columns.values()), F.xxhash64(*hashed)).alias("row"))
+    kept = rows.join(first, "key", "left_semi").select("row.*")
+    return kept.unionByName(docs.where(own_id.isNull())) if null_ids_stay else kept
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

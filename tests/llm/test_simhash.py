@@ -9,6 +9,7 @@ import numpy as np
 import xxhash
 
 import corpus_pipeline
+from compare import plan_of
 from ordermill.llm import simhash
 from ordermill.llm.simhash import connected, deal, fingerprint, grow, keep_first, leaves, links, near_duplicates, sets
 
@@ -132,3 +133,22 @@ def test_the_pipeline_keeps_one_row_of_each_group(spark):
     docs = spark.createDataFrame([(1, text), (1, other), (None, text), (None, text)], "doc_id long, text string")
     kept = corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()
     assert sorted((row.doc_id, row.text) for row in kept) == sorted([(1, text), (1, other)])
+
+
+def test_no_column_name_is_reserved(spark):
+    text = "the same words over and over again in this text"
+    rows = [(2, text, 1, "a"), (1, text, 2, "b"), (1, text, 2, "b"), (None, text, 3, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key long, row string")
+    for names in (("key", "row"), ("__first_id", "__first_mark"), ("best", "a.b")):
+        table = docs.toDF("doc_id", "text", *names)
+        kept = keep_first(table, null_ids_stay=False)
+        assert kept.columns == table.columns
+        assert [tuple(row) for row in kept.collect()] == [(1, text, 2, "b")]
+
+
+def test_whole_rows_are_shuffled_once(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    plan = plan_of(keep_first(docs, null_ids_stay=False))
+    # one exchange of the rows, combined before it, and one of the chosen keys
+    assert len(re.findall(r"Arguments: hashpartitioning\((?:_groupingexpression|key)#", plan)) == 2
+    assert plan.count("partial_min_by(struct(doc_id") > 0
