@@ -14,6 +14,9 @@ from ordermill.llm.sentencepieces import MODEL, encode_documents
 from ordermill.llm.simhash import keep_first
 from ordermill.session import staged
 
+#: Eight bytes each.
+BROADCAST_KEYS = 1_000_000
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in a learned language; those without a letter or near no profile go.
@@ -33,10 +36,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents without a passage of the benchmark, row by row: a row is known by its text, not by its id.
 
     Repeated texts stay or go together, whatever their ids; NULL and empty texts hold no passage and stay. All columns stay.
+    The keys of texts to remove are counted and broadcast up to `BROADCAST_KEYS`; beyond that the join shuffles.
     """
     texts = docs.select(F.xxhash64("text").alias("text_key"), "text")
     leaks = find_leaks(texts, table(spark, sf_dir, "benchmark"), id_col="text_key")
-    leaks = leaks.select(F.col("doc_id").alias("leak_key")).distinct()
+    leaks = staged(leaks.select(F.col("doc_id").alias("leak_key")).distinct(), "leaks")
+    if leaks.count() <= BROADCAST_KEYS:
+        leaks = F.broadcast(leaks)
     return docs.join(leaks, F.xxhash64(docs["text"]) == leaks["leak_key"], "left_anti")
 
 
