@@ -16,10 +16,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm.batches import fold_of, fold_rows, map_rows, table
+from ordermill.llm.batches import ROWS, fold_of, fold_rows, map_rows, table
 from ordermill.session import staged
 
 FREQUENT = 65_536
@@ -35,6 +35,7 @@ CACHED_WORDS = 250_000
 _FLUSH_WORDS = 300_000
 _FLUSH_TOKENS = 1 << 21
 _UNITS_AT_ONCE = 64
+_CODE_BYTES = 16 << 20
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -56,12 +57,12 @@ class Vocabulary:
 
     def __init__(self, words: np.ndarray, pools: np.ndarray, counts: np.ndarray, least: int = LEAST):
         """Hashes, pools and counts of the frequent words, most frequent first; words seen `least` times are units."""
-        self.words, self.counts = words, counts
+        self.words, self.counts, self.pools = words, counts, pools.astype(np.int64)
         end = hashes([END])[0]
         own = np.flatnonzero((words != end) & (counts >= least))
         self.own = len(own)
         self.size = 1 + self.own + POOLS
-        self.unit = 1 + self.own + pools.astype(np.int64)
+        self.unit = 1 + self.own + self.pools
         seeds = min(self.own, SEED_WORDS)
         #: What each unit counts as among the seeds: itself, or the pool of its ending.
         self.seed = np.concatenate([np.arange(1 + seeds), 1 + seeds + pools[own[seeds:]], 1 + seeds + np.arange(POOLS)])
@@ -83,8 +84,10 @@ class Vocabulary:
             ranks = map(self.ranks.get, hashes(missing).tolist())
             fresh = {word: -1 - pool_of(word) if rank is None else rank for word, rank in zip(missing, ranks)}
             found = [fresh[word] if code is None else code for word, code in zip(words, found)]
-            if len(cache) > CACHED_WORDS:
+            if len(cache) > max(CACHED_WORDS, 2 * len(self.words)):
+                often = {word: code for word, code in cache.items() if code >= 0}
                 cache.clear()
+                cache.update(often)
             cache.update(fresh)
         return np.array(found, np.int64)
 
@@ -120,41 +123,79 @@ def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return rows.groupBy("word", "pool").agg(F.sum("n").alias("n"))
 
 
-class _Waiting:
-    """Pairs that wait to be counted."""
+def encoded(docs: DataFrame, vocabulary) -> DataFrame:
+    """Each text of `docs` (doc_id, text, learn) as `Vocabulary.codes`, packed, with hashes and numbers of its words that are not frequent.
 
-    def __init__(self):
-        self.waiting: list[np.ndarray] = []
-        self.size = 0
+    `row` is a number for each row, good once this is written. `vocabulary` is a broadcast one.
+    """
+
+    def start():
+        part = TaskContext.get().partitionId()
+        row = 0
+
+        def one(doc_id, text, learn):
+            nonlocal row
+            row += 1
+            words = tokens(text)
+            codes = vocabulary.value.codes(words)
+            rare = Counter([words[i] for i in np.flatnonzero(codes < 0)])
+            return part << 40 | row, doc_id, learn, len(words), codes.astype("<i4").tobytes(), hashes(list(rare)), list(rare.values())
+
+        return one
+
+    schema = "row long, doc_id long, learn boolean, n_tokens long, codes binary, words array<long>, times array<int>"
+    return map_rows(docs.select("doc_id", "text", "learn"), schema, start)
+
+
+def _codes(column: pa.Array) -> Iterator[tuple[slice, np.ndarray]]:
+    """Which rows, and their codes, one text after the other: `ROWS` at a time, or one where texts are very long."""
+    for first in range(0, len(column), ROWS):
+        step = ROWS if column[first : first + ROWS].nbytes < _CODE_BYTES else 1
+        for at in range(first, min(first + ROWS, len(column)), step):
+            rows = slice(at, at + step)
+            yield rows, np.frombuffer(b"".join(column[rows].to_pylist()), "<i4")
 
 
 def neighbours(docs: DataFrame, vocabulary, size: int, text_col: str = "text") -> DataFrame:
+    """As `neighbours_of`, for texts."""
+
+    def start():
+        return lambda text: (vocabulary.value.codes(tokens(text)).astype("<i4").tobytes(),)
+
+    return neighbours_of(map_rows(docs.select(text_col), "codes binary", start), vocabulary, size)
+
+
+def neighbours_of(texts: DataFrame, vocabulary, size: int) -> DataFrame:
     """(unit, beside, n): one row for each unit, what stands beside it in any text and how often, as packed numbers.
 
-    What follows a unit is in `beside` by its number, what precedes it by that plus `size`, and the unit itself
-    as twice `size`. A text starts after an end. Tasks and then a shuffle by both units sum up first; only
-    then do the rows of a unit, two for each other unit at most, come together. `vocabulary` is a broadcast one of `size` units.
+    `texts` has the column `codes` of `encoded`. What follows a unit is in `beside` by its number, what precedes it by that
+    plus `size`, and the unit itself as twice `size`. A text starts after an end. Tasks and then a shuffle by both units
+    sum up first; only then do the rows of a unit, two for each other unit at most, come together.
+    `vocabulary` is a broadcast one of `size` units.
     """
 
     width = 2 * size + 1
 
-    def flush(state):
-        keys = np.sort(np.concatenate(state.waiting))
-        state.waiting, state.size = [], 0
-        starts = np.flatnonzero(np.diff(keys, prepend=-1))
-        return keys[starts], np.diff(starts, append=len(keys))
-
-    def add(state, text):
-        words = tokens(text)
-        units = vocabulary.value.units(vocabulary.value.codes(words))
-        state.waiting.append(np.concatenate([units[-1:], units[:-1]]) * size + units)
-        state.size += len(units)
-        if state.size > _FLUSH_TOKENS:
-            yield flush(state)
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush():
+            keys = np.sort(np.concatenate(waiting))
+            waiting.clear()
+            starts = np.flatnonzero(np.diff(keys, prepend=-1))
+            return pa.record_batch({"pair": keys[starts], "n": np.diff(starts, append=len(keys))})
 
-    def finish(state):
-        if state.waiting:
-            yield flush(state)
+        waiting: list[np.ndarray] = []
+        held = 0
+        for batch in batches:
+            for _, codes in _codes(batch.column(0)):
+                units = vocabulary.value.units(codes).astype(np.int64)
+                # every text ends with an end, so the one before starts the next
+                waiting.append(np.concatenate([units[-1:], units[:-1]]) * size + units)
+                held += len(units)
+                if held > _FLUSH_TOKENS:
+                    yield flush()
+                    held = 0
+        if waiting:
+            yield flush()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def row():
@@ -181,7 +222,7 @@ def neighbours(docs: DataFrame, vocabulary, size: int, text_col: str = "text") -
         if held:
             yield batch_of([row()])
 
-    rows = fold_rows(docs.select(text_col), "pair long, n long", _Waiting, add, finish)
+    rows = texts.select("codes").mapInArrow(counted, "pair long, n long")
     sums = rows.groupBy("pair").agg(F.sum("n").alias("n"))
     left, right = F.expr(f"pair div {size}"), F.col("pair") % size
     both = F.array(left * width + right, right * width + left + size)
@@ -402,13 +443,42 @@ class Model:
         self.divisor = np.log10(tokens_in + 0.5 * (words_in + 1))
         self.known = np.log10(vocabulary.counts + 0.5)
 
-    def score(self, words: list[bytes]) -> tuple[float, float, int, np.ndarray]:
-        """Sum of log10 transitions over divisors, sum of log10(count + 0.5) of frequent words, how many they are, and where the others are."""
-        codes = self.vocabulary.codes(words)
+    def sums(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For texts that begin at `starts`: the sum of log10 transitions over divisors, that of log10(count + 0.5) of frequent words, and how many these are."""
         label = self.label[self.vocabulary.units(codes)]
-        path = self.transition[np.concatenate([label[-1:], label[:-1]]), label].sum() - self.divisor[label].sum()
+        path = self.transition[np.concatenate([label[-1:], label[:-1]]), label] - self.divisor[label]
         frequent = codes >= 0
-        return float(path), float(self.known[codes[frequent]].sum()), int(frequent.sum()), np.flatnonzero(~frequent)
+        known = np.zeros(len(codes))
+        known[frequent] = self.known[codes[frequent]]
+        return np.add.reduceat(path, starts), np.add.reduceat(known, starts), np.add.reduceat(frequent.astype(np.int64), starts)
+
+    def score(self, words: list[bytes]) -> tuple[float, float, int]:
+        """`sums` of one text."""
+        path, known, n_frequent = self.sums(self.vocabulary.codes(words), np.zeros(1, np.int64))
+        return float(path[0]), float(known[0]), int(n_frequent[0])
+
+
+def frequent_words(counts: DataFrame, frequent: int = FREQUENT, least: int = LEAST) -> Vocabulary:
+    """The `frequent` words that `count_words` found most often; those seen `least` times or more are units of their own."""
+    top = counts.orderBy(F.desc("n"), "word").limit(frequent).toArrow()
+    return Vocabulary(*(top[name].to_numpy() for name in ("word", "pool", "n")), least)
+
+
+def fitted(counts: DataFrame, vocabulary: Vocabulary, near: DataFrame, rounds: int = SPARK_ROUNDS) -> tuple[Model, int, int]:
+    """Model, tokens N and distinct words V of the training texts, from their counts and `neighbours`."""
+    total = counts.agg(F.sum("n"), F.count("*")).first()
+    first_pool = 1 + vocabulary.own
+    tokens_in, words_in = np.zeros(vocabulary.size), np.zeros(vocabulary.size)
+    for pool, n, distinct in counts.groupBy("pool").agg(F.sum("n"), F.count("*")).collect():
+        tokens_in[first_pool + pool], words_in[first_pool + pool] = n, distinct
+    own = vocabulary.unit < first_pool  # counted with their pool so far
+    pools = first_pool + vocabulary.pools
+    np.subtract.at(tokens_in, pools[own], vocabulary.counts[own])
+    np.subtract.at(words_in, pools[own], 1)
+    np.add.at(tokens_in, vocabulary.unit[own], vocabulary.counts[own])
+    np.add.at(words_in, vocabulary.unit[own], 1)
+    label, moves = cluster(near, vocabulary.seed, rounds)
+    return Model(vocabulary, label, moves, tokens_in, words_in), int(total[0] or 0), int(total[1])
 
 
 def learn(
@@ -424,60 +494,49 @@ def learn(
     Of the `frequent` words those seen `least` times or more are clustered one by one, all others by their
     ending. Broadcast are `frequent` words at most, the classes of their units and the transitions.
     """
-    spark = counts.sparkSession
-    total = counts.agg(F.sum("n"), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(frequent).toArrow()
-    vocabulary = Vocabulary(*(top[name].to_numpy() for name in ("word", "pool", "n")), least)
-    first_pool = 1 + vocabulary.own
-    tokens_in, words_in = np.zeros(vocabulary.size), np.zeros(vocabulary.size)
-    for pool, n, distinct in counts.groupBy("pool").agg(F.sum("n"), F.count("*")).collect():
-        tokens_in[first_pool + pool], words_in[first_pool + pool] = n, distinct
-    own = vocabulary.unit < first_pool  # counted with their pool so far
-    pools = first_pool + top["pool"].to_numpy()
-    np.subtract.at(tokens_in, pools[own], vocabulary.counts[own])
-    np.subtract.at(words_in, pools[own], 1)
-    np.add.at(tokens_in, vocabulary.unit[own], vocabulary.counts[own])
-    np.add.at(words_in, vocabulary.unit[own], 1)
-    shared = spark.sparkContext.broadcast(vocabulary)
+    vocabulary = frequent_words(counts, frequent, least)
+    shared = counts.sparkSession.sparkContext.broadcast(vocabulary)
     near = staged(neighbours(training, shared, vocabulary.size, text_col), "neighbours")
-    label, moves = cluster(near, vocabulary.seed, rounds)
-    return Model(vocabulary, label, moves, tokens_in, words_in), int(total[0] or 0), int(total[1])
+    return fitted(counts, vocabulary, near, rounds)
 
 
-def score_documents(docs: DataFrame, training: DataFrame, frequent: int = FREQUENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Log10 probability of every whole text, learned from all texts of `training`.
+def score_documents(
+    docs: DataFrame, training: DataFrame | Column, frequent: int = FREQUENT, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Log10 probability of every whole text, learned from all texts of `training`, or from the rows of `docs` where that is true.
 
     Returns doc_id, n_tokens, n_known, train_tokens, base_score (smoothed unigrams), score (the class model)
     and perplexity (10 ** (-score / n_tokens)). A NULL or empty text is an end alone. Rows with NULL or repeated
     ids are scored one by one; other columns are not carried. Without training texts every word is unseen.
 
-    Frequent words are resolved where the text is read. Each other word of a text is one row that
-    meets its count by a join on the word; no such word is frequent, so no key is hot. Words stand as 64-bit
+    Texts are resolved to frequent words once, and neighbours and scores come from the written codes. Each other word of a
+    text is one row that meets its count by a join on the word; no such word is frequent, so no key is hot. Words stand as 64-bit
     hashes: with 10 million distinct ones, two share a hash with a chance of 3 in a million.
     """
     spark = docs.sparkSession
-    counts = staged(count_words(training, text_col), "words")
-    model, total, distinct = learn(counts, training, frequent, text_col)
+    among = isinstance(training, Column)
+    learned = F.coalesce(training, F.lit(False)) if among else F.lit(False)
+    counts = staged(count_words(docs.where(learned) if among else training, text_col), "words")
+    vocabulary = frequent_words(counts, frequent)
+    words = spark.sparkContext.broadcast(vocabulary)
+    kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), learned.alias("learn"))
+    texts = staged(encoded(kept, words), "encoded")
+    near = neighbours_of(texts.where("learn"), words, vocabulary.size) if among else neighbours(training, words, vocabulary.size, text_col)
+    model, total, distinct = fitted(counts, vocabulary, staged(near, "neighbours"))
     shared = spark.sparkContext.broadcast(model)
 
-    def start():
-        part = TaskContext.get().partitionId()
-        row = 0
-
-        def one(doc_id, text):
-            nonlocal row
-            row += 1
-            words = tokens(text)
-            path, known, n_frequent, others = shared.value.score(words)
-            rare = Counter([words[i] for i in others])
-            return part << 40 | row, doc_id, len(words), n_frequent, path, known, hashes(list(rare)), list(rare.values())
-
-        return one
-
-    kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "row long, doc_id long, n_tokens long, n_frequent long, path double, known double, words array<long>, times array<int>"
-    partial = staged(map_rows(kept, schema, start), "partial")
-    rare = partial.select("row", F.inline(F.arrays_zip("words", "times")).alias("word", "times"))
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["row", "doc_id", "n_tokens", "n_frequent", "path", "known"]
+        for batch in batches:
+            for rows, codes in _codes(batch.column(3)):
+                row, doc_id, n = (column[rows] for column in batch.columns[:3])
+                ends = np.cumsum(n.to_numpy())
+                path, known, n_frequent = shared.value.sums(codes, np.append(0, ends[:-1]))
+                yield pa.record_batch([row, doc_id, n, pa.array(n_frequent), pa.array(path), pa.array(known)], names=names)
+
+    schema = "row long, doc_id long, n_tokens long, n_frequent long, path double, known double"
+    partial = texts.select("row", "doc_id", "n_tokens", "codes").mapInArrow(scored, schema)
+    rare = texts.select("row", F.inline(F.arrays_zip("words", "times")).alias("word", "times"))
     count = F.coalesce("n", F.lit(0))
     met = rare.join(counts.select("word", "n"), "word", "left")
     sums = met.groupBy("row").agg(
@@ -501,6 +560,6 @@ def score_documents(docs: DataFrame, training: DataFrame, frequent: int = FREQUE
 def op10_class_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fold = fold_of(F.col("doc_id"))
-    scored = score_documents(docs, docs.where(fold != 1))
+    scored = score_documents(docs, fold != 1)
     columns = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]
     return scored.withColumn("held_out", fold.eqNullSafe(1)).select(columns)

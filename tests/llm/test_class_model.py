@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ordermill.llm import class_model
 from ordermill.llm.class_model import exchange, op10_class_model, score_documents
@@ -154,6 +155,27 @@ def test_query(spark):
     check(rows, docs, [text for doc_id, text in docs.items() if fold[doc_id] != 1])
 
 
+def test_rows_to_learn_from_by_a_condition_or_a_table(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    docs = docs.unionByName(docs.limit(3).withColumn("doc_id", F.lit(None).cast("long")))
+    condition = F.col("doc_id") % 3 != 0
+    by_condition = sorted(map(str, score_documents(docs, condition).drop("perplexity").collect()))
+    assert by_condition == sorted(map(str, score_documents(docs, docs.where(condition)).drop("perplexity").collect()))
+
+
+def test_cached_codes_are_those_without_a_cache(spark, monkeypatch):
+    monkeypatch.setattr(class_model, "CACHED_WORDS", 40)
+    words = [f"w{i}".encode() for i in range(300)]
+    known = words[:20]
+    pools = np.array([class_model.pool_of(word) for word in known])
+    vocabulary = class_model.Vocabulary(class_model.hashes(known), pools, np.arange(20, 0, -1))
+    expected = [*range(20), *(-1 - class_model.pool_of(word) for word in words[20:])]
+    for _ in range(2):
+        for at in range(0, 300, 10):
+            assert vocabulary.codes(words[at : at + 10]).tolist() == expected[at : at + 10]
+            assert len(vocabulary.cache) <= 60
+
+
 def test_words_that_are_not_frequent(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     texts = {row.doc_id: row.text for row in docs.collect()}
@@ -192,3 +214,12 @@ def test_odd_rows(spark):
     assert score_documents(docs.limit(0), docs).count() == 0
     unseen = score_documents(docs, docs.limit(0)).collect()
     assert len(unseen) == 5 and all(row.n_known == 0 and math.isfinite(row.score) for row in unseen)
+
+
+def test_codes_come_whole_however_long(monkeypatch):
+    values = [np.arange(n, dtype="<i4").tobytes() for n in (1, 5, 3, 700, 2, 1)]
+    for most, parts in ((1 << 20, 1), (64, 6)):
+        monkeypatch.setattr(class_model, "_CODE_BYTES", most)
+        found = list(class_model._codes(class_model.pa.array(values)))
+        assert len(found) == parts
+        assert b"".join(codes.tobytes() for _, codes in found) == b"".join(values)
