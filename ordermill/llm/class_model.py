@@ -506,7 +506,7 @@ def score_documents(
     """Log10 probability of every whole text, learned from all texts of `training`, or from the rows of `docs` where that is true.
 
     Returns doc_id, n_tokens, n_known, train_tokens, base_score (smoothed unigrams), score (the class model)
-    and perplexity (10 ** (-score / n_tokens)). A NULL or empty text is an end alone. Rows with NULL or repeated
+    and perplexity (10 ** (-score / n_tokens)). A NULL or empty text is an end alone; a very long one is scored whole. Rows with NULL or repeated
     ids are scored one by one; other columns are not carried. Without training texts every word is unseen.
 
     Texts are resolved to frequent words once, and neighbours and scores come from the written codes. Each other word of a

@@ -138,7 +138,7 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
     """doc_id, lang_pred and score (0 to 1) of every row, from its whole text alone.
 
     A NULL text, or one without a letter, is `und` with score 0; so is every text if no language was
-    learned. Rows with NULL or repeated ids are kept one by one; other columns are not carried.
+    learned. A very long text is counted whole. Rows with NULL or repeated ids are kept one by one; other columns are not carried.
     """
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
     kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -193,7 +193,7 @@ def judge(
 ) -> DataFrame:
     """Rule counts, `base_failed`, `anomaly` and `kept` of every document.
 
-    NULL and empty texts have no words, so they fail the base rules. A row is kept if it passes these and
+    NULL and empty texts have no words, so they fail the base rules; a very long text is counted whole, in one task. A row is kept if it passes these and
     its anomaly is not above the calibrated threshold. The forest is fitted on at most `fit_rows` rows;
     statistics, scores and calibration cover all. Rows with NULL or repeated ids are kept one by one, but
     NULL ids have no labels; a repeated label counts as its best one. Other columns are not carried.

@@ -253,7 +253,7 @@ def near_duplicates(
 
     Returns doc_id, `fingerprint` (16 hex digits) and `component_id`, the smallest id that is
     reachable over links of `reach` bits or fewer. NULL, empty and blank texts have fingerprint zero and
-    are linked like any other. Rows with a NULL id take part, but do not name a component: one whose
+    are linked like any other; of a very long one all shingles count. Rows with a NULL id take part, but do not name a component: one whose
     ids are all NULL has a NULL component. Rows of the same id and text are equal and stay.
     """
     marked = staged(fingerprints(docs, words, id_col, text_col), "fingerprints")

@@ -182,7 +182,7 @@ def count_buckets(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score (0 to 1) and predicted (1 if score >= 0.5) of every row, from its whole text.
 
-    A NULL or empty text has the score of a text without any known word. Rows with NULL or repeated
+    A NULL or empty text has the score of a text without any known word; of a very long one all words count. Rows with NULL or repeated
     ids are kept one by one; other columns are not carried.
     """
     features, weights, (by_level, bias) = model

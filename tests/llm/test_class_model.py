@@ -223,3 +223,9 @@ def test_codes_come_whole_however_long(monkeypatch):
         found = list(class_model._codes(class_model.pa.array(values)))
         assert len(found) == parts
         assert b"".join(codes.tobytes() for _, codes in found) == b"".join(values)
+
+
+def test_very_long_text(spark):
+    texts = {1: " ".join(f"w{i * i % 50021}" for i in range(400_000)), 2: "w1 w4 unseen", 3: "w9 " * 50}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    check(score_documents(docs, F.col("doc_id") != 2, frequent=2_000).collect(), texts, [texts[1], texts[3]])

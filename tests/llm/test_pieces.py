@@ -119,3 +119,10 @@ def test_small_table_changes_no_count(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     full = sorted(map(tuple, count_tokens(docs, PATH).collect()))
     assert full == sorted(map(tuple, count_tokens(docs, PATH, frequent=3).collect()))
+
+
+def test_token_counts_of_a_very_long_text(spark, tool):
+    text = " ".join(f"word{i % 7919} é<s>" for i in range(150_000)) + "x" * 20_000
+    docs = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")
+    counted = {row.doc_id: (row.n_bytes, row.n_tokens) for row in count_tokens(docs, PATH).collect()}
+    assert counted == {i: (len(t.encode()), len(tool.library.encode(t))) for i, t in ((1, text), (2, "short"))}

@@ -101,3 +101,10 @@ def test_sample_without_ids_is_not_of_the_shortest_texts(spark):
         patch.setattr(quality, "IsolationForest", Rows)
         quality.fit_forest(stats, 20)
     assert len(lengths) == 20 and max(lengths) > np.log1p(100)
+
+
+def test_very_long_text(spark):
+    text = "\n".join(" ".join(f"w{(i * j) % 9973}" for j in range(60)) for i in range(8_000)) + "\nw0 w1 #" + " " * 100_000
+    docs = spark.createDataFrame([(1, text), (2, "a short one")], "doc_id long, text string")
+    rows = {row.doc_id: row for row in statistics(docs).collect()}
+    assert tuple(rows[1][name] for name in RULES) == plain(text)

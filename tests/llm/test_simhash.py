@@ -152,3 +152,12 @@ def test_whole_rows_are_shuffled_once(spark):
     # one exchange of the rows, combined before it, and one of the chosen keys
     assert len(re.findall(r"Arguments: hashpartitioning\((?:_groupingexpression|key)#", plan)) == 2
     assert plan.count("partial_min_by(struct(doc_id") > 0
+
+
+def test_very_long_text(spark):
+    text = " ".join(f"Word{i * i % 99991}" for i in range(400_000))
+    docs = spark.createDataFrame([(4, text), (3, text + " end"), (9, "short")], "doc_id long, text string")
+    found = {row.doc_id: (row.fingerprint, row.component_id) for row in near_duplicates(docs).collect()}
+    for doc_id, own in ((4, text), (3, text + " end"), (9, "short")):
+        assert found[doc_id][0] == f"{by_definition(own) & (1 << 64) - 1:016x}"
+    assert [found[i][1] for i in (3, 4, 9)] == [3, 3, 9]
