@@ -6,7 +6,7 @@ from pathlib import Path
 
 from conftest import SF_DIR
 from ordermill.fixtures.orders import order_pages, page_count, raw_orders, source_pages
-from ordermill.fixtures.queries import _land_orders, _land_rates, _published, q_required_fx_dates
+from ordermill.fixtures.queries import _all_stored, _land_orders, _land_rates, _published, q_required_fx_dates
 from ordermill.plans import cleaning
 from ordermill.session import staged
 from ordermill.sources import read_fx_documents
@@ -70,3 +70,9 @@ def test_refreshed_rates_do_not_land_orders_again(spark):
     warehouse = _published(spark, SF_DIR, again=True, last="fx_rates")
     runs = {row.step_name: row["count"] for row in warehouse.runs().groupBy("step_name").count().collect()}
     assert runs == {"ingest": 1, "clean": 1, "fx_rates": 2}
+
+
+def test_key_check_writes_no_raw_lines_and_what_is_read_of_clean_ones(spark):
+    tables = _all_stored(spark, SF_DIR)
+    assert {name.rpartition("/")[2] for name in tables["raw_orders"].inputFiles()} == {"lineitem.parquet", "orders.parquet"}
+    assert not {"product_name", "channel", "had_zero_price"} & set(tables["clean"].columns)
