@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import re
+from decimal import Decimal
 from pathlib import Path
 
+import pytest
+from compare import plan_of
 from conftest import SF_DIR
-from ordermill.fixtures.orders import order_pages, page_count, raw_orders, source_pages
+from ordermill.fixtures.orders import dates_of_lines, order_pages, page_count, raw_orders, source_pages
 from ordermill.fixtures.queries import _all_stored, _land_orders, _land_rates, _published, q_required_fx_dates
+from ordermill.operators import keyed, unknown_keys
 from ordermill.plans import cleaning
+from ordermill.plans.pipeline import appended_orders
 from ordermill.session import staged
-from ordermill.sources import read_fx_documents
+from ordermill.sources import Warehouse, read_fx_documents
 from pyspark.sql import functions as F
 
 
@@ -76,3 +82,45 @@ def test_key_check_writes_no_raw_lines_and_what_is_read_of_clean_ones(spark):
     tables = _all_stored(spark, SF_DIR)
     assert {name.rpartition("/")[2] for name in tables["raw_orders"].inputFiles()} == {"lineitem.parquet", "orders.parquet"}
     assert not {"product_name", "channel", "had_zero_price"} & set(tables["clean"].columns)
+
+
+def test_dates_shuffle_order_keys_only(spark):
+    plan = _plan(dates_of_lines(spark, SF_DIR, lambda lines: cleaning.accepted(lines.where("channel = 'web'"))))
+    keys = re.search(r"Aggregate \[(o_orderkey#\d+L)\], \[(.*)\]", plan.split("LeftSemi")[1])
+    assert keys and keys[1] == keys[2]
+
+
+def test_prices_are_shuffled_as_cents(spark, tmp_path):
+    def prices(sf_dir):
+        return [row.unit_price for row in raw_orders(spark, sf_dir).orderBy("src_ord").collect()]
+
+    pages = _plan(source_pages(spark, SF_DIR))
+    assert "l_extendedprice" not in pages.split("RepartitionByExpression [page_offset")[1].splitlines()[1]
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").where("l_orderkey < 200")
+    lines.withColumn("l_extendedprice", F.expr("if(l_linenumber = 1, 12.3456D, if(l_linenumber = 2, null, l_extendedprice))")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.read.parquet(f"{SF_DIR}/orders.parquet").write.parquet(f"{tmp_path}/orders.parquet")
+    odd = prices(str(tmp_path))
+    assert {Decimal("12.3456"), None} <= set(odd) and len(set(odd)) > 10
+
+
+@pytest.mark.parametrize("most", [keyed.MARKED_BLOCKS, 0])
+def test_lines_are_not_shuffled_to_leave_out_known_keys(spark, monkeypatch, most):
+    monkeypatch.setattr(keyed, "MARKED_BLOCKS", most)
+    keys = ["order_id", "sku"]
+    raw = raw_orders(spark, SF_DIR)
+    new = cleaning.clean_orders(raw)
+    odd = new.limit(2).withColumn("sku", F.lit(None).cast("string"))
+    new = staged(new.unionByName(odd).repartition(5), "new")
+    stored = staged(new.where("channel = 'web'"), "stored")
+    fresh = unknown_keys(stored, new, keys)
+    expected = new.join(stored.select(*keys), keys, "left_anti").select(*new.columns)
+    assert fresh.columns == new.columns and expected.count() > 0
+    assert fresh.exceptAll(expected).isEmpty() and expected.exceptAll(fresh).isEmpty()
+    if most:
+        assert "hashpartitioning" not in plan_of(fresh)
+
+
+def test_first_landing_is_written_as_it_comes(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path), by_month=True)
+    lines = cleaning.clean_orders(raw_orders(spark, SF_DIR))
+    assert appended_orders(warehouse, lines) is lines
