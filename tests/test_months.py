@@ -216,3 +216,12 @@ def test_nulls_are_counted_as_tables_are_written(spark, tmp_path):
         for name, n in {"order_id": 0, "customer_id": 1, "sku": 0, "category": 2, "fx_reference_date": 0}.items()
     }
     assert json.loads(warehouse.runs().first().null_counts)["category"] == 2
+
+
+def test_order_lines_are_not_gathered_by_month(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path), by_month=True)
+    lines = rows.clean(spark, *[dict(order_id=str(n), fx_reference_date=JAN) for n in range(30)]).repartition(3)
+    run_step(warehouse, "orders_clean", lambda: lines)
+    assert len(files(warehouse, "orders_clean", "2026-01")) == 3 and len(orders(warehouse.read("orders_clean"))) == 30
+    run_step(warehouse, "fx_rates", lambda: rows.rates(spark, {JAN: "5", JAN + dt.timedelta(1): "6"}).repartition(2))
+    assert len(files(warehouse, "fx_rates", "2026-01")) == 1
