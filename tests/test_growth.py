@@ -8,13 +8,14 @@ from pathlib import Path
 import pytest
 from compare import plan_of
 from conftest import SF_DIR
-from ordermill.fixtures.orders import dates_of_lines, order_pages, page_count, raw_orders, source_pages
+from ordermill.fixtures import queries as fixture_queries
+from ordermill.fixtures.orders import dates_of_lines, order_pages, page_count, raw_orders, source_pages, source_rates
 from ordermill.fixtures.queries import _all_stored, _land_orders, _land_rates, _published, q_required_fx_dates
 from ordermill.operators import keyed, unknown_keys
-from ordermill.plans import cleaning
+from ordermill.plans import cleaning, rates
 from ordermill.plans.pipeline import appended_orders
 from ordermill.session import staged
-from ordermill.sources import Warehouse, read_fx_documents
+from ordermill.sources import Warehouse, read_fx_documents, read_packed_pages
 from pyspark.sql import functions as F
 
 
@@ -110,3 +111,34 @@ def test_first_landing_is_written_as_it_comes(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path), by_month=True)
     lines = cleaning.clean_orders(raw_orders(spark, SF_DIR))
     assert appended_orders(warehouse, lines) is lines
+
+
+def test_what_follows_from_a_line_is_not_shuffled(spark):
+    below = _plan(source_pages(spark, SF_DIR)).split("RepartitionByExpression [page_offset")[1]
+    assert "Join Inner" in below and "Generate" not in below and not re.search(r"AS (n|copy)#", below)
+
+
+def test_dates_of_landed_lines_are_noted_as_pages_are_written(spark, monkeypatch):
+    where = "channel = 'web' AND customer_id % 3 = 0"
+    raw = cleaning.accepted(raw_orders(spark, SF_DIR).where(where))
+    wanted = {row[0] for row in source_rates(rates.required_dates(raw)).select("rate_date").collect()}
+    monkeypatch.setattr(fixture_queries, "dates_of_lines", None)
+    _, folder = fixture_queries._land(spark, SF_DIR, packed=True, where=where)
+    assert {row.rate_date for row in read_fx_documents(spark, folder).collect()} == wanted
+
+
+def test_nothing_lands_without_lines(spark):
+    orders, folder = fixture_queries._land(spark, SF_DIR, packed=True, where="channel = 'none'")
+    assert not [file for file in Path(folder.removeprefix("file:")).rglob("part-*") if file.stat().st_size]
+    assert read_packed_pages(spark, orders).isEmpty()
+
+
+def test_marks_are_rows_of_words(spark):
+    raw = staged(raw_orders(spark, SF_DIR), "raw")
+    marked = cleaning._repeated_keys(raw)
+    assert marked.where(F.size("words") != cleaning.WORDS).isEmpty()
+    slots = cleaning.accepted(raw).select(cleaning._slot().alias("slot"))
+    assert slots.where(f"slot < 0 OR slot >= {1 << 40}").isEmpty()
+    repeated = slots.groupBy("slot").count().where("count > 1").select(F.col("slot").bitwiseAND(F.lit(cleaning.SLOTS - 1))).distinct()
+    bits = marked.select(F.explode("words").alias("word")).agg(F.sum(F.bit_count("word"))).first()[0]
+    assert bits == repeated.count() > 0
