@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 from compare import plan_of
 from conftest import SF_DIR
+from ordermill.fixtures import orders as fixture_orders
 from ordermill.fixtures import queries as fixture_queries
 from ordermill.fixtures.orders import dates_of_lines, order_pages, page_count, raw_orders, source_pages, source_rates
 from ordermill.fixtures.queries import _all_stored, _land_orders, _land_rates, _published, q_required_fx_dates
@@ -142,3 +143,19 @@ def test_marks_are_rows_of_words(spark):
     repeated = slots.groupBy("slot").count().where("count > 1").select(F.col("slot").bitwiseAND(F.lit(cleaning.SLOTS - 1))).distinct()
     bits = marked.select(F.explode("words").alias("word")).agg(F.sum(F.bit_count("word"))).first()[0]
     assert bits == repeated.count() > 0
+
+
+def test_null_check_writes_raw_lines_once_and_numbers_in_small_files(spark, monkeypatch):
+    monkeypatch.setattr(fixture_orders, "NUMBERS_PER_FILE", 1000)
+    raw = fixture_orders.stored_raw_orders(spark, SF_DIR)
+    assert len(raw.inputFiles()) >= 6
+    lines = raw_orders(spark, SF_DIR)
+    assert raw.schema == lines.schema and raw.exceptAll(lines).isEmpty() and lines.exceptAll(raw).isEmpty()
+    written = []
+    monkeypatch.setattr(fixture_queries, "staged", lambda df, name: written.append(name) or staged(df, name))
+    counts = {tuple(row) for row in fixture_queries.q_null_violations(spark, SF_DIR).collect()}
+    assert written == []
+    for name in ("sku", "category", "customer_id"):
+        assert ("orders_raw", name, lines.where(F.col(name).isNull()).count()) in counts
+    unparsed = cleaning.clean_orders(lines).where("order_ts IS NULL").count()
+    assert ("orders_clean", "order_ts", unparsed) in counts
