@@ -109,3 +109,47 @@ def test_empty_table_and_large_components(spark):
     assert mine(frame(spark, [(0, None, [1.0])]), F.col("vec_id") % 10 == 0).collect() == []
     with pytest.raises(ValueError, match="55 bits"):
         mine(frame(spark, [(0, 1, [1e30])]), F.col("vec_id") % 10 == 0)
+
+
+def test_anchors_are_not_broadcast(spark, monkeypatch):
+    """Anchors times partitions once went through the driver, as Spark took them for the few bytes of their file."""
+    rng = np.random.default_rng(7)
+    rows = [(i, i % 3, [float(x) for x in v]) for i, v in enumerate(rng.normal(0, 0.3, (300, 8)))]
+    plans, kept = [], hard_negatives.staged
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(hard_negatives, "staged", lambda df, name: (plans.append(plan(df)), kept(df, name))[1])
+    result = mine(frame(spark, rows), F.col("vec_id") % 20 == 0, block_rows=16)
+    assert len(plans) == 4 and not [x for x in (*plans, plan(result)) if "Broadcast" in x]
+    assert found(result) == brute(rows, 20)
+
+
+def test_many_parts_answer_once_each(spark):
+    """Of parts that share their blocks out, each sends an anchor's first rows, not every block's."""
+    rng = np.random.default_rng(11)
+    vectors = rng.integers(-2, 3, (600, 8)) / 4
+    vectors[::3] = vectors[0]
+    rows = [(i, int(label), [float(x) for x in v]) for i, label, v in zip(range(600), rng.integers(0, 3, 600), vectors)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "48")
+    try:
+        assert found(mine(frame(spark, rows), F.col("vec_id") % 20 == 0, block_rows=4)) == brute(rows, 20)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("scale", [1, 1 << 13, 1 << 24])
+def test_products_of_blocks_are_exact_in_any_type(scale):
+    rng = np.random.default_rng(scale)
+    vectors = rng.integers(-scale, scale + 1, (40, 6))
+    zone = {"low": vectors.min(axis=0).astype("<i4").tobytes(), "high": vectors.max(axis=0).astype("<i4").tobytes()}
+    zone |= {"block": 1, "n": 40, "first_id": 0, "last_id": 39, "label_low": 0, "label_high": 0}
+    longs = {name: np.arange(40).astype("<i8").tobytes() for name in ("ids", "labels")}
+    part = hard_negatives.Part([zone | longs | {"vectors": hard_negatives._packed(vectors)}])
+    for anchors in (vectors[:7] * 0, vectors[:7], vectors[:7] * 3):  # none of them spoils the rows for the next
+        ((columns, scores),) = part.tiles(anchors, np.array([0]))
+        assert (scores.astype(np.int64) == anchors @ vectors[columns].T).all()
+
+
+def test_large_negative_components_are_an_error(spark):
+    with pytest.raises(ValueError, match="55 bits"):
+        mine(frame(spark, [(0, 1, [-1e30])]), F.col("vec_id") % 10 == 0)
