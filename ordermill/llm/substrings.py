@@ -261,14 +261,26 @@ def _anchors_at_home(docs, doc, place, h1, h2):
     return np.flatnonzero(~many), np.flatnonzero(many), first[counts > 1]
 
 
+def _twice(numbers: np.ndarray) -> np.ndarray:
+    """Which 32-bit numbers come twice or more; one sort, with each number's place in the lower half."""
+    keyed = numbers.astype(np.uint64) << np.uint64(32) | np.arange(len(numbers), dtype=np.uint64)
+    keyed.sort()
+    same = np.zeros(len(keyed) + 1, bool)
+    same[1:-1] = keyed[1:] >> np.uint64(32) == keyed[:-1] >> np.uint64(32)
+    out = np.empty(len(keyed), bool)
+    out[(keyed & np.uint64(0xFFFFFFFF)).astype(np.int64)] = same[1:] | same[:-1]
+    return out
+
+
 def _anchors_twice(rows: list[dict], counted: np.ndarray) -> Iterator[tuple]:
     """Occurrences of runs that come twice. Half a hash may say so of two runs that differ: their windows then do too."""
-    h1 = [np.frombuffer(row["h1"], "<u4") for row in rows]
-    numbers, counts = np.unique(np.concatenate([*h1, counted]), return_counts=True)
-    twice = numbers[counts > 1]
-    for row, own in zip(rows, h1):
-        hit = np.isin(own, twice)
-        yield row, _unpacked(row["doc"], row["n"])[hit], _unpacked(row["place"], row["n"])[hit]
+    twice = _twice(np.concatenate([*(np.frombuffer(row["h1"], "<u4") for row in rows), counted]))
+    at = 0
+    for row in rows:
+        hit = twice[at : at + row["n"]]
+        at += row["n"]
+        if hit.any():
+            yield row, _unpacked(row["doc"], row["n"])[hit], _unpacked(row["place"], row["n"])[hit]
 
 
 def _later(rank, place, h1, h2) -> tuple[np.ndarray, np.ndarray]:
@@ -289,12 +301,14 @@ def _windows_at_home(docs, doc, place, h1, h2):
 
 def _windows_later(rows: list[dict], counted: np.ndarray) -> Iterator[tuple]:
     names, known, doc, place, h1, h2 = [], [], [], [], [], []
+    before = 0
     for row in rows:
         own = _unpacked(row["doc"], row["n"])
         count = int(own.max()) + 1
         size = len(row["docs"]) - count * DOC.itemsize
-        doc.append(own + sum(map(len, names)))
+        doc.append(own + before)
         names.append(np.frombuffer(row["docs"][size:], DOC))
+        before += count
         known.append(_unpacked(row["docs"][:size], count)[own])
         place.append(_unpacked(row["place"], row["n"]))
         h1.append(np.frombuffer(row["h1"], "<u8"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 import re
+import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -112,3 +114,26 @@ def test_very_long_text_and_clashing_columns(spark):
     assert got == brute(rows)
     spans = {row.doc_id: row.spans for row in remove_repeats(df).collect()}
     assert spans[1] == [] and len(spans[2]) == 1 and spans[2][0].first == 1
+
+
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.one_of(st.integers(0, 5), st.integers(0, 2**32 - 1)), max_size=40))
+def test_numbers_that_come_twice(numbers):
+    counts = Counter(numbers)
+    assert substrings._twice(np.array(numbers, np.uint32)).tolist() == [counts[x] > 1 for x in numbers]
+
+
+def test_a_bucket_is_sorted_once_however_many_segments_send_to_it():
+    """Each segment's runs were once looked up by a sort of the whole bucket's: time as the square of the input."""
+    rng = np.random.default_rng(2)
+    sent = [rng.integers(0, 1 << 32, 200).astype("<u4") for _ in range(2000)]
+    for one, other in zip(sent[::2], sent[1::2]):
+        one[:150] = other[:150]
+    counted, place = sent[0][150:160], np.arange(200)
+    rows = [{"n": 200, "h1": h1.tobytes(), "doc": substrings._packed(place + i), "place": substrings._packed(place)} for i, h1 in enumerate(sent)]
+    counts = Counter(np.concatenate([*sent, counted]).tolist())
+    began = time.process_time()
+    found = {int(doc[0] - at[0]): at.tolist() for _, doc, at in substrings._anchors_twice(rows, counted)}
+    assert time.process_time() - began < 2
+    wanted = {i: [j for j, x in enumerate(h1.tolist()) if counts[x] > 1] for i, h1 in enumerate(sent)}
+    assert found == {i: places for i, places in wanted.items() if places}
