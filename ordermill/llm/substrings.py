@@ -125,6 +125,29 @@ def _unpacked(data: bytes, count: int) -> np.ndarray:
     return np.frombuffer(data, "<u2" if len(data) == 2 * count else "<u4").astype(np.int64)
 
 
+def _packed_docs(used: np.ndarray, docs: np.ndarray) -> bytes:
+    """Document numbers and what their order follows from; of ids the steps from one to the next, as they mostly ascend."""
+    ids = docs["id"].astype(np.uint64)
+    steps = np.diff(ids)
+    most = int(steps.max(initial=0))
+    size = next(size for size in (1, 2, 4, 8) if most < 1 << 8 * size)
+    columns = (_packed(used), np.packbits(docs["none"]).tobytes(), ids[:1].tobytes(), steps.astype(f"<u{size}").tobytes())
+    return bytes([size]) + b"".join(columns) + docs["mark"].tobytes()
+
+
+def _unpacked_docs(data: bytes, count: int) -> tuple[np.ndarray, np.ndarray]:
+    size, bits = data[0], (count + 7) // 8
+    marks = len(data) - 8 * count
+    steps = marks - size * (count - 1)
+    first = steps - 8
+    docs = np.empty(count, DOC)
+    docs["none"] = np.unpackbits(np.frombuffer(data, np.uint8, bits, first - bits), count=count)
+    ids = np.concatenate([np.frombuffer(data, "<u8", 1, first), np.frombuffer(data, f"<u{size}", count - 1, steps)])
+    docs["id"] = np.cumsum(ids, dtype=np.uint64).view(np.int64)
+    docs["mark"] = np.frombuffer(data, "<i8", count, marks)
+    return _unpacked(data[1 : first - bits], count), docs
+
+
 def _bucket(numbers: np.ndarray, buckets: int) -> np.ndarray:
     return ((numbers >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
 
@@ -181,7 +204,7 @@ class Buffer:
                 elif self.ordered:
                     some = np.sort(some)
                     used, own = np.unique(doc[some], return_inverse=True)
-                    names = _packed(used) + docs[used].tobytes()
+                    names = _packed_docs(used, docs[used])
                     yield number, kind, segment, names, len(some), _packed(own), _packed(place[some]), h1[some].tobytes(), _short(h2[some])
                 else:
                     yield number, kind, segment, b"", len(some), _packed(doc[some]), _packed(place[some]), _short(h1[some]), b""
@@ -305,11 +328,11 @@ def _windows_later(rows: list[dict], counted: np.ndarray) -> Iterator[tuple]:
     for row in rows:
         own = _unpacked(row["doc"], row["n"])
         count = int(own.max()) + 1
-        size = len(row["docs"]) - count * DOC.itemsize
+        used, some = _unpacked_docs(row["docs"], count)
         doc.append(own + before)
-        names.append(np.frombuffer(row["docs"][size:], DOC))
+        names.append(some)
         before += count
-        known.append(_unpacked(row["docs"][:size], count)[own])
+        known.append(used[own])
         place.append(_unpacked(row["place"], row["n"]))
         h1.append(np.frombuffer(row["h1"], "<u8"))
         h2.append(np.frombuffer(row["h2"], "<u4"))

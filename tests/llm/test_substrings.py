@@ -123,6 +123,21 @@ def test_numbers_that_come_twice(numbers):
     assert substrings._twice(np.array(numbers, np.uint32)).tolist() == [counts[x] > 1 for x in numbers]
 
 
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.tuples(st.booleans(), st.one_of(st.integers(0, 300), st.integers(-(2**63), 2**63 - 1)), st.integers(-(2**63), 2**63 - 1)), min_size=1, max_size=20), st.sampled_from([1, 70_000]))
+def test_documents_come_back_from_their_bytes(docs, step):
+    rows, used = np.array(docs, substrings.DOC), np.arange(len(docs)) * step
+    data = substrings._packed_docs(used, rows)
+    numbers, got = substrings._unpacked_docs(data, len(docs))
+    assert numbers.tolist() == used.tolist() and got.tolist() == rows.tolist()
+
+
+def test_documents_with_near_ids_take_few_bytes():
+    """A window's document is named in each bucket, so with many buckets names were half of what windows shuffled."""
+    rows = np.array([(False, 10**12 + 900 * i, 0x7EDCBA9876543210 - i) for i in range(1000)], substrings.DOC)
+    assert len(substrings._packed_docs(np.arange(1000), rows)) < 12.2 * 1000
+
+
 def test_a_bucket_is_sorted_once_however_many_segments_send_to_it():
     """Each segment's runs were once looked up by a sort of the whole bucket's: time as the square of the input."""
     rng = np.random.default_rng(2)
